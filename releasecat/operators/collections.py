@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import CALIBRATION, CHAINED, TAGGED
 from ..session import cut_lineage
-from .joins import keep_missing
 from .ordering import row_index
 
 
@@ -56,36 +55,50 @@ def walk_chains(edges: DataFrame, roots: Sequence[str]) -> DataFrame:
     keeps one path for a name instead of all of them.
     """
     spark = edges.sparkSession
-    start = spark.createDataFrame(
-        [(name, [place], [name]) for place, name in enumerate(roots)],
-        "name string, search_path array<bigint>, trail array<string>",
+    start = spark.sql(
+        "SELECT inline(zip_with(:roots, sequence(0L, size(:roots) - 1L), "
+        "(name, place) -> named_struct('name', name, 'search_path', array(place), 'trail', array(name))))",
+        args={"roots": F.array(*[F.lit(name) for name in roots])},
     )
-    links = edges.select(F.col("parent").alias("name"), "child", F.col("position").cast("bigint").alias("position"))
-    best = frontier = start.groupBy("name").agg(F.min(F.struct("search_path", "trail")).alias("way")).select(
-        "name", "way.*"
+    links = cut_lineage(
+        edges.select(F.col("parent").alias("name"), "child", F.col("position").cast("bigint").alias("position")),
+        "links",
     )
+    found = frontier = start
     while True:
-        reached = cut_lineage(
-            frontier.join(links, "name").select(
-                F.col("child").alias("name"),
+        reached = frontier.join(links, "name").select(
+            F.col("child").alias("name"),
+            F.struct(
                 F.concat("search_path", F.array("position")).alias("search_path"),
                 F.concat("trail", F.array("child")).alias("trail"),
-                F.array_contains("trail", F.col("child")).alias("closes_cycle"),
-            )
+            ).alias("way"),
+            F.array_contains("trail", F.col("child")).alias("closes_cycle"),
         )
-        cycle = reached.where("closes_cycle").select("trail").take(1)
-        if cycle:
-            raise CollectionCycleError(" -> ".join(cycle[0]["trail"]))
-        shortest = reached.groupBy("name").agg(F.min(F.struct("search_path", "trail")).alias("way"))
-        known = best.select("name", F.col("search_path").alias("known_path"))
+        shortest = reached.groupBy("name").agg(
+            F.min("way").alias("way"), F.min(F.when(F.col("closes_cycle"), F.col("way"))).alias("cycle")
+        )
+        better = F.col("known_path").isNull() | (F.col("way.search_path") < F.col("known_path"))
+        new = shortest.join(
+            _smallest_paths(found).withColumnRenamed("search_path", "known_path"), "name", "left"
+        ).where(better | F.col("cycle").isNotNull())
+        seen = Observation()
         frontier = cut_lineage(
-            shortest.join(known, "name", "left")
-            .where(F.col("known_path").isNull() | (F.col("way.search_path") < F.col("known_path")))
-            .select("name", "way.*")
+            new.select("name", "way.*", F.col("cycle.trail").alias("cycle")).observe(
+                seen, F.count(F.lit(1)).alias("names"), F.max(F.array_join("cycle", " -> ")).alias("cycle")
+            ),
+            "level",
         )
-        if frontier.isEmpty():
-            return best.select("name", "search_path")
-        best = cut_lineage(keep_missing(best, frontier, "name", unique_keys=True).unionByName(frontier))
+        level = seen.get
+        if level["cycle"]:
+            raise CollectionCycleError(level["cycle"])
+        if not level["names"]:
+            return _smallest_paths(found)
+        frontier = frontier.drop("cycle")
+        found = found.unionByName(frontier)
+
+
+def _smallest_paths(ways: DataFrame) -> DataFrame:
+    return ways.groupBy("name").agg(F.min("search_path").alias("search_path"))
 
 
 def flatten_collections(collections: DataFrame, roots: Sequence[str]) -> DataFrame:
@@ -93,18 +106,18 @@ def flatten_collections(collections: DataFrame, roots: Sequence[str]) -> DataFra
 
     Chains stay in the result as rows of their own.
     """
-    absent = missing_collections(collections, roots)
-    if absent:
-        raise MissingCollectionError(f"Collections do not exist: {absent}")
     ways = walk_chains(chain_edges(collections), roots)
-    found = collections.join(ways, "name")
-    return row_index(found, ["search_path"], "search_rank").select(*collections.columns, "search_rank")
-
-
-def missing_collections(collections: DataFrame, names: Sequence[str]) -> list[str]:
-    """Requested names without a row; at most as many as were asked for."""
-    present = {row["name"] for row in collections.where(F.col("name").isin(list(names))).select("name").collect()}
-    return [name for name in names if name not in present]
+    ranked = row_index(ways, ["search_path"], "search_rank").select("name", "search_rank")
+    absent = Observation()
+    resolved = cut_lineage(
+        ranked.join(collections, "name", "left")
+        .select(*collections.columns, "search_rank")
+        .observe(absent, F.min(F.when(F.col("type").isNull(), F.col("name"))).alias("name")),
+        "collections",
+    )
+    if absent.get["name"] is not None:
+        raise MissingCollectionError(f"Collection does not exist: {absent.get['name']}")
+    return resolved
 
 
 def search_collections(collections: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from ..operators.selection import resolve_names
 from ..operators.validation import require_none
 from ..schemas import COLLECTIONS, DATASTORE, RUN
 from ..sinks.manifest import type_entry, write_manifest
-from ..sinks.tables import store, write_by_type, write_collections, write_dimension
+from ..session import cut_lineage, run_together
+from ..sinks.tables import write_by_type, write_collections, write_dimension
 from ..sources.catalog import Catalog
 from ..sources.release import Release
 
@@ -60,17 +62,17 @@ def select_release(
     """Search the collections, then take provenance from every run that was found."""
     chosen = resolve_names(catalog.dataset_types, types).orderBy("name").collect()
     provenance = resolve_names(catalog.dataset_types, provenance_types).orderBy("name").collect()
-    resolved = store(flatten_collections(catalog.collections, collections), "collections")
-    found = store(select_datasets(catalog, chosen, resolved), "datasets", "dataset_type")
+    resolved = flatten_collections(catalog.collections, collections)
+    found = cut_lineage(select_datasets(catalog, chosen, resolved), "datasets", "dataset_type")
     runs = extra_runs(found, resolved)
     added = keep_matching(
         catalog.collections.where(F.col("type") == RUN), runs, {"name": "run"}, unique_keys=True
     ).withColumn("search_rank", F.lit(None).cast("long"))
-    referenced = store(resolved.unionByName(added), "referenced")
+    referenced = cut_lineage(resolved.unionByName(added), "referenced")
     if provenance:
         known = select_datasets(catalog, provenance, referenced, all_versions=True)
         already = keep_missing(known, found, "dataset_id", unique_keys=True)
-        found = found.unionByName(store(already, "provenance", "dataset_type"))
+        found = found.unionByName(cut_lineage(already, "provenance", "dataset_type"))
     names = {t["name"] for t in chosen}
     return Selection([*chosen, *[t for t in provenance if t["name"] not in names]], found, referenced)
 
@@ -97,11 +99,11 @@ def export_release(
     selection = select_release(catalog, types, provenance_types, collections)
     fs.make_directory(spark, directory)
 
-    dimension_files = {}
-    for name, records in catalog.dimensions.items():
-        if catalog.spec[name].has_own_table:
-            dimension_files[name] = f"{name}.dimension.parquet"
-            write_dimension(records, f"{directory}/{dimension_files[name]}", catalog.spec, name)
+    dimension_files = {n: f"{n}.dimension.parquet" for n in catalog.dimensions if catalog.spec[n].has_own_table}
+    jobs = [
+        partial(write_dimension, catalog.dimensions[name], f"{directory}/{file}", catalog.spec, name)
+        for name, file in dimension_files.items()
+    ]
 
     entries = [type_entry(t) for t in selection.types]
     files = {e["dataset_type"]["name"]: e for e in entries}
@@ -109,16 +111,22 @@ def export_release(
         selection.datasets, catalog.memberships, selection.collections
     ).withColumn("timespan", or_unbounded("timespan"))
     for dimensions, names in _by_dimensions(selection.types).items():
-        write_by_type(
-            selection.datasets,
-            catalog.spec.dataset_schema(dimensions),
-            {n: f"{directory}/{files[n]['dataset_export_file']}" for n in names},
+        jobs.append(
+            partial(
+                write_by_type,
+                selection.datasets,
+                catalog.spec.dataset_schema(dimensions),
+                {n: f"{directory}/{files[n]['dataset_export_file']}" for n in names},
+            )
         )
-        write_by_type(
-            entries_found,
-            catalog.spec.association_schema(dimensions),
-            {n: f"{directory}/{files[n]['association_export_file']}" for n in names},
-            order=("collection", "dataset_id"),
+        jobs.append(
+            partial(
+                write_by_type,
+                entries_found,
+                catalog.spec.association_schema(dimensions),
+                {n: f"{directory}/{files[n]['association_export_file']}" for n in names},
+                order=("collection", "dataset_id"),
+            )
         )
 
     records = datastore_for(selection.datasets, catalog.datastore)
@@ -127,10 +135,11 @@ def export_release(
             unknown_roots(records, catalog.roots).select("datastore_name", "path"), "No root known for datastore"
         )
         records = make_paths_absolute(records, catalog.roots)
-    write_by_type(
-        records, DATASTORE, {n: f"{directory}/{e['datastore_export_file']}" for n, e in files.items()}
-    )
-    write_collections(selection.collections.select(*COLLECTIONS.names), f"{directory}/{COLLECTIONS_FILE}")
+    record_files = {n: f"{directory}/{e['datastore_export_file']}" for n, e in files.items()}
+    collection_rows = selection.collections.select(*COLLECTIONS.names)
+    jobs.append(partial(write_by_type, records, DATASTORE, record_files))
+    jobs.append(partial(write_collections, collection_rows, f"{directory}/{COLLECTIONS_FILE}"))
+    run_together(jobs)
     write_manifest(spark, directory, COLLECTIONS_FILE, catalog.dimension_config, dimension_files, entries)
     return Release(spark, directory, catalog.spec)
 

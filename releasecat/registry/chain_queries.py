@@ -162,7 +162,8 @@ def chain_edges_query(spark, sf_dir):
     "collection_nodes",
     """
     SELECT DISTINCT 'r' || n_regionkey AS name, CAST(3 AS TINYINT) AS type, 'region' AS doc FROM nation
-    UNION ALL SELECT n_name, 1, 'nation' FROM nation UNION ALL SELECT c_name, 1, 'customer' FROM customer
+    UNION ALL SELECT n_name, CAST(1 AS TINYINT), 'nation' FROM nation
+    UNION ALL SELECT c_name, CAST(1 AS TINYINT), 'customer' FROM customer
     """,
 )
 def collection_nodes_query(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import binary_to_hex
+from ..operators.paths import map_to_datastores
 from ..operators.summary import count_report
 from ..plans.export import export_release
 from ..plans.load import load_release, reference_report
@@ -112,7 +113,7 @@ def export_associations(spark, sf_dir):
     "export_collections",
     f"""
     WITH {RELEASE_SQL}
-    SELECT name, CAST(type AS TINYINT) AS type FROM ranks UNION SELECT name, 1 FROM release_runs
+    SELECT name, CAST(type AS TINYINT) AS type FROM ranks UNION SELECT name, CAST(1 AS TINYINT) FROM release_runs
     """,
 )
 def export_collections(spark, sf_dir):
@@ -210,7 +211,7 @@ def transfer_plan_query(spark, sf_dir):
 @query(
     "reference_report",
     """
-    SELECT 'exposure' AS parent, CAST(0 AS BIGINT) AS orphans UNION ALL SELECT 'instrument', 0
+    SELECT 'exposure' AS parent, CAST(0 AS BIGINT) AS orphans
     UNION ALL SELECT 'visit', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
     """,
 )
@@ -266,8 +267,6 @@ def pruned_release(spark, sf_dir):
 )
 def loaded_release(spark, sf_dir):
     """The release loaded into tables, file paths mapped to datastores on the way."""
-    from ..operators.paths import map_to_datastores
-
     mapping = {"file:///archive": "archive", "file:///data": "data", "s3://bucket-r": "remote"}
     paths = load_release(
         exported(spark, sf_dir),

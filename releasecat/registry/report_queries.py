@@ -169,7 +169,7 @@ def load_by_run(spark, sf_dir):
     WITH {adapters.DATASETS_SQL}
     SELECT tag AS collection, CAST(2 AS TINYINT) AS type, count(*) AS entries, count(*) AS unbounded
     FROM order_datasets GROUP BY 1
-    UNION ALL SELECT 'calibs/p', 4, count(*), 0 FROM order_datasets WHERE dataset_type = 'order_p'
+    UNION ALL SELECT 'calibs/p', CAST(4 AS TINYINT), count(*), 0 FROM order_datasets WHERE dataset_type = 'order_p'
     """,
 )
 def assoc_by_collection(spark, sf_dir):
@@ -290,10 +290,10 @@ def progress_stream(spark, sf_dir):
 
 
 @query(
-    "file_batch_count",
+    "member_file_count",
     "SELECT count(DISTINCT 'u' || user_id) AS n FROM events",
 )
-def file_batch_count(spark, sf_dir):
+def member_file_count(spark, sf_dir):
     """Physical files behind all events."""
     path = F.concat(F.lit("u"), F.col("user_id"), F.lit("#"), F.col("event_id")).alias("path")
     return count_rows(file_list(table(spark, sf_dir, "events").select(path)))

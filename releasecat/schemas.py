@@ -253,8 +253,10 @@ class DimensionSpec:
         found: list[str] = []
         for parent in (*element.requires, *element.implies):
             stored = self.stored_name(parent)
+            if stored == name:
+                continue
             for candidate in (stored, *self.parents(stored)):
-                if candidate != name and candidate not in found:
+                if candidate not in found:
                     found.append(candidate)
         return found
 

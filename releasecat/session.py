@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .schemas import as_nullable
+
 # Runtime settings the operators rely on.  All of them can be changed on a live
 # session, so ``configure`` also works on a session somebody else built.
 RUNTIME_CONF = {
@@ -70,7 +74,20 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store the rows in the shared folder, so that a lost executor recomputes nothing before them."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stored", *partition_by: str) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    They are computed once, whatever happens to executors, and the size of the
+    written table is what Spark plans the next joins with.
+    """
+    path = staging_path(df.sparkSession, label)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return df.sparkSession.read.schema(as_nullable(df.schema)).parquet(path)
+
+
+def run_together(jobs: Iterable[Callable[[], object]], limit: int = 8) -> None:
+    """Run independent jobs at the same time, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(limit) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()

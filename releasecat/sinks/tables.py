@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from .. import fs
 from ..schemas import COLLECTIONS, DATASTORE, DimensionSpec, as_nullable, conform
-from ..session import staging_path
 
 
 def write_table(df: DataFrame, path: str, schema: T.StructType, mode: str = "errorifexists") -> None:
@@ -70,11 +69,3 @@ def write_by_type(
 def write_empty(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """A table with columns and no rows."""
     spark.createDataFrame([], as_nullable(schema)).coalesce(1).write.option("compression", "zstd").parquet(path)
-
-
-def store(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: computed once, whatever happens to executors."""
-    path = staging_path(df.sparkSession, label)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(as_nullable(df.schema)).parquet(path)
