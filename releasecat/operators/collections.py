@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -32,12 +33,6 @@ def chain_edges(collections: DataFrame) -> DataFrame:
     )
 
 
-def collect_children(edges: DataFrame) -> DataFrame:
-    """Ordered children of each chain, the reverse of ``chain_edges``."""
-    ordered = F.array_sort(F.collect_list(F.struct("position", "child")))
-    return edges.groupBy("parent").agg(F.transform(ordered, lambda link: link["child"]).alias("children"))
-
-
 def add_alias_chain(collections: DataFrame, source: str, alias: str) -> DataFrame:
     """Add a chain with the children of an existing one."""
     copied = collections.where(F.col("name") == source).select(
@@ -51,11 +46,13 @@ def walk_chains(edges: DataFrame, roots: Sequence[str]) -> DataFrame:
 
     A path lists the places taken at each level; smallest-first is depth-first
     order with the first occurrence of a name winning.  The smallest path of a
-    child always extends the smallest path of one of its chains, so every level
-    keeps one path for a name instead of all of them.
+    child always extends the smallest path of one of its chains, so each level
+    keeps one path for a name instead of all of them.  A level is as small as
+    the number of names however many ways lead to them, and a cycle repeats a
+    name on some path after at most as many levels as there are names.
     """
     spark = edges.sparkSession
-    start = spark.sql(
+    frontier = spark.sql(
         "SELECT inline(zip_with(:roots, sequence(0L, size(:roots) - 1L), "
         "(name, place) -> named_struct('name', name, 'search_path', array(place), 'trail', array(name))))",
         args={"roots": F.array(*[F.lit(name) for name in roots])},
@@ -64,41 +61,30 @@ def walk_chains(edges: DataFrame, roots: Sequence[str]) -> DataFrame:
         edges.select(F.col("parent").alias("name"), "child", F.col("position").cast("bigint").alias("position")),
         "links",
     )
-    found = frontier = start
+    levels = []
     while True:
-        reached = frontier.join(links, "name").select(
-            F.col("child").alias("name"),
-            F.struct(
-                F.concat("search_path", F.array("position")).alias("search_path"),
-                F.concat("trail", F.array("child")).alias("trail"),
-            ).alias("way"),
-            F.array_contains("trail", F.col("child")).alias("closes_cycle"),
+        levels.append(frontier.select("name", "search_path"))
+        way = F.struct(
+            F.concat("search_path", F.array("position")).alias("search_path"),
+            F.concat("trail", F.array("child")).alias("trail"),
         )
-        shortest = reached.groupBy("name").agg(
-            F.min("way").alias("way"), F.min(F.when(F.col("closes_cycle"), F.col("way"))).alias("cycle")
+        repeated = F.when(F.array_contains("trail", F.col("child")), F.array_join(way["trail"], " -> "))
+        reached = (
+            frontier.join(links, "name")
+            .select(F.col("child").alias("name"), way.alias("way"), repeated.alias("cycle"))
+            .groupBy("name")
+            .agg(F.min("way").alias("way"), F.min("cycle").alias("cycle"))
         )
-        better = F.col("known_path").isNull() | (F.col("way.search_path") < F.col("known_path"))
-        new = shortest.join(
-            _smallest_paths(found).withColumnRenamed("search_path", "known_path"), "name", "left"
-        ).where(better | F.col("cycle").isNotNull())
         seen = Observation()
-        frontier = cut_lineage(
-            new.select("name", "way.*", F.col("cycle.trail").alias("cycle")).observe(
-                seen, F.count(F.lit(1)).alias("names"), F.max(F.array_join("cycle", " -> ")).alias("cycle")
-            ),
-            "level",
+        stored = cut_lineage(
+            reached.observe(seen, F.count(F.lit(1)).alias("names"), F.min("cycle").alias("cycle")), "level"
         )
-        level = seen.get
-        if level["cycle"]:
-            raise CollectionCycleError(level["cycle"])
-        if not level["names"]:
-            return _smallest_paths(found)
-        frontier = frontier.drop("cycle")
-        found = found.unionByName(frontier)
-
-
-def _smallest_paths(ways: DataFrame) -> DataFrame:
-    return ways.groupBy("name").agg(F.min("search_path").alias("search_path"))
+        if seen.get["cycle"] is not None:
+            raise CollectionCycleError(seen.get["cycle"])
+        if not seen.get["names"]:
+            ways = reduce(DataFrame.unionByName, levels)
+            return ways.groupBy("name").agg(F.min("search_path").alias("search_path"))
+        frontier = stored.select("name", "way.*")
 
 
 def flatten_collections(collections: DataFrame, roots: Sequence[str]) -> DataFrame:

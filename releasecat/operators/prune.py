@@ -40,22 +40,22 @@ def referenced_keys(datasets: DataFrame, definition: DataFrame) -> ReferencedKey
 
 def prune_exposures(exposures: DataFrame, keys: ReferencedKeys) -> DataFrame:
     kept = keep_matching(exposures, keys.exposures, {"instrument": "instrument", "id": "exposure"}, unique_keys=True)
-    return sort_by(kept, "instrument", "id")
+    return _in_order(kept, "instrument", "id")
 
 
 def prune_visits(visits: DataFrame, keys: ReferencedKeys) -> DataFrame:
     kept = keep_matching(visits, keys.visits, {"instrument": "instrument", "id": "visit"}, unique_keys=True)
-    return sort_by(kept, "instrument", "id")
+    return _in_order(kept, "instrument", "id")
 
 
 def prune_visit_members(members: DataFrame, keys: ReferencedKeys) -> DataFrame:
     """For tables keyed by visit and something else: regions, memberships."""
-    return sort_by(keep_matching(members, keys.visits, _VISIT, unique_keys=True), *_VISIT)
+    return _in_order(keep_matching(members, keys.visits, _VISIT, unique_keys=True), *_VISIT)
 
 
 def prune_definitions(definition: DataFrame, keys: ReferencedKeys) -> DataFrame:
     """Distinct definition rows with a referenced exposure or a referenced visit."""
-    return sort_by(keep_matching_any(definition, (keys.exposures, _EXPOSURE), (keys.visits, _VISIT)), *_VISIT)
+    return _in_order(keep_matching_any(definition, (keys.exposures, _EXPOSURE), (keys.visits, _VISIT)), *_VISIT)
 
 
 def prune_unreferenced(tables: Mapping[str, DataFrame], keys: ReferencedKeys) -> dict[str, DataFrame]:
@@ -70,6 +70,12 @@ def prune_unreferenced(tables: Mapping[str, DataFrame], keys: ReferencedKeys) ->
     return {name: rules[name](table, keys) for name, table in tables.items() if name in rules}
 
 
+def _in_order(table: DataFrame, *first: str) -> DataFrame:
+    # The columns after the key only break ties, so that the rows of one key can be cut into ranges.
+    ties = [c for c, kind in table.dtypes if c not in first and kind in ("bigint", "int", "string")]
+    return sort_by(table, *first, *ties)
+
+
 def remove_value(
     records: Mapping[str, tuple[DataFrame, str]],
     datasets: DataFrame,

@@ -6,17 +6,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from .. import fs
 from ..functions.identifiers import or_unbounded
 from ..operators.collections import flatten_collections
 from ..operators.joins import keep_matching, keep_missing
-from ..operators.paths import make_paths_absolute, unknown_roots
+from ..operators.paths import make_paths_absolute
 from ..operators.search import associations, extra_runs, find_first, search, search_all
 from ..operators.selection import resolve_names
-from ..operators.validation import require_none
+from ..operators.validation import ReleaseCheckError
 from ..schemas import COLLECTIONS, DATASTORE, RUN
 from ..sinks.manifest import type_entry, write_manifest
 from ..session import cut_lineage, run_together
@@ -93,7 +93,8 @@ def export_release(
     """Write a release dump and return it.
 
     Tables of dataset types with the same dimensions are written by one job.
-    The manifest comes last: a directory without one is an unfinished export.
+    The manifest comes last, after all checks: a directory without one is an
+    unfinished export.
     """
     spark = catalog.datasets.sparkSession
     selection = select_release(catalog, types, provenance_types, collections)
@@ -107,9 +108,13 @@ def export_release(
 
     entries = [type_entry(t) for t in selection.types]
     files = {e["dataset_type"]["name"]: e for e in entries}
-    entries_found = associations(
-        selection.datasets, catalog.memberships, selection.collections
-    ).withColumn("timespan", or_unbounded("timespan"))
+    entries_found = cut_lineage(
+        associations(selection.datasets, catalog.memberships, selection.collections).withColumn(
+            "timespan", or_unbounded("timespan")
+        ),
+        "associations",
+        "dataset_type",
+    )
     for dimensions, names in _by_dimensions(selection.types).items():
         jobs.append(
             partial(
@@ -130,16 +135,19 @@ def export_release(
         )
 
     records = datastore_for(selection.datasets, catalog.datastore)
+    rootless = Observation()
     if absolute_paths:
-        require_none(
-            unknown_roots(records, catalog.roots).select("datastore_name", "path"), "No root known for datastore"
-        )
+        # A path without a known root comes out NULL; the job that writes the records looks for one.
         records = make_paths_absolute(records, catalog.roots)
+        unknown = F.when(F.col("path").isNull(), F.col("datastore_name"))
+        records = records.observe(rootless, F.min(unknown).alias("datastore"))
     record_files = {n: f"{directory}/{e['datastore_export_file']}" for n, e in files.items()}
     collection_rows = selection.collections.select(*COLLECTIONS.names)
     jobs.append(partial(write_by_type, records, DATASTORE, record_files))
     jobs.append(partial(write_collections, collection_rows, f"{directory}/{COLLECTIONS_FILE}"))
     run_together(jobs)
+    if absolute_paths and rootless.get["datastore"] is not None:
+        raise ReleaseCheckError(f"No root known for datastore {rootless.get['datastore']!r}")
     write_manifest(spark, directory, COLLECTIONS_FILE, catalog.dimension_config, dimension_files, entries)
     return Release(spark, directory, catalog.spec)
 

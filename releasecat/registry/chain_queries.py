@@ -12,7 +12,6 @@ from ..operators.collections import (
     add_alias_chain,
     association_collections,
     chain_edges,
-    collect_children,
     collection_nodes,
     search_collections,
     walk_chains,
@@ -88,37 +87,6 @@ def flatten_chain(spark, sf_dir):
     return ranked.select("name", (F.size("search_path") - 1).cast("long").alias("depth"), "search_rank")
 
 
-@query(
-    "collection_children",
-    """
-    SELECT 'n' || c_nationkey AS parent, count(*) AS children, string_agg('c' || c_custkey, ',' ORDER BY c_custkey)
-             AS listed
-    FROM customer GROUP BY c_nationkey
-    """,
-)
-def collection_children(spark, sf_dir):
-    """Customers of each nation as an ordered chain."""
-    customer = table(spark, sf_dir, "customer")
-    edges = customer.select(
-        F.concat(F.lit("n"), F.col("c_nationkey")).alias("parent"),
-        F.col("c_custkey").alias("position"),
-        F.concat(F.lit("c"), F.col("c_custkey")).alias("child"),
-    )
-    chains = collect_children(edges)
-    return chains.select(
-        "parent", F.size("children").cast("long").alias("children"), F.array_join("children", ",").alias("listed")
-    )
-
-
-def _edges_of_nations(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    return nation.select(
-        F.concat(F.lit("r"), F.col("n_regionkey")).alias("parent"),
-        F.col("n_nationkey").alias("position"),
-        F.col("n_name").alias("child"),
-    )
-
-
 _NATION_CHAINS_SQL = """
 chains AS (
   SELECT 'r' || n_regionkey AS name, n_name AS child,
@@ -128,8 +96,13 @@ chains AS (
 
 
 def _nation_collections(spark, sf_dir):
-    chains = collect_children(_edges_of_nations(spark, sf_dir)).select(
-        F.col("parent").alias("name"), F.lit(3).cast("byte").alias("type"), F.lit("region").alias("doc"), "children"
+    # There are 25 nations at any scale, so a region's chain is a short list.
+    listed = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
+    chains = (
+        table(spark, sf_dir, "nation")
+        .groupBy(F.concat(F.lit("r"), F.col("n_regionkey")).alias("name"))
+        .agg(F.transform(listed, lambda nation: nation["n_name"]).alias("children"))
+        .select("name", F.lit(3).cast("byte").alias("type"), F.lit("region").alias("doc"), "children")
     )
     runs = table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("name"),

@@ -13,7 +13,7 @@ from ..plans.summary import dataset_counts, dimension_counts, summarize
 from ..plans.transfer import transfer_plan
 from ..plans.transform import change_storage_class, prune_release, remove_value_from_release
 from ..session import staging_path
-from ..sources.release import Release, manifest_dimensions, manifest_types
+from ..sources.release import Release, manifest_types
 from . import adapters
 from .base import query
 
@@ -121,11 +121,30 @@ def export_collections(spark, sf_dir):
     return exported(spark, sf_dir).read_collections().select("name", "type")
 
 
-@query("export_manifest_types")
+@query(
+    "export_manifest_types",
+    f"""
+    WITH {RELEASE_SQL}
+    SELECT dataset_type AS name, CASE WHEN dataset_type LIKE 'order%' THEN 'instrument,visit'
+             WHEN dataset_type = 'raw' THEN 'instrument,exposure' WHEN dataset_type = 'sky_map' THEN 'skymap'
+             ELSE '' END AS dimensions,
+           dataset_type = 'order_p' AS "isCalibration", dataset_type || '.datasets.parquet' AS dataset_export_file,
+           count(*) AS datasets
+    FROM released GROUP BY dataset_type
+    """,
+)
 def export_manifest_types(spark, sf_dir):
+    """Dataset types as the manifest lists them, with the datasets in their files."""
     release = exported(spark, sf_dir)
-    types = manifest_types(release.manifest)
-    return types.select("name", "storageClass", F.array_join("dimensions", ",").alias("dimensions"), "isCalibration")
+    counts = release.read_all_datasets().groupBy(F.col("dataset_type").alias("name")).count()
+    types = manifest_types(release.manifest).join(counts, "name")
+    return types.select(
+        "name",
+        F.array_join("dimensions", ",").alias("dimensions"),
+        "isCalibration",
+        "dataset_export_file",
+        F.col("count").alias("datasets"),
+    )
 
 
 @query(
