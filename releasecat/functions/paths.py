@@ -12,7 +12,7 @@ ABSOLUTE_URI = "^[^:/]+://"
 
 def physical_file(path: Column | str) -> Column:
     """The path without its URI fragment: members of one archive share it."""
-    return F.split_part(_col(path), F.lit("#"), F.lit(1))
+    return F.substring_index(_col(path), "#", 1)
 
 
 def is_absolute(path: Column | str) -> Column:

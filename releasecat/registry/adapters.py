@@ -153,7 +153,7 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.unionByName(valid)
 
 
-def datastore(spark: SparkSession, sf_dir: str) -> DataFrame:
+def datastore(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     """A file record for each line item: a member of its part's archive.
 
     Returned items have no recorded size and open ones an absolute path.
@@ -162,6 +162,7 @@ def datastore(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("parts/"), F.col("l_partkey"), F.lit(".zip#unzip="), F.col("l_orderkey")
     )
     return table(spark, sf_dir, "lineitem").select(
+        *keys,
         F.concat(F.lit("store_"), F.lower("l_returnflag")).alias("datastore_name"),
         dataset_key("0", F.col("l_orderkey")).alias("dataset_id"),
         F.when(F.col("l_linestatus") == "O", F.concat(F.lit("file:///archive/"), member)).otherwise(member).alias("path"),

@@ -22,7 +22,6 @@ from ..operators.summary import (
 )
 from ..operators.joins import fill_sizes
 from ..operators.transfer import running_transfer_totals, transfer_totals
-from ..plans.export import datastore_for
 from ..streaming.progress import read_events, write_progress
 from ..session import staging_path
 from . import adapters
@@ -36,7 +35,12 @@ _TABLES = (
 
 def typed_records(spark, sf_dir):
     """File records of the orders with their dataset type."""
-    return datastore_for(adapters.order_datasets(spark, sf_dir), adapters.datastore(spark, sf_dir))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order"), F.concat(F.lit("order_"), F.lower("o_orderstatus")).alias("dataset_type")
+    )
+    return adapters.datastore(spark, sf_dir, "l_orderkey").join(
+        orders, F.col("l_orderkey") == F.col("order")
+    ).drop("l_orderkey", "order")
 
 
 def part_listing(spark, sf_dir):
