@@ -9,6 +9,24 @@ COMPLETE = "complete"
 WORKING = "working"
 
 
+def load_events(counts: DataFrame) -> DataFrame:
+    """Events of a finished load step, from the rows it wrote for each dataset type (``n_rows``)."""
+    none = F.lit(None).cast("long")
+    steps = (("started", F.col("n_rows"), none), ("progress", none, F.col("n_rows")), ("completed", none, none))
+    events = F.array(
+        *[
+            F.struct(
+                F.lit(event).alias("event"),
+                F.col("dataset_type").alias("dataset_type"),
+                total.alias("total_datasets"),
+                imported.alias("datasets_imported"),
+            )
+            for event, total, imported in steps
+        ]
+    )
+    return counts.select(F.inline(events))
+
+
 def fold_progress(events: DataFrame) -> DataFrame:
     """Status, rows done and rows in all for each dataset type."""
     return events.groupBy("dataset_type").agg(

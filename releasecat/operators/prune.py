@@ -6,9 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .joins import key_set, keep_matching, keep_matching_all, keep_matching_any, other_side
+from .joins import key_set, keep_matching, keep_matching_all, keep_matching_any, orphans, other_side
 from .ordering import sort_by
 from .selection import drop_value
 
@@ -97,5 +95,4 @@ def remove_value(
 
 def dangling_definitions(definition: DataFrame, exposures: DataFrame) -> DataFrame:
     """Definition rows whose exposure record was pruned: the other exposures of a referenced visit."""
-    parents = exposures.select("instrument", F.col("id").alias("exposure"))
-    return definition.join(parents, _EXPOSURE, "left_anti")
+    return orphans(definition, exposures, {"instrument": "instrument", "exposure": "id"})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CALIBRATION, TAGGED
-from .joins import keep_missing
+from .joins import keep_matching, keep_missing
 from .paths import unknown_roots, unmapped_paths
 from .selection import unmatched_globs
 
@@ -84,7 +84,7 @@ def duplicate_ids(df: DataFrame, *columns: str) -> DataFrame:
 
 def ids_already_loaded(incoming: DataFrame, loaded: DataFrame, column: str = "dataset_id") -> DataFrame:
     """Incoming ids that the target has already."""
-    return incoming.select(column).join(loaded.select(column), column, "left_semi")
+    return keep_matching(incoming.select(column), loaded, column)
 
 
 def null_violations(df: DataFrame, schema: T.StructType) -> DataFrame:

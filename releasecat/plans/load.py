@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import or_unbounded
-from ..operators.collections import chain_edges, collection_nodes
+from ..operators.collections import add_alias_chain, chain_edges, collection_nodes
 from ..operators.joins import keep_missing, orphans
+from ..operators.progress import load_events
 from ..operators.validation import (
     ReleaseCheckError,
     bad_association_collections,
@@ -19,6 +20,7 @@ from ..operators.validation import (
     schema_differences,
 )
 from ..schemas import CALIBRATION, DATASTORE, TAGGED, as_nullable
+from ..session import run_together
 from ..sources.release import Release
 
 DatastoreTransform = Callable[[DataFrame], DataFrame]
@@ -68,44 +70,67 @@ def load_release(
     datastore_transform: DatastoreTransform | None = None,
     check: bool = True,
     references: bool = True,
+    alias: tuple[str, str] | None = None,
 ) -> dict[str, str]:
     """Load a dump into new Parquet tables under ``target``; returns their paths.
 
     Order: dataset types, dimension records after the records they refer to,
     collections and then their links, datasets, and last what refers to
-    datasets.  Tables are new, so nothing is looked up while they are written.
+    datasets.  Tables of one step are written at the same time.  They are new,
+    so nothing is looked up while they are written.  ``alias`` (existing chain,
+    new name) adds a chain.  The progress table holds the events of each step.
     """
+    spark = release.spark
     chosen = release.select(globs)
     if check:
         check_release(chosen, references)
     paths: dict[str, str] = {}
 
-    def write(name: str, df: DataFrame, *partition_by: str) -> None:
-        paths[name] = f"{target}/{name}"
-        # One type or run can hold a third of the rows: rebalancing cuts it and joins small ones.
-        spread = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-        writer = spread.write.option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(paths[name])
-
-    write("dataset_types", chosen.type_table.drop("position"))
+    def write(**tables: DataFrame) -> None:
+        jobs = []
+        for key, df in tables.items():
+            name = key.replace("__", "/")
+            paths[name] = f"{target}/{name}"
+            jobs.append(partial(_write_loaded, df, paths[name]))
+        run_together(jobs)
+
+    def report(step: str) -> None:
+        written = spark.read.parquet(paths[step])
+        counts = written.groupBy("dataset_type").agg(F.count(F.lit(1)).alias("n_rows"))
+        paths[f"progress/{step}"] = f"{target}/progress/{step}"
+        load_events(counts).coalesce(1).write.parquet(paths[f"progress/{step}"])
+
+    write(dataset_types=chosen.type_table.drop("position"))
     for stage in release.spec.load_order(list(release.dimension_files)):
-        for name in stage:
-            write(f"dimensions/{name}", release.read_dimension(name))
+        write(**{f"dimensions__{name}": release.read_dimension(name) for name in stage})
     collections = release.read_collections()
-    write("collections", collection_nodes(collections))
-    write("collection_chain", chain_edges(collections))
-    write("datasets", chosen.read_all_datasets(), "dataset_type")
+    if alias is not None:
+        collections = add_alias_chain(collections, *alias)
+    write(collections=collection_nodes(collections))
+    write(collection_chain=chain_edges(collections))
+    write(datasets=chosen.read_all_datasets())
+    report("datasets")
 
     records = chosen.read_all_datastore()
     if datastore_transform is not None:
         records = records.transform(datastore_transform)
-    write("datastore", records.select(*DATASTORE.names, "dataset_type"), "dataset_type")
     tagged, calibrations = split_associations(chosen.read_all_associations(), collections)
-    write("tags", tagged, "dataset_type")
-    write("calibrations", calibrations, "dataset_type")
+    write(
+        datastore=records.select(*DATASTORE.names, "dataset_type"),
+        tags=tagged,
+        calibrations=calibrations,
+    )
+    report("datastore")
     return paths
 
 
+def _write_loaded(df: DataFrame, path: str) -> None:
+    # One type can hold a third of the rows: rebalancing cuts it and joins small ones.
+    by = [c for c in ("dataset_type",) if c in df.columns]
+    writer = df.hint("rebalance", *by).write.option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
 def split_associations(associations: DataFrame, collections: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Entries of tagged collections, and of calibration collections with their time span."""
     kinds = collections.select(F.col("name").alias("collection"), F.col("type").alias("__type"))

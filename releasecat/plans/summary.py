@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
+from .. import fs
 from ..operators.summary import count_report, release_summary, type_count_report
 from ..sinks.report import SUMMARY_TITLES, to_markdown
 from ..sources.release import Release
@@ -26,6 +27,11 @@ def summary_text(summary: DataFrame, title: str = "Datasets") -> str:
     return to_markdown(summary, SUMMARY_TITLES, title)
 
 
+def write_summary(summary: DataFrame, path: str, title: str = "Datasets") -> None:
+    """Write the summary as a Markdown file."""
+    fs.write_text(summary.sparkSession, path, summary_text(summary, title))
+
+
 def dimension_counts(release: Release) -> DataFrame:
     """Records of each dimension element."""
     return count_report({name: release.read_dimension(name) for name in release.dimension_files})

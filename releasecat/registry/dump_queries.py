@@ -279,7 +279,7 @@ def pruned_release(spark, sf_dir):
     UNION ALL SELECT 'datastore', count(*) FROM release_records
     UNION ALL SELECT 'tags', count(*) FROM found WHERE tag = 'tags/1'
     UNION ALL SELECT 'calibrations', count(*) FROM found WHERE dataset_type = 'order_p'
-    UNION ALL SELECT 'collection_chain', 8
+    UNION ALL SELECT 'collection_chain', 12
     UNION ALL SELECT 'dimensions/visit', count(*) FROM customer
     UNION ALL SELECT 'dimensions/exposure', count(*) FROM orders
     """,
@@ -292,6 +292,7 @@ def loaded_release(spark, sf_dir):
         staging_path(spark, "loaded"),
         datastore_transform=lambda records: map_to_datastores(records, mapping),
         references=False,
+        alias=("nested", "short"),
     )
     names = (
         "dataset_types datasets datastore tags calibrations collection_chain dimensions/visit dimensions/exposure"

@@ -119,6 +119,10 @@ class Release:
         row = self.type_named(name)
         return self._scan(row["dataset_export_file"], self.spec.dataset_schema(row["dimensions"]))
 
+    def read_dataset_ids(self, name: str) -> DataFrame:
+        """Only the ids of the datasets of one type; the scan reads no other column."""
+        return self.read_datasets(name).select("dataset_id")
+
     def read_associations(self, name: str) -> DataFrame:
         row = self.type_named(name)
         return self._scan(row["association_export_file"], self.spec.association_schema(row["dimensions"]))

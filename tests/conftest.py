@@ -14,7 +14,7 @@ def spark():
     session = build_session(
         "tests",
         os.environ.get("TEST_MASTER", "local[8]"),
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
         spark__sql__execution__arrow__pyspark__enabled="true",

@@ -16,11 +16,12 @@ from releasecat.operators.collections import (
     chain_edges,
     flatten_collections,
 )
+from releasecat.operators.progress import fold_progress
 from releasecat.operators.selection import UnmatchedPatternError
 from releasecat.operators.validation import ReleaseCheckError, null_violations, schema_differences
 from releasecat.plans.export import export_release
 from releasecat.plans.load import check_release, load_release
-from releasecat.plans.summary import dataset_counts, dimension_counts, summarize, summary_text
+from releasecat.plans.summary import dataset_counts, dimension_counts, summarize, summary_text, write_summary
 from releasecat.plans.transfer import transfer_plan
 from releasecat.plans.transform import change_storage_class
 from releasecat.schemas import COLLECTIONS, DATASTORE, STANDARD_SPEC, TIMESPAN
@@ -184,6 +185,7 @@ def test_find_first_and_shadowing(release):
         [(key("one"), "runs/a", "cam", 439), (key("two"), "runs/b", "cam", 440)]
     )
     assert found.columns == ["dataset_id", "run", "instrument", "visit"]
+    assert release.read_dataset_ids("t1").columns == ["dataset_id"]
 
 
 def test_glob_empty_type_and_calibrations(release):
@@ -250,6 +252,9 @@ def test_reports(release, spark):
         ("t3", 0, 0, 0, "0 bytes"),
     ]
     assert "| t1 | 2 | 3 | 1.0 kB | 1010 |" in summary_text(summary).splitlines()
+    path = staging_path(spark, "summary.txt")
+    write_summary(summary, path, "All data")
+    assert spark.read.text(path).first()["value"] == "All data"
 
 
 def test_transfer_plan_of_a_release(release, spark):
@@ -297,12 +302,16 @@ def test_file_names_cannot_leave_the_release(spark, release):
 
 
 def test_load_round_trip(spark, catalog, release):
-    paths = load_release(release, staging_path(spark, "target"))
+    paths = load_release(release, staging_path(spark, "target"), alias=("nested", "short"))
+    steps = fold_progress(spark.read.parquet(paths["progress/datasets"]))
+    assert rows_of(steps, "dataset_type", "total", "imported", "status")[1] == ("t1", 2, 2, "complete")
     loaded = spark.read.parquet(paths["datasets"])
     assert rows_of(loaded, "dataset_id", "dataset_type") == rows_of(release.read_all_datasets(), "dataset_id", "dataset_type")
     assert rows_of(spark.read.parquet(paths["collection_chain"]), "parent", "position", "child") == [
         ("nested", 0, "tag"),
         ("nested", 1, "cal"),
+        ("short", 0, "tag"),
+        ("short", 1, "cal"),
         ("top", 0, "runs/a"),
         ("top", 1, "nested"),
     ]
