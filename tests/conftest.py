@@ -16,7 +16,11 @@ def spark():
         os.environ.get("TEST_MASTER", "local[8]"),
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        # Compiling a plan takes longer than running it on tables this small.
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
         spark__driver__memory="8g",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:+UseSerialGC",
         spark__sql__execution__arrow__pyspark__enabled="true",
     )
     session.sparkContext.setLogLevel("ERROR")
