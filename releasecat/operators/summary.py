@@ -81,20 +81,21 @@ def release_summary(
     if listing is not None:
         parts.append(_part(listed_size(datastore, listing, "dataset_type"), "bytes"))
     if types is not None:
-        parts.append(_part(types.select(F.col("name").alias("dataset_type"))))
+        parts.append(_part(types.select(F.col("name").alias("dataset_type"), F.lit(1).alias("wanted")), "wanted"))
     table = reduce(DataFrame.unionByName, parts)
     totals = table.groupBy("dataset_type").agg(
         F.sum("datasets").alias("datasets"),
         F.sum("files").alias("files"),
         F.sum("bytes").cast(_BYTES).alias("bytes"),
+        F.sum("wanted").alias("wanted"),
     )
     if types is not None:
-        totals = totals.join(types.select(F.col("name").alias("dataset_type")), "dataset_type", "left_semi")
-    return totals.withColumn("size", decimal_size("bytes")).orderBy("dataset_type")
+        totals = totals.where("wanted > 0")
+    return totals.drop("wanted").withColumn("size", decimal_size("bytes")).orderBy("dataset_type")
 
 
 def _part(df: DataFrame, *columns: str) -> DataFrame:
-    kinds = {"datasets": "bigint", "files": "bigint", "bytes": _BYTES}
+    kinds = {"datasets": "bigint", "files": "bigint", "bytes": _BYTES, "wanted": "bigint"}
     return df.select(
         "dataset_type",
         *[

@@ -111,7 +111,7 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = [
         (orders.select(order_run().alias("name")).distinct(), RUN),
         (orders.select(_tag().alias("name")).distinct(), TAGGED),
-        (orders.where("o_orderstatus = 'P'").select(F.lit("calibs/p").alias("name")).distinct(), CALIBRATION),
+        (orders.where("o_orderstatus = 'P'").select(_calibration().alias("name")).distinct(), CALIBRATION),
         (raw_datasets(spark, sf_dir).select(F.col("run").alias("name")).distinct(), RUN),
     ]
     table_ = spark.createDataFrame(
@@ -138,6 +138,11 @@ def _tag() -> F.Column:
     return F.concat(F.lit("tags/"), F.substring("o_orderpriority", 1, 1))
 
 
+def _calibration() -> F.Column:
+    # Made from the status: a literal would turn the joins on it into comparisons with a constant.
+    return F.concat(F.lit("calibs/"), F.lower("o_orderstatus"))
+
+
 def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order is tagged by its priority; orders of status P are valid on their day."""
     orders = table(spark, sf_dir, "orders")
@@ -147,7 +152,7 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = orders.select(identity, _tag().alias("collection"), F.lit(None).cast(span).alias("timespan"))
     valid = orders.where("o_orderstatus = 'P'").select(
         identity,
-        F.lit("calibs/p").alias("collection"),
+        _calibration().alias("collection"),
         F.struct(begin.alias("begin_nsec"), (begin + F.lit(DAY_NSEC)).alias("end_nsec")).cast(span).alias("timespan"),
     )
     return tagged.unionByName(valid)
