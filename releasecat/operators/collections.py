@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CALIBRATION, CHAINED, TAGGED
@@ -75,13 +75,11 @@ def walk_chains(edges: DataFrame, roots: Sequence[str]) -> DataFrame:
             .groupBy("name")
             .agg(F.min("way").alias("way"), F.min("cycle").alias("cycle"))
         )
-        seen = Observation()
-        stored = cut_lineage(
-            reached.observe(seen, F.count(F.lit(1)).alias("names"), F.min("cycle").alias("cycle")), "level"
-        )
-        if seen.get["cycle"] is not None:
-            raise CollectionCycleError(seen.get["cycle"])
-        if not seen.get["names"]:
+        stored = cut_lineage(reached, "level")
+        level = stored.agg(F.count(F.lit(1)).alias("names"), F.min("cycle").alias("cycle")).first()
+        if level["cycle"] is not None:
+            raise CollectionCycleError(level["cycle"])
+        if not level["names"]:
             ways = reduce(DataFrame.unionByName, levels)
             return ways.groupBy("name").agg(F.min("search_path").alias("search_path"))
         frontier = stored.select("name", "way.*")
@@ -94,15 +92,12 @@ def flatten_collections(collections: DataFrame, roots: Sequence[str]) -> DataFra
     """
     ways = walk_chains(chain_edges(collections), roots)
     ranked = row_index(ways, ["search_path"], "search_rank").select("name", "search_rank")
-    absent = Observation()
     resolved = cut_lineage(
-        ranked.join(collections, "name", "left")
-        .select(*collections.columns, "search_rank")
-        .observe(absent, F.min(F.when(F.col("type").isNull(), F.col("name"))).alias("name")),
-        "collections",
+        ranked.join(collections, "name", "left").select(*collections.columns, "search_rank"), "collections"
     )
-    if absent.get["name"] is not None:
-        raise MissingCollectionError(f"Collection does not exist: {absent.get['name']}")
+    absent = resolved.where(F.col("type").isNull()).select("name").take(5)
+    if absent:
+        raise MissingCollectionError(f"Collections do not exist: {[row['name'] for row in absent]}")
     return resolved
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .. import fs
@@ -16,8 +16,8 @@ from ..operators.joins import keep_matching, keep_missing
 from ..operators.paths import make_paths_absolute
 from ..operators.search import associations, extra_runs, find_first, search, search_all
 from ..operators.selection import resolve_names
-from ..operators.validation import ReleaseCheckError
-from ..schemas import COLLECTIONS, DATASTORE, RUN
+from ..operators.validation import require_none
+from ..schemas import COLLECTIONS, DATASTORE, RUN, as_nullable
 from ..sinks.manifest import type_entry, write_manifest
 from ..session import cut_lineage, run_together
 from ..sinks.tables import write_by_type, write_collections, write_dimension
@@ -135,19 +135,16 @@ def export_release(
         )
 
     records = datastore_for(selection.datasets, catalog.datastore)
-    rootless = Observation()
     if absolute_paths:
-        # A path without a known root comes out NULL; the job that writes the records looks for one.
         records = make_paths_absolute(records, catalog.roots)
-        unknown = F.when(F.col("path").isNull(), F.col("datastore_name"))
-        records = records.observe(rootless, F.min(unknown).alias("datastore"))
     record_files = {n: f"{directory}/{e['datastore_export_file']}" for n, e in files.items()}
     collection_rows = selection.collections.select(*COLLECTIONS.names)
     jobs.append(partial(write_by_type, records, DATASTORE, record_files))
     jobs.append(partial(write_collections, collection_rows, f"{directory}/{COLLECTIONS_FILE}"))
     run_together(jobs)
-    if absolute_paths and rootless.get["datastore"] is not None:
-        raise ReleaseCheckError(f"No root known for datastore {rootless.get['datastore']!r}")
+    # A path without a known root came out NULL.  Column statistics let the scan skip what has none.
+    written = spark.read.schema(as_nullable(DATASTORE)).parquet(*record_files.values())
+    require_none(written.where(F.col("path").isNull()).select("datastore_name"), "No root known for datastore")
     write_manifest(spark, directory, COLLECTIONS_FILE, catalog.dimension_config, dimension_files, entries)
     return Release(spark, directory, catalog.spec)
 

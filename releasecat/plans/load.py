@@ -8,6 +8,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import fs
 from ..functions.identifiers import or_unbounded
 from ..operators.collections import add_alias_chain, chain_edges, collection_nodes
 from ..operators.joins import keep_missing, orphans
@@ -21,6 +22,7 @@ from ..operators.validation import (
 )
 from ..schemas import CALIBRATION, DATASTORE, TAGGED, as_nullable
 from ..session import run_together
+from ..sinks.tables import write_empty
 from ..sources.release import Release
 
 DatastoreTransform = Callable[[DataFrame], DataFrame]
@@ -129,6 +131,9 @@ def _write_loaded(df: DataFrame, path: str) -> None:
     by = [c for c in ("dataset_type",) if c in df.columns]
     writer = df.hint("rebalance", *by).write.option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
+    if by and not any(name.startswith("dataset_type=") for name in fs.list_names(df.sparkSession, path)):
+        # Without rows there is no partition, and without a file nobody could tell the columns.
+        write_empty(df.sparkSession, path, df.schema, mode="append")
 
 
 def split_associations(associations: DataFrame, collections: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import skip_existing
 from ..operators.paths import file_list
 from ..operators.transfer import assign_batches, transfer_pairs
-from ..operators.validation import ReleaseCheckError
+from ..operators.validation import require_none
 from ..session import cut_lineage
 from ..sources.release import Release
 
@@ -29,12 +29,9 @@ def transfer_plan(
     ``listing`` (``destination``) holds what is at the destination already.
     """
     files = file_list(release.select(globs).read_all_datastore())
-    # The list of files is made once; the same job looks for files no prefix covers.
-    stray = Observation()
-    unmapped = F.when(F.col("destination").isNull(), F.col("source"))
-    pairs = cut_lineage(transfer_pairs(files, mapping).observe(stray, F.min(unmapped).alias("source")), "pairs")
-    if stray.get["source"] is not None:
-        raise ReleaseCheckError(f"No datastore mapping for {stray.get['source']!r}")
+    # The list of files is made once; a file no prefix covers has no destination in it.
+    pairs = cut_lineage(transfer_pairs(files, mapping), "pairs")
+    require_none(pairs.where(F.col("destination").isNull()).select("source"), "No datastore mapping for")
     if listing is not None:
         pairs = skip_existing(pairs, listing)
     return assign_batches(pairs, size)

@@ -78,11 +78,15 @@ def cut_lineage(df: DataFrame, label: str = "stored", *partition_by: str) -> Dat
     """Write the rows to the shared folder and read them back.
 
     They are computed once, whatever happens to executors, and the size of the
-    written table is what Spark plans the next joins with.
+    written table is what Spark plans the next joins with.  A partitioned table
+    is rebalanced first: a file for each task and partition would be too many.
     """
     path = staging_path(df.sparkSession, label)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        spread = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    else:
+        spread = df.write
+    spread.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(as_nullable(df.schema)).parquet(path)
 
 

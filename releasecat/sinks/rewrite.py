@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import fs
 from ..schemas import as_nullable, conform
+from ..session import run_together
 
 _STAGED = ".__staged"
 _REPLACED = ".__replaced"
@@ -28,17 +30,21 @@ def rewrite_tables(spark: SparkSession, changes: Mapping[str, tuple[Rewrite, T.S
     still in place, and only then are they swapped in.  A path a plan reads is
     never overwritten.  ``recover_table`` repairs a swap that was cut short.
     """
-    for path, (function, schema) in changes.items():
+    for path in changes:
         recover_table(spark, path)
-        source = spark.read.schema(as_nullable(schema)).parquet(path)
-        result = conform(function(source), schema)
-        result.write.mode("overwrite").option("compression", "zstd").parquet(path + _STAGED)
+    run_together([partial(_stage, spark, path, *change) for path, change in changes.items()])
     for path in changes:
         fs.rename(spark, path, path + _REPLACED)
         fs.rename(spark, path + _STAGED, path)
         fs.delete(spark, path + _REPLACED)
 
 
+def _stage(spark: SparkSession, path: str, function: Rewrite, schema: T.StructType) -> None:
+    source = spark.read.schema(as_nullable(schema)).parquet(path)
+    result = conform(function(source), schema)
+    result.write.mode("overwrite").option("compression", "zstd").parquet(path + _STAGED)
+
+
 def recover_table(spark: SparkSession, path: str) -> None:
     """Finish or undo a swap that did not run to its end."""
     if not fs.exists(spark, path + _REPLACED):

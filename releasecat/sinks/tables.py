@@ -66,6 +66,6 @@ def write_by_type(
     fs.delete(spark, staged)
 
 
-def write_empty(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def write_empty(spark: SparkSession, path: str, schema: T.StructType, mode: str = "errorifexists") -> None:
     """A table with columns and no rows."""
-    spark.createDataFrame([], as_nullable(schema)).coalesce(1).write.option("compression", "zstd").parquet(path)
+    spark.createDataFrame([], as_nullable(schema)).coalesce(1).write.mode(mode).parquet(path)

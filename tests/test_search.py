@@ -337,6 +337,16 @@ def test_checks_stop_a_bad_release(spark, catalog):
     assert schema_differences(twice, STANDARD_SPEC.dataset_schema(["detector"])) == ["unknown dataset_type", "unknown visit"]
 
 
+def test_an_export_without_any_dataset(spark, catalog):
+    release = export_release(catalog, staging_path(spark, "empty"), ["t3"], [], ["top"])
+    assert release.read_all_datasets().count() == 0
+    assert {r["name"] for r in release.read_collections().collect()} == {"top", "nested", "tag", "cal", "runs/a"}
+    assert transfer_plan(release, {"file:///r": "first"}).count() == 0
+    paths = load_release(release, staging_path(spark, "empty_target"))
+    assert spark.read.parquet(paths["datasets"]).columns[0] == "dataset_id"
+    assert spark.read.parquet(paths["calibrations"]).count() == 0
+
+
 def test_storage_class_patch(spark, catalog):
     release = export_release(catalog, staging_path(spark, "patched"), ["t1", "t2"], [], ["top"])
     changed = change_storage_class(release, ["t2", "t7"], "Arrow")
