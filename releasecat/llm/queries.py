@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fingerprints import compare_edits
 from .licenses import scan_licenses
+from .packing import pack_documents
+from .secrets import scan_secrets, secret_digest
 from .sharding import shard_documents
 from .text import prepare
 
@@ -15,6 +18,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary_path() -> str:
+    """The public vocabulary file that the packing query and the pipeline use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _query(name: str):
     def register(function):
         QUERIES[name] = lambda spark, sf_dir: function(prepare(spark), sf_dir)
@@ -45,3 +55,21 @@ def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "virtual_slot",
         "map_version",
     )
+
+
+@_query("op3_pack_windows")
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_read(spark, sf_dir, "documents"), vocabulary_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@_query("op4_merkle_fingerprints")
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edits(_read(spark, sf_dir, "documents"))
+
+
+@_query("op5_novel_secrets")
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(scan_secrets(_read(spark, sf_dir, "documents")))
