@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .text import keep
 
 # Phrases that are counted, and the label of each.
@@ -41,8 +43,8 @@ TEMPLATES = (
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Rarest license words of a file that are looked up, and the share of a notice's weight that must be in place.
-RAREST = 24
+# Rarest words of a notice that are looked up, and the share of its weight that must be in place.
+ANCHORS = 4
 LEAST_SHARE = 0.6
 
 
@@ -71,57 +73,70 @@ def phrase_starts(words: Column, phrase: str) -> Column:
     return F.when(F.size(words) >= len(parts), F.filter(places, fits)).otherwise(F.array().cast("array<int>"))
 
 
-def license_index(spark) -> DataFrame:
-    """Postings of the notices: ``word, template, label, position``; one row for each word of a notice."""
-    rows = spark.sql("SELECT inline(array(" + ",".join(
-        f"named_struct('template', {number}, 'label', '{label}', 'notice', '{notice}')"
-        for number, (label, notice, _) in enumerate(TEMPLATES)
-    ) + "))")
-    return rows.select("template", "label", F.posexplode(F.split("notice", " ")).alias("position", "word"))
-
+def word_weights(texts: DataFrame) -> dict[str, float]:
+    """Inverse document frequency, over all rows of ``texts``, of every word of the notices.
 
-def word_weights(texts: DataFrame, index: DataFrame) -> DataFrame:
-    """Inverse document frequency, over all rows of ``texts``, of the words of the index: ``word, weight``.
-
-    Each text gives each word of the index once at most, and the map tasks sum before the exchange; the index is
-    fixed, so the result has one row for each of its words.
+    Each text gives each of these words once at most and the map tasks sum before the exchange; the driver gets one
+    number for each word of the fixed notices.
     """
     vocabulary = sorted({w for _, notice, _ in TEMPLATES for w in notice.split()})
     listed = F.array(*[F.lit(w) for w in vocabulary])
     held = texts.select(F.explode(F.array_intersect(text_words(F.col("text")), listed)).alias("word"))
-    counts = held.groupBy("word").agg(F.count(F.lit(1)).alias("files"))
-    total = texts.agg(F.count(F.lit(1)).alias("total"))
-    return (
-        index.select("word").distinct().join(counts, "word", "left").join(F.broadcast(total))
-        .select("word", F.log((F.col("total") + 1) / (F.coalesce("files", F.lit(0)) + 1)).alias("idf"))
-        .select("word", (F.col("idf") + 0.01).alias("weight"))
-    )
+    files = {r.word: r.files for r in held.groupBy("word").agg(F.count(F.lit(1)).alias("files")).collect()}
+    total = texts.count()
+    return {w: math.log((total + 1) / (files.get(w, 0) + 1)) + 0.01 for w in vocabulary}
+
+
+class Notice(NamedTuple):
+    """A notice in the index: label, words, their weights, and the places of its rarest words in it."""
+
+    label: str
+    words: list[str]
+    weights: list[float]
+    anchors: list[int]
+    needed: tuple[str, ...]
+
 
+def license_index(weights: dict[str, float]) -> list[Notice]:
+    """The notices with postings of their ``ANCHORS`` rarest words."""
+    index = []
+    for label, notice, needed in TEMPLATES:
+        parts = notice.split()
+        by_rarity = sorted(range(len(parts)), key=lambda i: (-weights[parts[i]], i))
+        index.append(Notice(label, parts, [weights[w] for w in parts], by_rarity[:ANCHORS], needed))
+    return index
 
-def notice_shares(texts: DataFrame, index: DataFrame, weights: DataFrame) -> DataFrame:
-    """Best share of each notice in each text: ``key, template, label, share``.
 
-    ``texts`` has ``key`` and ``text``, a key once.  Of the license words of a text the rarest are looked up; the
-    postings they find are counted by notice and relative position, so words of a notice weigh in together only
-    where they stand as far from each other as in the notice.
+def notice_share(words: Column, places: Column, notice: Notice) -> Column:
+    """Largest share of a notice's weight that stands in a text in the notice's order, 0 without any of its anchors.
+
+    ``places`` are where rare license words stand.  A place of an anchor fixes where the notice would begin; the
+    words at the same distances from there are compared with the notice.
     """
-    postings = index.join(weights, "word")
-    whole = postings.groupBy("template").agg(F.sum("weight").alias("whole"))
-    places = texts.select("key", F.posexplode(text_words(F.col("text"))).alias("place", "word"))
-    held = places.join(F.broadcast(weights), "word")
-    rare = held.groupBy("key", "word").agg(F.max("weight").alias("weight"))
-    by_rarity = Window.partitionBy("key").orderBy(F.desc("weight"), "word")
-    chosen = rare.withColumn("rank", F.row_number().over(by_rarity)).where(F.col("rank") <= RAREST).select("key", "word")
-    votes = (
-        held.select("key", "place", "word").join(chosen, ["key", "word"])
-        .join(F.broadcast(postings), "word")
-        .groupBy("key", "template", "label", (F.col("place") - F.col("position")).alias("shift"))
-        .agg(F.sum("weight").alias("weight"))
-    )
-    best = votes.groupBy("key", "template", "label").agg(F.max("weight").alias("weight"))
-    return best.join(F.broadcast(whole), "template").select(
-        "key", "template", "label", F.least(F.lit(1.0), F.col("weight") / F.col("whole")).alias("share")
-    )
+    begins = F.array_distinct(F.concat(*[
+        F.transform(F.filter(places, _holds(words, notice.words[at])), _shifted(at)) for at in notice.anchors
+    ]))
+
+    def weighed(begin: Column) -> Column:
+        total = F.lit(0.0)
+        for step, (word, weight) in enumerate(zip(notice.words, notice.weights, strict=True)):
+            total = total + F.when(_at(words, begin + step) == word, F.lit(weight)).otherwise(0.0)
+        return total
+
+    best = F.coalesce(F.array_max(F.transform(begins, weighed)), F.lit(0.0))
+    return F.least(F.lit(1.0), best / F.lit(sum(notice.weights)))
+
+
+def _at(words: Column, place: Column) -> Column:
+    return F.when(place >= 0, F.get(words, place))
+
+
+def _holds(words: Column, word: str):
+    return lambda place: F.get(words, place) == word
+
+
+def _shifted(by: int):
+    return lambda place: place - by
 
 
 def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -131,61 +146,62 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ``PHRASES``, the smallest and largest of these places, labels of the phrases, labels of phrases and notices, and
     the largest share of a notice found (1 where a phrase stands).  A notice needs its key phrases and
     ``LEAST_SHARE`` of its weight.  Null and empty texts have no words, null places and score 0; repeated rows give
-    repeated rows; an empty table gives none.  Texts without any key phrase never reach the index, and copies
-    reach it once.
+    repeated rows; an empty table gives none.  Everything about a text is worked out in its own row: nothing but the
+    counts behind the weights is shuffled, and texts without any key phrase never reach the index.
     """
-    spark = docs.sparkSession
-    rows = keep(docs, doc_id=id_column, text=text_column)
-    text = F.coalesce("text", F.lit(""))
-    keys = sorted({key for _, _, needed in TEMPLATES for key in needed})
-    hit = text.rlike(phrase_pattern([*PHRASES, *keys]))
-    key = F.when(hit, F.sha2(text.cast("binary"), 256))
-
-    index = license_index(spark)
-    weights = cut_lineage(word_weights(rows, index).coalesce(1), "license-weights")
-    found = rows.where(hit).select(key.alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
-    found = cut_lineage(found, "license-texts")
-    verified = found.select(
-        "key",
-        F.array_compact(F.array(*[
-            F.when(_all(F.col("text").rlike(phrase_pattern([p])) for p in needed), F.lit(number))
-            for number, (_, _, needed) in enumerate(TEMPLATES)
-        ])).alias("verified"),
-    )
-    notices = (
-        notice_shares(found, index, weights).join(verified, "key")
-        .where(F.array_contains("verified", F.col("template")) & (F.col("share") >= LEAST_SHARE))
-        .groupBy("key").agg(F.collect_set("label").alias("notices"), F.max("share").alias("share"))
-    )
-
-    base_hit = text.rlike(phrase_pattern(PHRASES))
-    listed = F.when(base_hit, text_words(text))
-    scanned = rows.select(
+    rows = keep(docs, doc_id=id_column, text=F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+    index = license_index(word_weights(rows))
+    keys = sorted({key for notice in index for key in notice.needed})
+    counted = rows.select(
         "doc_id",
-        key.alias("key"),
-        F.regexp_count(text, F.lit(f"{_WORD}+")).cast("long").alias("n_words"),
-        listed.alias("words"),
+        "text",
+        F.regexp_count("text", F.lit(f"{_WORD}+")).cast("long").alias("n_words"),
+        F.when(F.col("text").rlike(phrase_pattern([*PHRASES, *keys])), text_words(F.col("text"))).alias("words"),
     )
-    for number, phrase in enumerate(PHRASES):
-        scanned = scanned.withColumn(f"at_{number}", F.when(F.col("words").isNotNull(), phrase_starts(F.col("words"), phrase)))
+    words = F.col("words")
     none = F.array().cast("array<int>")
-    starts = [F.coalesce(f"at_{number}", none) for number in range(len(PHRASES))]
+    rare = F.array(*[F.lit(w) for w in sorted({n.words[at] for n in index for at in n.anchors})])
+    placed = counted.select(
+        "doc_id", "n_words", "words",
+        F.array_compact(F.array(*[
+            F.when(_all(F.col("text").rlike(phrase_pattern([p])) for p in notice.needed), F.lit(number))
+            for number, notice in enumerate(index)
+        ])).alias("verified"),
+        F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(rare, F.get(words, i))).alias("places"),
+        *[phrase_starts(words, phrase).alias(f"at_{number}") for number, phrase in enumerate(PHRASES)],
+    ).where(words.isNotNull() & (F.size("words") > 0))
+    starts = [F.col(f"at_{number}") for number in range(len(PHRASES))]
     marks = F.array_compact(F.array(*[
         F.when(F.size(at) > 0, F.lit(label)) for at, label in zip(starts, PHRASES.values(), strict=True)
     ]))
-    based = scanned.select("doc_id", "key", "n_words", F.concat(*starts).alias("places"), F.array_distinct(marks).alias("base"))
-    joined = based.join(notices, "key", "left")
-    both = F.array_union("base", F.coalesce("notices", F.array().cast("array<string>")))
-    return joined.select(
+    shares = F.array(*[
+        F.when(F.array_contains("verified", number), notice_share(words, F.col("places"), notice)).otherwise(0.0)
+        for number, notice in enumerate(index)
+    ])
+    found = placed.select(
+        "doc_id", "n_words", F.concat(*starts).alias("starts"), F.array_distinct(marks).alias("base"), shares.alias("shares")
+    )
+    listed = F.array_compact(F.array(*[
+        F.when(F.get("shares", F.lit(number)) >= LEAST_SHARE, F.lit(notice.label)) for number, notice in enumerate(index)
+    ]))
+    with_phrase = found.select(
         "doc_id",
         "n_words",
-        F.size("places").cast("long").alias("n_base"),
-        F.array_min("places").cast("long").alias("first_word"),
-        F.array_max("places").cast("long").alias("last_word"),
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").cast("long").alias("first_word"),
+        F.array_max("starts").cast("long").alias("last_word"),
         F.array_join(F.array_sort("base"), ",").alias("base_labels"),
-        F.array_join(F.array_sort(both), ",").alias("labels"),
-        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
-    )
+        F.array_join(F.array_sort(F.array_union("base", listed)), ",").alias("labels"),
+        F.when(F.size("starts") > 0, 1.0)
+        .otherwise(F.array_max(F.filter("shares", lambda x: x >= LEAST_SHARE))).alias("score"),
+    )
+    nothing = F.lit(None).cast("long")
+    without = counted.where(words.isNull() | (F.size("words") <= 0)).select(
+        "doc_id", "n_words", F.lit(0).cast("long").alias("n_base"), nothing.alias("first_word"), nothing.alias("last_word"),
+        F.lit("").alias("base_labels"), F.lit("").alias("labels"), F.lit(0.0).alias("score"),
+    )
+    result = with_phrase.unionByName(without)
+    return result.withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 
 def _all(conditions) -> Column:

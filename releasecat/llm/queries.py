@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fingerprints import compare_edits
+from .language import identify_languages
 from .licenses import scan_licenses
 from .packing import pack_documents
 from .secrets import scan_secrets, secret_digest
 from .sharding import shard_documents
 from .text import prepare
+from .toxicity import find_toxic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +75,13 @@ def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_novel_secrets")
 def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan_secrets(_read(spark, sf_dir, "documents")))
+
+
+@_query("op6_ppm_language")
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_read(spark, sf_dir, "documents"))
+
+
+@_query("op9_lexicon_toxicity")
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_toxic(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
