@@ -159,17 +159,16 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.when(F.col("text").rlike(phrase_pattern([*PHRASES, *keys])), text_words(F.col("text"))).alias("words"),
     )
     words = F.col("words")
-    none = F.array().cast("array<int>")
     rare = F.array(*[F.lit(w) for w in sorted({n.words[at] for n in index for at in n.anchors})])
     placed = counted.select(
         "doc_id", "n_words", "words",
-        F.array_compact(F.array(*[
+        F.when(words.isNotNull(), F.array_compact(F.array(*[
             F.when(_all(F.col("text").rlike(phrase_pattern([p])) for p in notice.needed), F.lit(number))
             for number, notice in enumerate(index)
-        ])).alias("verified"),
+        ]))).alias("verified"),
         F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(rare, F.get(words, i))).alias("places"),
         *[phrase_starts(words, phrase).alias(f"at_{number}") for number, phrase in enumerate(PHRASES)],
-    ).where(words.isNotNull() & (F.size("words") > 0))
+    )
     starts = [F.col(f"at_{number}") for number in range(len(PHRASES))]
     marks = F.array_compact(F.array(*[
         F.when(F.size(at) > 0, F.lit(label)) for at, label in zip(starts, PHRASES.values(), strict=True)
@@ -184,7 +183,7 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     listed = F.array_compact(F.array(*[
         F.when(F.get("shares", F.lit(number)) >= LEAST_SHARE, F.lit(notice.label)) for number, notice in enumerate(index)
     ]))
-    with_phrase = found.select(
+    return found.select(
         "doc_id",
         "n_words",
         F.size("starts").cast("long").alias("n_base"),
@@ -193,15 +192,8 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.array_join(F.array_sort("base"), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", listed)), ",").alias("labels"),
         F.when(F.size("starts") > 0, 1.0)
-        .otherwise(F.array_max(F.filter("shares", lambda x: x >= LEAST_SHARE))).alias("score"),
-    )
-    nothing = F.lit(None).cast("long")
-    without = counted.where(words.isNull() | (F.size("words") <= 0)).select(
-        "doc_id", "n_words", F.lit(0).cast("long").alias("n_base"), nothing.alias("first_word"), nothing.alias("last_word"),
-        F.lit("").alias("base_labels"), F.lit("").alias("labels"), F.lit(0.0).alias("score"),
+        .otherwise(F.coalesce(F.array_max(F.filter("shares", lambda x: x >= LEAST_SHARE)), F.lit(0.0))).alias("score"),
     )
-    result = with_phrase.unionByName(without)
-    return result.withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 
 def _all(conditions) -> Column:

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .contamination import find_contamination
 from .fingerprints import compare_edits
 from .language import identify_languages
 from .licenses import scan_licenses
+from .neardup import near_duplicate_classes
 from .packing import pack_documents
 from .secrets import scan_secrets, secret_digest
 from .sharding import shard_documents
@@ -85,3 +87,13 @@ def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_lexicon_toxicity")
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_toxic(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@_query("op7_seeded_alignment")
+def _contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@_query("op1_probminhash_classes")
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(_read(spark, sf_dir, "documents")).select("doc_id", "class_id")
