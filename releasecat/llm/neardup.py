@@ -169,10 +169,10 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
     """Links ``a, b`` between different texts that connect all texts linked through a shared band.
 
     ``bands`` has ``key, band`` rows.  In each bucket every text is compared with one pivot, the text that is in the
-    most and largest buckets.  Texts left in another component than their pivot's are compared with a pivot of their
-    own, until none are left; those not far from the pivot are also compared with the members of its component,
-    unless the distances to the pivot rule a link out: Jaccard distance is a metric.  So a bucket is connected
-    rightly without its pairs being listed.
+    most and largest buckets.  A text left in another component than its pivot is compared with members of the
+    pivot's component unless their distances to the pivot differ too much for a link: Jaccard distance is a metric.
+    What is still apart gets a pivot of its own, until nothing is left.  So a bucket is connected rightly without its
+    pairs being listed.
     """
     sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = cut_lineage(bands.join(sizes, "band"), "buckets")
@@ -190,14 +190,14 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
         fresh = _pairs(placed.select("key", F.col("pivot").alias("other")), compared)
         now = cut_lineage(similarities(fresh, texts, rule), "similarities")
         compared = now if compared is None else cut_lineage(compared.union(now), "similarities")
-        labels = _labels(compared, rule)
-        apart = cut_lineage(_apart(placed, labels), "apart")
-        if apart.isEmpty():
-            break
-        near = _fringe(placed, apart, compared, labels, rule)
-        extra = cut_lineage(similarities(_pairs(near, compared), texts, rule), "similarities")
-        if not extra.isEmpty():
+        apart = cut_lineage(_apart(placed, _labels(compared, rule)), "apart")
+        while not apart.isEmpty():
+            extra = cut_lineage(similarities(_pairs(_fringe(placed, apart, compared, rule), compared), texts, rule), "similarities")
+            if extra.isEmpty():
+                break
             compared = cut_lineage(compared.union(extra), "similarities")
+            if extra.where(F.col("similarity") >= rule.least).isEmpty():
+                break
             apart = cut_lineage(_apart(placed, _labels(compared, rule)), "apart")
         left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         members = cut_lineage(apart.join(left, "band", "left_semi").select("band", "key", "score"), "members")
@@ -229,15 +229,13 @@ def _apart(placed: DataFrame, labels: DataFrame) -> DataFrame:
     ).select("band", "key", "score", "pivot")
 
 
-def _fringe(placed: DataFrame, apart: DataFrame, compared: DataFrame, labels: DataFrame, rule: NearDup) -> DataFrame:
+def _fringe(placed: DataFrame, apart: DataFrame, compared: DataFrame, rule: NearDup) -> DataFrame:
     """Pairs of a text apart from its pivot and a text of the pivot's component in the bucket that may be linked."""
     known = compared.select("a", "b", "similarity").union(compared.select("b", "a", "similarity")).toDF("key", "pivot", "similarity")
-    reach = 1 - rule.least
-    outer = apart.join(known, ["key", "pivot"]).where(F.col("similarity") >= 1 - 2 * reach).select("band", "key", "pivot", "similarity")
-    inner = placed.join(apart.select("band", "key"), ["band", "key"], "left_anti").join(known, ["key", "pivot"]).select(
-        "band", F.col("key").alias("other"), F.col("similarity").alias("others")
-    )
-    close = F.abs(F.col("similarity") - F.col("others")) <= reach + 1e-9
+    outer = apart.join(known, ["key", "pivot"]).select("band", "key", "similarity")
+    inside = placed.join(apart.select("band", "key"), ["band", "key"], "left_anti").where(F.col("key") != F.col("pivot"))
+    inner = inside.join(known, ["key", "pivot"]).select("band", F.col("key").alias("other"), F.col("similarity").alias("others"))
+    close = F.abs(F.col("similarity") - F.col("others")) <= 1 - rule.least + 1e-9
     return outer.join(inner, "band").where(close).select("key", "other").distinct()
 
 
