@@ -15,6 +15,7 @@ from .neardup import near_duplicate_classes
 from .packing import pack_documents
 from .secrets import scan_secrets, secret_digest
 from .sharding import shard_documents
+from .substrings import remove_repeats
 from .text import prepare
 from .toxicity import find_toxic
 
@@ -97,3 +98,15 @@ def _contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_probminhash_classes")
 def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_read(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@_query("op2_linear_grouping_dedup")
+def _substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0), lambda total, s: total + s["stop"] - s["start"])
+    return remove_repeats(_read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
