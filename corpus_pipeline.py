@@ -1,14 +1,67 @@
-"""The corpus pipeline: stages that each read what the one before has kept."""
+"""The corpus pipeline: stages that each read what the one before has kept.
+
+Every stage takes (spark, docs, sf_dir).  All but the last return the columns of ``documents``: documents that are
+scored as toxic go, one document of each class of near duplicates stays, documents that hold a test item go, secrets
+are replaced by a mark.  The last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from releasecat.llm.contamination import drop_contaminated
+from releasecat.llm.neardup import keep_one_of_each
+from releasecat.llm.packing import pack_documents
+from releasecat.llm.queries import vocabulary_path
+from releasecat.llm.secrets import redact_secrets
+from releasecat.llm.text import prepare
+from releasecat.llm.toxicity import reject_toxic
+from releasecat.session import cut_lineage
+
+# Model scores, estimated signatures, alignments and token ids are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply all stages to the documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return reject_toxic(docs, _table(prepare(spark), sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return keep_one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs, _table(prepare(spark), sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return redact_secrets(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pack_documents(docs, vocabulary_path())
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to the documents; what a stage keeps is stored for the next one."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -265,10 +265,13 @@ def keep_one_of_each(docs: DataFrame, rule: NearDup = NearDup()) -> DataFrame:
 
     Rows without an id stay only where their class has no id at all, one of each text.
     """
-    name = "__class"
-    classes = near_duplicate_classes(docs, rule)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name), "text_key").distinct()
-    key = "__text_key"
-    keyed = docs.withColumn(key, text_key())
-    kept = keyed.join(first, keyed["doc_id"].eqNullSafe(first[name]) & (keyed[key] == first["text_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", key]).drop(key)
+    number, key = "__number", "__text_key"
+    none = F.lit(-(1 << 63))
+    classes = near_duplicate_classes(docs, rule).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    first = classes.select(F.coalesce("doc_id", none).alias(number), F.col("text_key").alias(key)).distinct()
+    keyed = docs.withColumns({number: F.coalesce(F.col("doc_id").cast("long"), none), key: text_key()})
+    kept = keyed.join(first, [number, key], "left_semi")
+    # The join has put equal rows together, so numbering them moves nothing.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    turn = F.row_number().over(Window.partitionBy(number, key).orderBy(F.xxhash64(*others)))
+    return kept.withColumn("__turn", turn).where("__turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
