@@ -39,6 +39,11 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
 
 
+def partition_name(spark: SparkSession, column: str, value: str) -> str:
+    """Directory that a partitioned write uses for a value, with special characters escaped by Spark itself."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     file_system, hadoop_path = _resolve(spark, path)
     stream = file_system.create(hadoop_path, True)

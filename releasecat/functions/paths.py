@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -26,11 +27,9 @@ def join_root(root: Column | str, path: Column | str) -> Column:
 
 
 def lookup(key: Column | str, values: Mapping[str, str]) -> Column:
-    """Value for a key out of a small mapping; NULL for an unknown key."""
-    if not values:
-        return F.lit(None).cast("string")
-    entries = [F.lit(item) for pair in values.items() for item in pair]
-    return F.try_element_at(F.create_map(*entries), _col(key))
+    """Value for a key out of a mapping held as one literal; NULL for an unknown key."""
+    entries = F.from_json(F.lit(json.dumps(dict(values))), "map<string,string>")
+    return F.try_element_at(entries, _col(key))
 
 
 def strip_prefix(uri: Column | str, length: int | Column) -> Column:

@@ -34,7 +34,12 @@ def chain_edges(collections: DataFrame) -> DataFrame:
 
 
 def add_alias_chain(collections: DataFrame, source: str, alias: str) -> DataFrame:
-    """Add a chain with the children of an existing one."""
+    """Add a chain with the children of an existing one; the new name must be free."""
+    present = {r[0] for r in collections.where(F.col("name").isin(source, alias)).select("name").collect()}
+    if source not in present:
+        raise MissingCollectionError(f"No collection {source!r} to copy")
+    if alias in present:
+        raise ValueError(f"Collection {alias!r} exists already")
     copied = collections.where(F.col("name") == source).select(
         F.lit(alias).alias("name"), F.lit(CHAINED).cast("byte").alias("type"), F.lit("").alias("doc"), "children"
     )

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import is_absolute, join_root, lookup, physical_file, strip_prefix
+from ..session import cut_lineage
 from .selection import union_by_name
 
-# Longest mapping written into the plan as literals; longer ones are joined.
-INLINE_LIMIT = 64
-
 
 def make_paths_absolute(
     datastore: DataFrame, roots: Mapping[str, str] | DataFrame, name: str = "datastore_name", path: str = "path"
@@ -65,52 +64,67 @@ def file_list(*datastores: DataFrame, path: str = "path") -> DataFrame:
     return union_by_name([d.select(physical_file(path).alias("file")) for d in datastores]).distinct()
 
 
+class AmbiguousRootError(ValueError):
+    """A datastore has more than one root."""
+
+
 def _with_root(datastore: DataFrame, roots: Mapping[str, str] | DataFrame, name: str) -> DataFrame:
-    if isinstance(roots, DataFrame):
-        table = roots.select(F.col("datastore_name").alias("__name"), F.col("root").alias("__root"))
-        return datastore.join(table, datastore[name] == table["__name"], "left").drop("__name")
-    if len(roots) <= INLINE_LIMIT:
+    if not isinstance(roots, DataFrame):
         return datastore.withColumn("__root", lookup(name, roots))
-    table = datastore.sparkSession.createDataFrame(list(roots.items()), "datastore_name string, root string")
-    return _with_root(datastore, table, name)
+    table = roots.groupBy(F.col("datastore_name").alias("__name")).agg(
+        F.min("root").alias("__root"), F.count_distinct("root").alias("__roots")
+    )
+    twice = table.where("__roots > 1").select("__name").take(5)
+    if twice:
+        raise AmbiguousRootError(f"More than one root for {[row[0] for row in twice]}")
+    return datastore.join(table.drop("__roots"), datastore[name] == table["__name"], "left").drop("__name")
+
+
+_FIT = "struct<position:int,datastore_name:string,length:int>"
 
 
 def _with_mapping(datastore: DataFrame, mapping: Mapping[str, str] | DataFrame, path: str) -> DataFrame:
     if isinstance(mapping, DataFrame):
         return _join_mapping(datastore, mapping, path)
-    if len(mapping) > INLINE_LIMIT:
-        rows = [(prefix, name, place) for place, (prefix, name) in enumerate(mapping.items())]
-        table = datastore.sparkSession.createDataFrame(
-            rows, "prefix string, datastore_name string, position int"
-        )
-        return _join_mapping(datastore, table, path)
-    fit = F.lit(None)
-    for prefix, name in reversed(mapping.items()):
-        found = F.struct(F.lit(name).alias("datastore_name"), F.lit(len(prefix)).alias("length"))
-        fit = F.when(F.col(path).startswith(prefix), found).otherwise(fit)
-    return datastore.withColumn("__fit", fit.cast("struct<datastore_name:string,length:int>"))
+    # One literal map for each length of prefix: no row moves, however long the mapping is.
+    by_length: dict[int, dict[str, dict]] = {}
+    for position, (prefix, name) in enumerate(mapping.items()):
+        fit = {"position": position, "datastore_name": name, "length": len(prefix)}
+        by_length.setdefault(len(prefix), {})[prefix] = fit
+    fits = [
+        F.try_element_at(F.from_json(F.lit(json.dumps(fit)), f"map<string,{_FIT}>"), F.substring(path, 1, length))
+        for length, fit in by_length.items()
+    ]
+    return datastore.withColumn("__fit", _earliest(fits))
+
+
+def _earliest(fits: list[Column]) -> Column:
+    """The fit that comes first in the mapping; NULL without any."""
+    fits = [*fits, F.lit(None).cast(_FIT)]
+    return F.least(*fits) if len(fits) > 1 else fits[0]
 
 
 def _join_mapping(datastore: DataFrame, mapping: DataFrame, path: str) -> DataFrame:
     # A "starts with" join compares every pair.  Prefixes of one length are an
     # equality on that many leading characters instead: one left join for each
     # length in use, of which there are no more than characters in the longest.
-    prefixes = mapping.groupBy("prefix").agg(F.min(F.struct("position", "datastore_name")).alias("target"))
-    lengths = [r[0] for r in prefixes.select(F.length("prefix")).distinct().sort("length(prefix)").collect()]
-    matched = datastore
-    fits = []
-    for length in lengths:
-        table = prefixes.where(F.length("prefix") == length).select(
+    grouped = mapping.groupBy("prefix").agg(F.min(F.struct("position", "datastore_name")).alias("target"))
+    # Stored once, so that the join of every length knows its size.
+    prefixes = cut_lineage(
+        grouped.select(
             F.col("prefix").alias("__prefix"),
-            F.struct("target.position", "target.datastore_name", F.lit(length).alias("length")).alias(
-                f"__fit_{length}"
-            ),
-        )
+            F.length("prefix").alias("__length"),
+            F.struct(F.col("target.position").cast("int"), "target.datastore_name", F.length("prefix").alias("length"))
+            .cast(_FIT)
+            .alias("__found"),
+        ),
+        "mapping",
+    )
+    lengths = [row[0] for row in prefixes.select("__length").distinct().sort("__length").collect()]
+    matched, fits = datastore, []
+    for length in lengths:
+        table = prefixes.where(F.col("__length") == length).select("__prefix", F.col("__found").alias(f"__fit_{length}"))
         start = F.substring(matched[path], 1, length)
         matched = matched.join(table, start == table["__prefix"], "left").drop("__prefix")
-        fits.append(f"__fit_{length}")
-    if not fits:
-        return matched.withColumn("__fit", F.lit(None).cast("struct<datastore_name:string,length:int>"))
-    best = F.least(*fits) if len(fits) > 1 else F.col(fits[0])
-    fit = F.when(best.isNotNull(), F.struct(best["datastore_name"].alias("datastore_name"), best["length"].alias("length")))
-    return matched.withColumn("__fit", fit).drop(*fits)
+        fits.append(F.col(f"__fit_{length}"))
+    return matched.withColumn("__fit", _earliest(fits)).drop(*[f"__fit_{length}" for length in lengths])

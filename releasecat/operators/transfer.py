@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import strip_scheme
-from .ordering import running_total
-from .paths import map_to_datastores, unmapped_paths
-
-# Files in one hash bucket that one task can number comfortably.
-BUCKET_ROWS = 1_000_000
+from .ordering import row_index, running_total
+from .paths import map_to_datastores
 
 
 def transfer_pairs(files: DataFrame, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
@@ -23,30 +20,13 @@ def transfer_pairs(files: DataFrame, mapping: Mapping[str, str] | DataFrame) ->
     return mapped.select("source", F.concat("datastore_name", F.lit("/"), "path").alias("destination"))
 
 
-def unmapped_files(files: DataFrame, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
-    """Files that no prefix of the mapping covers."""
-    return unmapped_paths(files, mapping, "file")
-
-
-def bucket_digits(rows: int) -> int:
-    """Hex digits of the hash that keep a bucket under ``BUCKET_ROWS``."""
-    digits = 0
-    while rows > BUCKET_ROWS * 16**digits:
-        digits += 1
-    return digits
-
-
-def assign_batches(pairs: DataFrame, size: int, key: str = "source", digits: int | None = None) -> DataFrame:
-    """Number the rows in batches of at most ``size``.
+def assign_batches(pairs: DataFrame, size: int, key: str = "source") -> DataFrame:
+    """Number the rows in batches of ``size``, in order of ``key``, which must be distinct; only the last is shorter.
 
-    Keys must be distinct.  They are spread over hash buckets that are numbered
-    apart, so no task sees more than its buckets; every bucket ends with at
-    most one short batch.
+    Rows are numbered inside ranges of the key, so no task sees them all.
     """
-    width = bucket_digits(pairs.count()) if digits is None else digits
-    bucketed = pairs.withColumn("bucket", F.substring(F.md5(key), 1, width))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
-    return bucketed.withColumn("batch", F.floor((place - 1) / F.lit(size)).cast("long"))
+    placed = row_index(pairs, [key], "__place")
+    return placed.withColumn("batch", F.floor(F.col("__place") / F.lit(size)).cast("long")).drop("__place")
 
 
 def run_transfers(batches: DataFrame, copy: Callable[[str, str], bool]) -> DataFrame:
@@ -58,22 +38,21 @@ def run_transfers(batches: DataFrame, copy: Callable[[str, str], bool]) -> DataF
 
     def send(records):
         for record in records:
-            counts: dict[tuple[str, int], list[int]] = {}
+            counts: dict[int, list[int]] = {}
             for row in record.to_pylist():
-                sent = counts.setdefault((row["bucket"], row["batch"]), [0, 0])
+                sent = counts.setdefault(row["batch"], [0, 0])
                 sent[0 if copy(row["source"], row["destination"]) else 1] += 1
             yield pa.RecordBatch.from_pydict(
                 {
-                    "bucket": [bucket for bucket, _ in counts],
-                    "batch": pa.array([batch for _, batch in counts], pa.int64()),
+                    "batch": pa.array(list(counts), pa.int64()),
                     "uploaded": pa.array([sent[0] for sent in counts.values()], pa.int64()),
                     "skipped": pa.array([sent[1] for sent in counts.values()], pa.int64()),
                 }
             )
 
-    work = batches.select("bucket", "batch", "source", "destination").repartition("bucket", "batch")
-    results = work.mapInArrow(send, "bucket string, batch long, uploaded long, skipped long")
-    return results.groupBy("bucket", "batch").agg(
+    work = batches.select("batch", "source", "destination").repartition("batch")
+    results = work.mapInArrow(send, "batch long, uploaded long, skipped long")
+    return results.groupBy("batch").agg(
         F.sum("uploaded").alias("uploaded"), F.sum("skipped").alias("skipped")
     )
 

@@ -90,6 +90,8 @@ def ids_already_loaded(incoming: DataFrame, loaded: DataFrame, column: str = "da
 def null_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     """NULLs in columns that must have a value: one row for each such column."""
     required = [f.name for f in schema.fields if not f.nullable]
+    if not required:
+        return df.sparkSession.createDataFrame([], "column string, nulls long")
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in required])

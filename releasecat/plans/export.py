@@ -17,7 +17,7 @@ from ..operators.paths import make_paths_absolute
 from ..operators.search import associations, extra_runs, find_first, search, search_all
 from ..operators.selection import resolve_names
 from ..operators.validation import require_none
-from ..schemas import COLLECTIONS, DATASTORE, RUN, as_nullable
+from ..schemas import COLLECTIONS, DATASTORE, RUN, as_nullable, by_dimensions
 from ..sinks.manifest import type_entry, write_manifest
 from ..session import cut_lineage, run_together
 from ..sinks.tables import write_by_type, write_collections, write_dimension
@@ -115,7 +115,7 @@ def export_release(
         "associations",
         "dataset_type",
     )
-    for dimensions, names in _by_dimensions(selection.types).items():
+    for dimensions, names in by_dimensions(selection.types).items():
         jobs.append(
             partial(
                 write_by_type,
@@ -144,13 +144,6 @@ def export_release(
     run_together(jobs)
     # A path without a known root came out NULL.  Column statistics let the scan skip what has none.
     written = spark.read.schema(as_nullable(DATASTORE)).parquet(*record_files.values())
-    require_none(written.where(F.col("path").isNull()).select("datastore_name"), "No root known for datastore")
+    require_none(written.where(F.col("path").isNull()).select("datastore_name"), "Relative paths in a datastore without a root")
     write_manifest(spark, directory, COLLECTIONS_FILE, catalog.dimension_config, dimension_files, entries)
     return Release(spark, directory, catalog.spec)
-
-
-def _by_dimensions(types: Sequence[Row]) -> dict[tuple[str, ...], list[str]]:
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in types:
-        groups.setdefault(tuple(row["dimensions"]), []).append(row["name"])
-    return groups

@@ -17,11 +17,13 @@ from ..operators.validation import (
     ReleaseCheckError,
     bad_association_collections,
     duplicate_ids,
+    null_violations,
     require_none,
     schema_differences,
 )
-from ..schemas import CALIBRATION, DATASTORE, TAGGED, as_nullable
+from ..schemas import CALIBRATION, COLLECTIONS, DATASTORE, TAGGED, as_nullable, by_dimensions
 from ..session import run_together
+from ..sinks.rewrite import recover_release
 from ..sinks.tables import write_empty
 from ..sources.release import Release
 
@@ -41,14 +43,66 @@ def reference_report(release: Release, dimension: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def dataset_orphans(release: Release) -> DataFrame:
+    """Data IDs of datasets without a record of the dimension they name: ``dataset_type, dimension, orphans``.
+
+    One anti-join for each stored dimension, over the different data IDs of all types that have its keys.
+    """
+    datasets = release.read_all_datasets()
+    found = []
+    for dimension in release.dimension_files:
+        own = release.spec.dataset_keys(dimension)
+        if not own or not set(own) <= set(datasets.columns):
+            continue
+        named = datasets.select("dataset_type", *own).dropna(subset=[*own]).distinct()
+        missing = keep_missing(named, release.read_dimension(dimension), own, unique_keys=True)
+        found.append(missing.select("dataset_type", F.lit(dimension).alias("dimension")))
+    if not found:
+        return release.spark.createDataFrame([], "dataset_type string, dimension string, orphans long")
+    return reduce(DataFrame.unionByName, found).groupBy("dataset_type", "dimension").agg(F.count(F.lit(1)).alias("orphans"))
+
+
+def stray_rows(release: Release) -> DataFrame:
+    """File records and association entries without a dataset: ``kind, dataset_type, orphans``."""
+    ids = release.read_all_datasets().select("dataset_type", "dataset_id")
+    keys = {"dataset_type": "dataset_type", "dataset_id": "dataset_id"}
+    kinds = {"datastore": release.read_all_datastore(), "association": release.read_all_associations()}
+    missing = [
+        keep_missing(rows.select(*keys), ids, keys, unique_keys=True).select(F.lit(kind).alias("kind"), "dataset_type")
+        for kind, rows in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, missing).groupBy("kind", "dataset_type").agg(F.count(F.lit(1)).alias("orphans"))
+
+
+def null_report(release: Release) -> DataFrame:
+    """NULLs in required columns of the dump's tables: ``table, column, nulls``."""
+    tables = {
+        **{f"dimension {n}": (release.read_dimension(n), release.spec.record_schema(n)) for n in release.dimension_files},
+        "collections": (release.read_collections(), COLLECTIONS),
+        "datastore": (release.read_all_datastore(), DATASTORE),
+    }
+    for dimensions, names in by_dimensions(release.types).items():
+        schema = release.spec.dataset_schema(dimensions)
+        entries = release.spec.association_schema(dimensions)
+        tables[f"datasets {names}"] = (release.read_all_datasets(names), schema)
+        tables[f"associations {names}"] = (release.read_all_associations(names), entries)
+    reports = [
+        null_violations(df, schema).select(F.lit(name).alias("table"), "column", "nulls")
+        for name, (df, schema) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def check_release(release: Release, references: bool = True) -> None:
     """Raise at the first kind of violation.  Every check is an action of its own."""
     require_none(release.outside_files(), "Files outside the release directory")
+    recover_release(release)
+    require_none(null_report(release), "No value in required columns")
     datasets = release.read_all_datasets()
     require_none(duplicate_ids(datasets, "dataset_id"), "Dataset ids used more than once")
     require_none(
         bad_association_collections(release.read_all_associations(), release.read_collections()),
-        "Unexpected collection type when loading associations",
+        "Associations with a collection of no such kind",
     )
     require_none(
         keep_missing(
@@ -63,6 +117,9 @@ def check_release(release: Release, references: bool = True) -> None:
             raise ReleaseCheckError(f"Records of {name} do not fit: {problems}")
         if references:
             require_none(reference_report(release, name).where("orphans > 0"), f"Records of {name} without a parent")
+    if references:
+        require_none(dataset_orphans(release), "Datasets without a dimension record")
+        require_none(stray_rows(release), "Rows that belong to no dataset")
 
 
 def load_release(
@@ -116,12 +173,19 @@ def load_release(
     records = chosen.read_all_datastore()
     if datastore_transform is not None:
         records = records.transform(datastore_transform)
-    tagged, calibrations = split_associations(chosen.read_all_associations(), collections)
+    entries = chosen.read_all_associations()
+    # Checked in any case: the split below would leave these entries out.
+    require_none(bad_association_collections(entries, collections), "Associations with a collection of no such kind")
+    tagged, calibrations = split_associations(entries, collections)
     write(
         datastore=records.select(*DATASTORE.names, "dataset_type"),
         tags=tagged,
         calibrations=calibrations,
     )
+    require_none(
+        spark.read.parquet(paths["datastore"]).where("datastore_name IS NULL OR path IS NULL").select("dataset_type", "dataset_id"),
+        "File records that the transform left without a datastore or a path",
+    )
     report("datastore")
     return paths
 

@@ -31,7 +31,7 @@ def transfer_plan(
     files = file_list(release.select(globs).read_all_datastore())
     # The list of files is made once; a file no prefix covers has no destination in it.
     pairs = cut_lineage(transfer_pairs(files, mapping), "pairs")
-    require_none(pairs.where(F.col("destination").isNull()).select("source"), "No datastore mapping for")
+    require_none(pairs.where(F.col("destination").isNull()).select("source"), "Files under none of the prefixes")
     if listing is not None:
         pairs = skip_existing(pairs, listing)
     return assign_batches(pairs, size)

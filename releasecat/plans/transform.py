@@ -21,7 +21,7 @@ from ..operators.selection import drop_value
 from ..schemas import DATASTORE
 from ..session import cut_lineage
 from ..sinks.manifest import patch_storage_class, rewrite_types
-from ..sinks.rewrite import Rewrite, rewrite_tables
+from ..sinks.rewrite import Rewrite, recover_release, rewrite_tables
 from ..sources.release import Release
 
 _PRUNED = {
@@ -51,6 +51,7 @@ def release_keys(release: Release) -> ReferencedKeys:
 
 def prune_release(release: Release) -> None:
     """Remove visit and exposure records that no dataset of the dump refers to."""
+    recover_release(release)
     keys = release_keys(release)
     changes: dict[str, tuple[Rewrite, object]] = {}
     for name, rule in _PRUNED.items():
@@ -71,6 +72,7 @@ def remove_value_from_release(
 
     ``records`` maps a dimension element to its column with the value.
     """
+    recover_release(release)
     changes: dict[str, tuple[Rewrite, object]] = {}
     for name, column in records.items():
         rewrite = partial(drop_value, column=column, value=value)

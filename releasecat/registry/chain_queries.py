@@ -226,7 +226,8 @@ def find_first_events(spark, sf_dir):
     order = ["purchase", "signup", "click", "view", "error"]
     rank = F.array_position(F.array(*[F.lit(o) for o in order]), F.col("event_type"))
     ranked = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", rank.alias("search_rank"))
-    return find_first(ranked, ["user_id"], ["search_rank", "event_id"]).drop("search_rank")
+    known = ranked.where("search_rank > 0")
+    return find_first(known, ["user_id"], ["search_rank", "event_id"]).drop("search_rank")
 
 
 @query(

@@ -8,7 +8,7 @@ from ..functions.identifiers import binary_to_hex
 from ..operators.paths import map_to_datastores
 from ..operators.summary import count_report
 from ..plans.export import export_release
-from ..plans.load import load_release, reference_report
+from ..plans.load import dataset_orphans, load_release, reference_report, stray_rows
 from ..plans.summary import dataset_counts, dimension_counts, summarize
 from ..plans.transfer import transfer_plan
 from ..plans.transform import change_storage_class, prune_release, remove_value_from_release
@@ -207,13 +207,15 @@ def summarize_subset(spark, sf_dir):
     "transfer_plan",
     f"""
     WITH {RELEASE_SQL},
-    files AS (SELECT DISTINCT file, l_partkey FROM release_records)
+    files AS (SELECT DISTINCT file, l_partkey FROM release_records),
+    planned AS (
     SELECT CASE WHEN starts_with(file, 'file://') THEN substr(file, 8) ELSE file END AS source,
            CASE WHEN starts_with(file, 'file:///archive') THEN 'archive' WHEN starts_with(file, 'file:///data/a') THEN 'a'
                 WHEN starts_with(file, 's3://') THEN 'remote' ELSE 'rest' END || '/' ||
            CASE WHEN starts_with(file, 's3://') THEN 'bucket-r/' WHEN starts_with(file, 'file:///data/n') THEN 'data/n/'
                 ELSE '' END || 'parts/' || l_partkey || '.zip' AS destination
-    FROM files WHERE NOT (starts_with(file, 's3://') AND l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO'))
+    FROM files WHERE NOT (starts_with(file, 's3://') AND l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')))
+    SELECT *, CAST(floor((row_number() OVER (ORDER BY source) - 1) / 100) AS BIGINT) AS batch FROM planned
     """,
 )
 def transfer_plan_query(spark, sf_dir):
@@ -223,8 +225,7 @@ def transfer_plan_query(spark, sf_dir):
     listing = promo.select(
         F.concat(F.lit("remote/bucket-r/parts/"), F.col("p_partkey"), F.lit(".zip")).alias("destination")
     )
-    plan = transfer_plan(exported(spark, sf_dir), mapping, ["order_*"], listing)
-    return plan.select("source", "destination")
+    return transfer_plan(exported(spark, sf_dir), mapping, ["order_*"], listing).select("source", "destination", "batch")
 
 
 @query(
@@ -291,10 +292,60 @@ def loaded_release(spark, sf_dir):
         exported(spark, sf_dir),
         staging_path(spark, "loaded"),
         datastore_transform=lambda records: map_to_datastores(records, mapping),
-        references=False,
         alias=("nested", "short"),
     )
     names = (
         "dataset_types datasets datastore tags calibrations collection_chain dimensions/visit dimensions/exposure"
     ).split()
     return count_report({name: spark.read.parquet(paths[name]) for name in names})
+
+
+@query(
+    "loaded_records",
+    f"""
+    WITH {RELEASE_SQL}
+    SELECT dataset_type, dataset_id,
+           CASE WHEN starts_with(file, 'file:///archive/') THEN 'archive'
+                WHEN starts_with(file, 's3://') THEN 'remote' ELSE 'data' END AS datastore_name,
+           CASE WHEN starts_with(file, 'file:///data/a/') THEN 'a/' WHEN starts_with(file, 'file:///data/n/') THEN 'n/'
+                ELSE '' END || 'parts/' || l_partkey || '.zip' AS path
+    FROM release_records
+    """,
+)
+def loaded_records(spark, sf_dir):
+    """File records as a load leaves them: the datastore and the path in it."""
+    mapping = {"file:///archive": "archive", "file:///data": "data", "s3://bucket-r": "remote"}
+    paths = load_release(
+        exported(spark, sf_dir),
+        staging_path(spark, "records"),
+        datastore_transform=lambda records: map_to_datastores(records, mapping),
+    )
+    loaded = spark.read.parquet(paths["datastore"])
+    return loaded.select(
+        "dataset_type",
+        binary_to_hex("dataset_id").alias("dataset_id"),
+        "datastore_name",
+        F.substring_index("path", "#", 1).alias("path"),
+    )
+
+
+@query(
+    "dataset_orphans",
+    """
+    WITH customers AS (SELECT c_custkey FROM customer), orders_of AS (SELECT o_custkey FROM orders)
+    SELECT 'visit' AS dimension, count(*) AS orphans FROM orders_of WHERE o_custkey NOT IN (SELECT * FROM customers)
+    HAVING count(*) > 0
+    """,
+)
+def dataset_orphans_query(spark, sf_dir):
+    """Datasets of the release whose visit, exposure or sky map has no record; none in these tables."""
+    return dataset_orphans(exported(spark, sf_dir)).select("dimension", "orphans")
+
+
+@query(
+    "stray_rows",
+    "SELECT 'datastore' AS kind, 'x' AS dataset_type, count(*) AS orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) HAVING count(*) > 0",
+)
+def stray_rows_query(spark, sf_dir):
+    """File records and associations of the release without a dataset; none in these tables."""
+    return stray_rows(exported(spark, sf_dir))

@@ -84,15 +84,12 @@ def file_list_distinct(spark, sf_dir):
     "file_batches",
     """
     WITH files AS (SELECT DISTINCT split_part(url, '#', 1) AS file FROM pages)
-    SELECT file, substr(md5(file), 1, 1) AS bucket,
-           CAST(floor((row_number() OVER (PARTITION BY substr(md5(file), 1, 1) ORDER BY file) - 1) / 5) AS BIGINT)
-             AS batch
-    FROM files
+    SELECT file, CAST(floor((row_number() OVER (ORDER BY file) - 1) / 5) AS BIGINT) AS batch FROM files
     """,
 )
 def file_batches(spark, sf_dir):
     files = file_list(table(spark, sf_dir, "pages").select(F.col("url").alias("path")))
-    return assign_batches(files, 5, key="file", digits=1)
+    return assign_batches(files, 5, key="file")
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -278,6 +278,13 @@ class DimensionSpec:
             found.append((stored, columns))
         return found
 
+    def dataset_keys(self, name: str) -> dict[str, str]:
+        """Data-ID column -> key column of the record a data ID names; empty for elements that no data ID names."""
+        element = self._by_name[name]
+        if element.key is None or not element.has_own_table:
+            return {}
+        return {**{c: c for c in self.required(element.requires)}, name: element.key}
+
     def record_schema(self, name: str) -> T.StructType:
         """Schema of one element's record table."""
         element = self._by_name[name]
@@ -308,6 +315,14 @@ class DimensionSpec:
 STANDARD_SPEC = DimensionSpec()
 
 
+def by_dimensions(types: Iterable[Row]) -> dict[tuple[str, ...], list[str]]:
+    """Names of dataset types with the same dimensions, whose tables have the same columns."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in types:
+        groups.setdefault(tuple(row["dimensions"]), []).append(row["name"])
+    return groups
+
+
 def as_nullable(schema: T.StructType) -> T.StructType:
     """The schema with every column nullable, as Parquet scans report it."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from .. import fs
 from ..schemas import as_nullable, conform
 from ..session import run_together
+from ..sources.release import Release
 
 _STAGED = ".__staged"
 _REPLACED = ".__replaced"
@@ -53,3 +54,9 @@ def recover_table(spark: SparkSession, path: str) -> None:
         fs.delete(spark, path + _REPLACED)
     else:
         fs.rename(spark, path + _REPLACED, path)
+
+
+def recover_release(release: Release) -> None:
+    """Repair every table of a dump; call it before anything of the dump is read."""
+    for path in release.all_paths():
+        recover_table(release.spark, path)

@@ -56,13 +56,16 @@ def write_by_type(
     else:
         rows = rows.hint("rebalance", "dataset_type")
     rows.write.mode("overwrite").partitionBy("dataset_type").option("compression", "zstd").parquet(staged)
-    written = set(fs.list_names(spark, staged))
+    written = {n for n in fs.list_names(spark, staged) if n.startswith("dataset_type=")}
     for name, path in targets.items():
-        part = f"dataset_type={name}"
+        part = fs.partition_name(spark, "dataset_type", name)
         if part in written:
             fs.rename(spark, f"{staged}/{part}", path)
+            written.remove(part)
         else:
             write_empty(spark, path, schema)
+    if written:
+        raise OSError(f"Rows of {sorted(written)} are left in {staged}")
     fs.delete(spark, staged)
 
 

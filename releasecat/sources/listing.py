@@ -11,4 +11,6 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> Da
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select(F.col("path").alias("file"), F.col("length").alias("size"))
+    # Records hold local files as file:///x, the listing as file:/x.
+    uri = F.regexp_replace("path", "^file:/+", "file:///")
+    return reader.load(root).select(uri.alias("file"), F.col("length").alias("size"))

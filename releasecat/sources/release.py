@@ -114,6 +114,12 @@ class Release:
     def _scan(self, file: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(as_nullable(schema)).parquet(self.path_of(file))
 
+    def all_paths(self) -> list[str]:
+        """Paths of all tables the manifest names."""
+        kinds = ("dataset_export_file", "datastore_export_file", "association_export_file")
+        files = [self.header["collection_export_file"], *self.dimension_files.values()]
+        return [self.path_of(file) for file in [*files, *[row[kind] for row in self.types for kind in kinds]]]
+
     def read_datasets(self, name: str) -> DataFrame:
         """Datasets of one type."""
         row = self.type_named(name)
@@ -139,14 +145,17 @@ class Release:
 
     def read_all_datasets(self, types: Sequence[str] | None = None) -> DataFrame:
         """All datasets as one table with ``dataset_type``; absent dimensions are NULL."""
-        return self._all(self.read_datasets, types)
+        return self._all(self.read_datasets, types, self.spec.dataset_schema(()))
 
     def read_all_datastore(self, types: Sequence[str] | None = None) -> DataFrame:
-        return self._all(self.read_datastore, types)
+        return self._all(self.read_datastore, types, DATASTORE)
 
     def read_all_associations(self, types: Sequence[str] | None = None) -> DataFrame:
-        return self._all(self.read_associations, types)
+        return self._all(self.read_associations, types, self.spec.association_schema(()))
 
-    def _all(self, read, types: Sequence[str] | None) -> DataFrame:
+    def _all(self, read, types: Sequence[str] | None, schema: T.StructType) -> DataFrame:
         names = [row["name"] for row in self.types] if types is None else types
+        if not names:
+            empty = T.StructType([*as_nullable(schema).fields, T.StructField("dataset_type", T.StringType())])
+            return self.spark.createDataFrame([], empty)
         return union_by_name([read(name).withColumn("dataset_type", F.lit(name)) for name in names])

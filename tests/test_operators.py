@@ -19,7 +19,6 @@ from releasecat.operators.search import find_first, search, search_all
 from releasecat.operators.summary import collection_units, count_files, known_size, listed_size, release_summary
 from releasecat.operators.transfer import (
     assign_batches,
-    bucket_digits,
     run_transfers,
     running_transfer_totals,
     transfer_totals,
@@ -75,15 +74,16 @@ def test_running_total_uses_no_single_partition_window_on_rows(spark):
     assert parts.count() > 1
 
 
-def test_batches_hold_all_rows_and_are_small(spark):
-    files = spark.range(1003).select(F.concat(F.lit("f"), "id").alias("source"))
-    batched = assign_batches(files, 10, digits=1)
-    sizes = batched.groupBy("bucket", "batch").count()
-    assert batched.select("source").distinct().count() == 1003
-    assert sizes.agg(F.max("count")).first()[0] == 10
-    assert sizes.where("count < 10").groupBy("bucket").count().agg(F.max("count")).first()[0] == 1
-    assert rows_of(assign_batches(files, 1000).groupBy("batch").count()) == [(0, 1000), (1, 3)]
-    assert [bucket_digits(n) for n in (0, 10**6, 10**6 + 1, 16 * 10**6 + 1)] == [0, 0, 1, 2]
+def test_batches_are_full_but_the_last(spark):
+    for count, size in ((1003, 10), (1000, 1000), (1001, 1000), (7, 9)):
+        files = spark.range(count).select(F.concat(F.lit("f"), "id").alias("source"))
+        batched = assign_batches(files, size)
+        assert batched.columns == ["source", "batch"] and batched.select("source").distinct().count() == count
+        full, rest = divmod(count, size)
+        expected = [(n, size) for n in range(full)] + ([(full, rest)] if rest else [])
+        assert rows_of(batched.groupBy("batch").count()) == expected
+        ends = batched.groupBy("batch").agg(F.min("source"), F.max("source")).orderBy("batch").collect()
+        assert all(a[2] < b[1] for a, b in zip(ends, ends[1:]))
 
 
 def test_transfers_copy_once_and_skip_later(spark, tmp_path):
@@ -93,7 +93,7 @@ def test_transfers_copy_once_and_skip_later(spark, tmp_path):
     for name in names:
         (source / name).write_text(name)
     pairs = spark.createDataFrame([(f"{source}/{n}", f"{target}/x/{n}") for n in names], "source string, destination string")
-    batches = assign_batches(pairs, 4, digits=1)
+    batches = assign_batches(pairs, 4)
 
     def copy(origin, destination):
         if Path(destination).exists():

@@ -10,6 +10,7 @@ from releasecat.functions.formatting import decimal_size
 from releasecat.functions.globs import glob_to_regex
 from releasecat.functions.identifiers import binary_to_uuid, uuid_to_binary
 from releasecat.operators.paths import (
+    AmbiguousRootError,
     file_list,
     make_paths_absolute,
     map_to_datastores,
@@ -35,80 +36,115 @@ def pairs(df):
     return [(r["datastore_name"], r["path"]) for r in df.collect()]
 
 
-def test_relative_paths_get_the_root_of_their_datastore(spark):
-    df = records(spark, ("d1", "x/p.txt"), ("d2", "x/q.txt"), ("d2", "s3://h/p.txt"))
-    roots = {"d1": "file:///r", "d2": "file:///r2/"}
-    expected = [("d1", "file:///r/x/p.txt"), ("d2", "file:///r2/x/q.txt"), ("d2", "s3://h/p.txt")]
-    assert pairs(make_paths_absolute(df, roots)) == expected
-    table = spark.createDataFrame(list(roots.items()), "datastore_name string, root string")
-    assert sorted(pairs(make_paths_absolute(df, table))) == sorted(expected)
-    many = {**roots, **{f"other{n}": "file:///o" for n in range(100)}}
-    assert sorted(pairs(make_paths_absolute(df, many))) == sorted(expected)
-
-
-def test_unknown_root_counts_only_for_relative_paths(spark):
-    df = records(spark, ("d9", "x/p.txt"), ("d9", "s3://h/p.txt"))
-    assert pairs(unknown_roots(df, {"d1": "file:///r"})) == [("d9", "x/p.txt")]
-    with pytest.raises(ReleaseCheckError, match="No root known"):
-        require_none(unknown_roots(df, {"d1": "file:///r"}), "No root known for datastore")
-
-
-MAP_CASES = [
-    ("s3://one/p.txt", "s3", "p.txt"),
-    ("file:///two/sub/q.txt", "disk", "q.txt"),
-    ("file:///three//sub/r.txt", "other", "sub/r.txt"),
-    ("file:///four/p.txt", "disk", "p.txt"),
-    # The first prefix wins, not the longest.
-    ("file:///fx/deep/p.txt", "short", "x/deep/p.txt"),
-    # A prefix may end inside a segment.
-    ("file:///fence", "short", "ence"),
-    ("file:///é/ü.txt", "accent", "ü.txt"),
-]
-MAPPING = {
-    "file:///two/sub": "disk",
-    "file:///four": "disk",
-    "file:///three": "other",
-    "s3://one": "s3",
-    "file:///f": "short",
-    "file:///fx/deep": "long",
-    "file:///é": "accent",
-}
-
-
-@pytest.mark.parametrize("form", ["literal", "table", "many"])
-def test_uris_are_mapped_by_the_first_prefix(spark, form):
-    df = records(spark, *[("x", uri) for uri, _, _ in MAP_CASES]).withColumn("uri", F.col("path"))
-    mapping = MAPPING
+SCHEMES = ("file://", "s3://", "gs://", "https://")
+
+
+def made_up(generator, count):
+    """Stores with roots, and records with relative paths, URIs and fragments, all drawn from a seed."""
+    word = lambda: "".join(generator.choices("pqré _-.%", k=generator.randint(1, 5)))
+    stores = {f"store{n}": generator.choice(SCHEMES) + word() + generator.choice(["", "/", "//"]) for n in range(6)}
+    rows = []
+    for number in range(count):
+        path = "/".join(word() for _ in range(generator.randint(1, 4)))
+        if generator.random() < 0.4:
+            path = generator.choice(SCHEMES) + path
+        if generator.random() < 0.3:
+            path += "#" + word()
+        rows.append((generator.choice([*stores, "nowhere"]), path))
+    return stores, rows
+
+
+def rooted(stores, name, path):
+    """The rule in plain Python: URIs stay, other paths follow the root after one slash."""
+    if "://" in path and "/" not in path.split("://")[0] and ":" not in path.split("://")[0] and path.split("://")[0]:
+        return path
+    return stores[name].rstrip("/") + "/" + path if name in stores else None
+
+
+@pytest.mark.parametrize("form", ["literal", "table", "longer"])
+def test_roots(spark, form):
+    stores, rows = made_up(random.Random(11), 300)
+    df = records(spark, *rows).withColumn("given", F.col("path"))
+    roots = stores
+    if form == "table":
+        roots = spark.createDataFrame([*stores.items(), *stores.items()], "datastore_name string, root string")
+    elif form == "longer":
+        roots = {**stores, **{f"unused{n}": "s3://u" for n in range(1000)}}
+    found = make_paths_absolute(df, roots).collect()
+    assert len(found) == len(rows)
+    assert all(r["path"] == rooted(stores, r["datastore_name"], r["given"]) for r in found)
+    missing = sorted(pairs(unknown_roots(df.select("datastore_name", "path"), roots)))
+    assert missing == sorted(r for r in rows if rooted(stores, *r) is None)
+    with pytest.raises(ReleaseCheckError, match="Roots"):
+        require_none(unknown_roots(df, roots), "Roots are missing")
+
+
+def test_a_store_with_two_roots_is_an_error(spark):
+    table = spark.createDataFrame([("a", "s3://x"), ("a", "s3://y")], "datastore_name string, root string")
+    with pytest.raises(AmbiguousRootError, match="'a'"):
+        make_paths_absolute(records(spark, ("a", "p")), table)
+
+
+def mapped(mapping, uri):
+    """The rule in plain Python: the first prefix in order, wherever it ends."""
+    for prefix, name in mapping.items():
+        if uri.startswith(prefix):
+            return name, uri[len(prefix) :].lstrip("/")
+    return None, None
+
+
+@pytest.mark.parametrize("size", [1, 10, 64, 65, 1000])
+@pytest.mark.parametrize("form", ["literal", "table"])
+def test_prefixes(spark, form, size):
+    generator = random.Random(size)
+    uris = [generator.choice(SCHEMES) + "".join(generator.choices("ab/é", k=generator.randint(0, 8))) for _ in range(200)]
+    mapping = {}
+    while len(mapping) < size:
+        start = generator.choice(uris)
+        prefix = start[: generator.randint(5, len(start))] if len(mapping) % 2 else start + f"/{len(mapping)}"
+        mapping.setdefault(prefix if len(mapping) < 100 else f"{prefix}{len(mapping)}", f"n{len(mapping)}")
+    table = mapping
     if form == "table":
-        rows = [(p, n, i) for i, (p, n) in enumerate(MAPPING.items())]
-        mapping = spark.createDataFrame(rows, "prefix string, datastore_name string, position int")
-    elif form == "many":
-        mapping = {**MAPPING, **{f"gs://bucket{n}/": f"gs{n}" for n in range(100)}}
-    mapped = {r["uri"]: (r["datastore_name"], r["path"]) for r in map_to_datastores(df, mapping).collect()}
-    assert mapped == {uri: (name, rest) for uri, name, rest in MAP_CASES}
-    stray = records(spark, ("x", "https://h/p"), ("x", "s3://one/p"))
-    assert pairs(unmapped_paths(stray, mapping)) == [("x", "https://h/p")]
-
-
-def test_mapping_is_the_reverse_of_making_absolute(spark):
-    roots = {"d1": "file:///r1", "d2": "s3://r2"}
-    df = records(spark, ("d1", "a/b.txt"), ("d2", "c.txt"), ("d1", "d#e"))
-    mapping = {root: name for name, root in roots.items()}
-    assert pairs(map_to_datastores(make_paths_absolute(df, roots), mapping)) == pairs(df)
-
-
-def test_file_list_over_two_tables(spark):
-    first = ["a.zip", "b.zip#member=a", "c.zip", "d.bin", "e.bin", "d.bin", "b.zip#member=b"]
-    second = ["c.zip#member=c", "g.bin"]
-    tables = [spark.createDataFrame([(p,) for p in paths], "path string") for paths in (first, second)]
-    files = file_list(*tables)
-    assert sorted(r["file"] for r in files.collect()) == ["a.zip", "b.zip", "c.zip", "d.bin", "e.bin", "g.bin"]
-    assert [len(batch) for batch in fetch_batches(files, 5)] == [5, 1]
-    assert fetch_scalar(files.agg(F.count(F.lit(1)))) == 6
+        rows = [(p, n, i) for i, (p, n) in enumerate(mapping.items())]
+        table = spark.createDataFrame(rows, "prefix string, datastore_name string, position int")
+    df = records(spark, *[("x", u) for u in uris]).withColumn("uri", F.col("path"))
+    result = map_to_datastores(df, table)
+    found = result.collect()
+    assert len(found) == len(uris)
+    assert all((r["datastore_name"], r["path"]) == mapped(mapping, r["uri"]) for r in found)
+    strays = unmapped_paths(df.select("datastore_name", "path"), table)
+    assert sorted(p for _, p in pairs(strays)) == sorted(u for u in uris if mapped(mapping, u)[0] is None)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    if form == "literal":
+        assert "Exchange" not in plan and "Join" not in plan
+    else:
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_mapping_undoes_roots(spark):
+    roots = {f"s{n}": f"s3://bucket{n}x" for n in range(20)}
+    rows = [(f"s{n % 20}", f"{n}/é#{n}") for n in range(100)]
+    back = map_to_datastores(make_paths_absolute(records(spark, *rows), roots), {r: s for s, r in roots.items()})
+    assert sorted(pairs(back)) == sorted(rows)
+
+
+def test_physical_files(spark):
+    generator = random.Random(3)
+    tables = [
+        [f"f{generator.randint(0, 30)}" + generator.choice(["", "#", "#m1", "#m2#x"]) for _ in range(size)]
+        for size in (80, 40, 1)
+    ]
+    files = file_list(*[spark.createDataFrame([(p,) for p in paths], "path string") for paths in tables])
+    expected = {p.split("#")[0] for paths in tables for p in paths}
+    assert sorted(r["file"] for r in files.collect()) == sorted(expected)
+    fetched = list(fetch_batches(files, 7))
+    assert [len(batch) for batch in fetched[:-1]] == [7] * (len(expected) // 7) and len(fetched[-1]) <= 7
+    assert sorted(f for batch in fetched for f in batch) == sorted(expected)
+    assert fetch_scalar(files.agg(F.count(F.lit(1)))) == len(expected)
     with pytest.raises(ValueError):
         fetch_scalar(files.where("false"))
     with pytest.raises(ValueError):
-        list(fetch_batches(tables[0].withColumn("other", F.lit(1)), 5))
+        list(fetch_batches(files.withColumn("other", F.lit(1)), 7))
 
 
 def test_globs_match_like_the_shell(spark):
