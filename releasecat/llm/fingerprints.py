@@ -147,7 +147,7 @@ def with_following(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     dealt = placed.select("doc_id", "text", F.explode(F.when(leading, F.array(own, lent)).otherwise(F.array(own))).alias("to"))
     return (
         dealt.select("to.block", "to.borrowed", "doc_id", "text")
-        .repartition(count, "block")
+        .repartitionById(size, F.col("block"))
         .sortWithinPartitions("block", "borrowed", "doc_id", "text")
     )
 
