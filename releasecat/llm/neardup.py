@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import keep, mix, shingles, slices, utf8, words
+from .text import keep, mix, partitions, shingles, slices, utf8, words
 
 
 class NearDup(NamedTuple):
-    """Words of a shingle, least Jaccard similarity of two texts, and the bands of a signature and their rows.
+    """Words of a shingle, least Jaccard similarity of two texts, the bands of a signature and their rows, and up to
+    how many texts of a bucket that are apart from its pivot one task compares with each other.
 
     A pair with a similarity of 0.8 shares no band with a chance of 1 in 20,000.
     """
@@ -24,6 +25,7 @@ class NearDup(NamedTuple):
     least: float = 0.8
     bands: int = 25
     rows: int = 5
+    together: int = 512
 
     @property
     def size(self) -> int:
@@ -171,8 +173,8 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
     ``bands`` has ``key, band`` rows.  In each bucket every text is compared with one pivot, the text that is in the
     most and largest buckets.  A text left in another component than its pivot is compared with members of the
     pivot's component unless their distances to the pivot differ too much for a link: Jaccard distance is a metric.
-    What is still apart gets a pivot of its own, until nothing is left.  So a bucket is connected rightly without its
-    pairs being listed.
+    What is still apart is compared in one task if it is little, else it gets a pivot of its own, until nothing is
+    left.  So a bucket is connected rightly without its pairs being listed.
     """
     sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = cut_lineage(bands.join(sizes, "band"), "buckets")
@@ -183,7 +185,7 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
     texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     texts = cut_lineage(texts, "bucket-texts")
 
-    compared = None
+    compared = found = None
     while True:
         pivots = members.groupBy("band").agg(F.max(F.struct("score", "key")).alias("p")).select("band", F.col("p.key").alias("pivot"))
         placed = cut_lineage(members.join(pivots, "band"), "placed")
@@ -199,11 +201,87 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
             if extra.where(F.col("similarity") >= rule.least).isEmpty():
                 break
             apart = cut_lineage(_apart(placed, _labels(compared, rule)), "apart")
-        left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-        members = cut_lineage(apart.join(left, "band", "left_semi").select("band", "key", "score"), "members")
+        counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+        few = apart.join(counts.where(F.col("n").between(2, rule.together)), "band", "left_semi").select("band", "key")
+        within = cut_lineage(linked_together(few, texts, rule), "within")
+        found = within if found is None else found.union(within)
+        members = apart.join(counts.where(F.col("n") > rule.together), "band", "left_semi").select("band", "key", "score")
+        members = cut_lineage(members, "members")
         if members.isEmpty():
             break
-    return compared.where(F.col("similarity") >= rule.least).select("a", "b")
+    links = compared.where(F.col("similarity") >= rule.least).select("a", "b")
+    return links if found is None else links.union(found)
+
+
+def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
+    """Links ``a, b`` that connect what is linked inside small buckets ``band, key``.
+
+    A bucket's texts are compared in one task, whose number ``rule.together`` bounds; buckets of the same texts are
+    compared once.
+    """
+    lists = buckets.groupBy("band").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    once = lists.groupBy(F.sha2(F.array_join(F.transform("keys", F.hex), ""), 256).alias("bucket")).agg(F.first("keys").alias("keys"))
+    rows = once.select("bucket", F.explode("keys").alias("key")).join(texts, "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        for batch in batches:
+            for bucket, key, text in zip(*[batch.column(c).to_pylist() for c in ("bucket", "key", "text")], strict=True):
+                if bucket not in held and held:
+                    yield _spanning_links(held, rule)
+                    held = {}
+                held.setdefault(bucket, []).append((key, text))
+        if held:
+            yield _spanning_links(held, rule)
+
+    dealt = rows.select("bucket", "key", "text").repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket", "key")
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _spanning_links(held: dict[str, list], rule: NearDup) -> pa.RecordBatch:
+    (rows,) = held.values()
+    keys = [key for key, _ in rows]
+    links = spanning_tree(shared_similarities(pa.array([text for _, text in rows], pa.string()), rule.shingle) >= rule.least)
+    columns = [pa.array([keys[i] for i, _ in links], pa.binary()), pa.array([keys[j] for _, j in links], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
+def shared_similarities(column: pa.Array, size: int) -> np.ndarray:
+    """Exact similarity of each two of a few texts: products of blocks of the table of shared shingles."""
+    text, hashes, _ = weighted_shingles(column, size)
+    held = np.bincount(text, minlength=len(column)).astype(np.float64)
+    _, column_of, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = times[column_of] > 1
+    text, column_of = text[shared], (np.cumsum(times > 1) - 1)[column_of[shared]]
+    order = np.argsort(column_of, kind="stable")
+    text, column_of = text[order], column_of[order]
+    both = np.zeros((len(held), len(held)))
+    for low in range(0, int(column_of.max(initial=-1)) + 1, 4096):
+        a, b = np.searchsorted(column_of, [low, low + 4096])
+        table = np.zeros((len(held), 4096), np.float32)
+        table[text[a:b], column_of[a:b] - low] = 1
+        both += table @ table.T
+    np.fill_diagonal(both, held)
+    either = held[:, None] + held[None, :] - both
+    return np.where(either > 0, both / np.maximum(either, 1), 1.0)
+
+
+def spanning_tree(near: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the components of a relation, none that closes a circle."""
+    left = np.ones(len(near), bool)
+    links = []
+    for first in range(len(near)):
+        if not left[first]:
+            continue
+        left[first] = False
+        waiting = [first]
+        while waiting:
+            at = waiting.pop()
+            reached = np.flatnonzero(near[at] & left)
+            left[reached] = False
+            links += [(at, int(other)) for other in reached]
+            waiting += reached.tolist()
+    return links
 
 
 def _pairs(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:

@@ -14,7 +14,9 @@ from releasecat.llm.neardup import (
     find_links,
     keep_one_of_each,
     near_duplicate_classes,
+    shared_similarities,
     signatures,
+    spanning_tree,
     text_key,
     weighted_shingles,
 )
@@ -79,12 +81,39 @@ def test_hand_made(spark):
 def test_one_bucket_is_connected_without_its_pairs(spark):
     """All texts share one band; links are between neighbours only, so most lie beside the pivot."""
     words = [f"v{i}" for i in range(300)]
-    rows = [(n, " ".join(words[8 * n : 8 * n + 120])) for n in range(20)]
+    rows = [(n, " ".join(words[8 * n : 8 * n + 120])) for n in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bands = docs.select(text_key().alias("key")).selectExpr("key", "1L AS band")
-    links = components(find_links(bands, docs, NearDup()))
     expected = {c for _, c in classes(rows)}
-    assert len(expected) == links.select("component").distinct().count() + len(rows) - links.count()
+    for together in (1, 512):
+        links = components(find_links(bands, docs, NearDup(together=together)))
+        assert len(expected) == links.select("component").distinct().count() + len(rows) - links.count()
+
+
+def test_small_buckets_are_compared_exactly():
+    random.seed(3)
+    texts = ["", "a", "a b c d e f"] + [" ".join(f"w{random.randint(0, 9) if random.random() < 0.1 else i}" for i in range(60)) for _ in range(30)]
+    found = shared_similarities(pa.array(texts), 5)
+    sets = [shingle_set(t) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert abs(found[i, j] - (len(a & b) / len(a | b) if a | b else 1)) < 1e-12
+    near = found >= 0.5
+    assert len(spanning_tree(near)) == len(texts) - _parts(near)
+
+
+def _parts(near):
+    seen, parts = set(), 0
+    for i in range(len(near)):
+        if i not in seen:
+            parts += 1
+            waiting = [i]
+            while waiting:
+                k = waiting.pop()
+                if k not in seen:
+                    seen.add(k)
+                    waiting += np.flatnonzero(near[k]).tolist()
+    return parts
 
 
 def test_signatures_estimate_probability_jaccard():
