@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from ..session import configure
 
@@ -13,7 +12,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_SCHEMAS: dict[str, StructType] = {}
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -32,8 +30,5 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables; its schema is looked up in the file once."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -92,13 +92,12 @@ def filter_cascade(spark, sf_dir):
     f"""
     WITH {adapters.DATASETS_SQL}
     SELECT dataset_type, dataset_id, 'store_' || lower(l_returnflag) AS datastore_name, l_partkey AS part
-    FROM order_datasets JOIN lineitem ON l_orderkey = o_orderkey WHERE dataset_type = 'order_f'
+    FROM order_datasets JOIN lineitem ON l_orderkey = o_orderkey
     """,
 )
 def datastore_lookup(spark, sf_dir):
-    """File records of the datasets of one type."""
-    wanted = adapters.order_datasets(spark, sf_dir).where("dataset_type = 'order_f'")
-    records = datastore_for(wanted, adapters.datastore(spark, sf_dir))
+    """File records of the datasets of all types."""
+    records = datastore_for(adapters.order_datasets(spark, sf_dir), adapters.datastore(spark, sf_dir))
     return records.select(
         "dataset_type",
         binary_to_hex("dataset_id").alias("dataset_id"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import binary_to_hex
 from ..operators.paths import map_to_datastores
+from ..operators.selection import union_by_name
 from ..operators.summary import count_report
 from ..plans.export import export_release
 from ..plans.load import dataset_orphans, load_release, reference_report, stray_rows
@@ -18,7 +19,6 @@ from . import adapters
 from .base import query
 
 TYPES = ["order_?", "raw", "sky_map"]
-_EXPORTED: dict[tuple[str, str], Release] = {}
 
 
 def write_release(spark, sf_dir) -> Release:
@@ -28,11 +28,8 @@ def write_release(spark, sf_dir) -> Release:
 
 
 def exported(spark, sf_dir) -> Release:
-    """The release of these tables, written once for all queries that only read it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _EXPORTED:
-        _EXPORTED[key] = write_release(spark, sf_dir)
-    return _EXPORTED[key]
+    """A release of these tables, written for the query that reads it."""
+    return write_release(spark, sf_dir)
 
 
 RELEASE_SQL = f"""
@@ -71,6 +68,14 @@ def export_datasets(spark, sf_dir):
     )
 
 
+@query("pruned_ids", f"WITH {RELEASE_SQL} SELECT dataset_type, dataset_id FROM released")
+def pruned_ids(spark, sf_dir):
+    """Ids of every type, from scans that read no other column."""
+    release = exported(spark, sf_dir)
+    ids = [release.read_dataset_ids(t["name"]).withColumn("dataset_type", F.lit(t["name"])) for t in release.types]
+    return union_by_name(ids).select("dataset_type", binary_to_hex("dataset_id").alias("dataset_id"))
+
+
 @query(
     "export_datastore",
     f"""
