@@ -1,5 +1,7 @@
 """Pruning, value removal and rewrites in place."""
 
+import shutil
+
 import pytest
 
 from releasecat import fs
@@ -14,6 +16,7 @@ from releasecat.registry import adapters, dump_queries
 from releasecat.schemas import as_nullable
 from releasecat.session import staging_path
 from releasecat.sinks.rewrite import recover_table, rewrite_table, rewrite_tables
+from releasecat.sources.release import Release
 
 
 @pytest.fixture
@@ -145,3 +148,43 @@ def test_release_is_pruned_in_place_once(spark, sf_dir):
     prune_release(release)
     assert {n: release.read_dimension(n).count() for n in names} == once
     assert adapters.ROOTS
+
+
+def _contents(release):
+    tables = {n: release.read_dimension(n) for n in ("visit", "exposure", "visit_definition", "skymap", "tract")}
+    tables |= {"maps": release.read_datasets("sky_map"), "files": release.read_datastore("sky_map")}
+    return {n: sorted(map(str, rows_of(df))) for n, df in tables.items()}
+
+
+def test_jobs_cut_short_at_any_rename_are_finished_by_a_second_call(spark, sf_dir, monkeypatch):
+    written = dump_queries.write_release(spark, sf_dir)
+
+    def change(release):
+        remove_value_from_release(release, {"skymap": "name", "tract": "skymap"}, ["sky_map"], "skymap", "ASIA")
+        prune_release(release)
+
+    def copied():
+        copy = staging_path(spark, "copy")
+        shutil.copytree(written.directory.removeprefix("file:"), copy.removeprefix("file:"))
+        return Release(spark, copy, written.spec)
+
+    whole = copied()
+    change(whole)
+    expected = _contents(whole)
+    renames = fs.rename
+    # Ten renames for the five tables of the removal, as many for those of the pruning.
+    for cut in (0, 1, 5, 9, 11, 19):
+        release, calls = copied(), []
+
+        def fail(*arguments):
+            calls.append(arguments)
+            if len(calls) == cut + 1:
+                raise OSError("cut short")
+            renames(*arguments)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(fs, "rename", fail)
+            with pytest.raises(OSError, match="cut short"):
+                change(release)
+        change(release)
+        assert _contents(release) == expected
