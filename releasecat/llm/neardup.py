@@ -171,8 +171,8 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
     """Links ``a, b`` between different texts that connect all texts linked through a shared band.
 
     ``bands`` has ``key, band`` rows.  In each bucket every text is compared with one pivot, the text that is in the
-    most and largest buckets.  A text left in another component than its pivot is compared with members of the
-    pivot's component unless their distances to the pivot differ too much for a link: Jaccard distance is a metric.
+    most and largest buckets.  A text left in another component than its pivot is compared with the pivot's component
+    unless it is too far from the pivot for a link: Jaccard distance is a metric.
     What is still apart is compared in one task if it is little, else it gets a pivot of its own, until nothing is
     left.  So a bucket is connected rightly without its pairs being listed.
     """
@@ -185,32 +185,32 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
     texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     texts = cut_lineage(texts, "bucket-texts")
 
-    compared = found = None
+    compared = links = None
     while True:
         pivots = members.groupBy("band").agg(F.max(F.struct("score", "key")).alias("p")).select("band", F.col("p.key").alias("pivot"))
         placed = cut_lineage(members.join(pivots, "band"), "placed")
         fresh = _pairs(placed.select("key", F.col("pivot").alias("other")), compared)
         now = cut_lineage(similarities(fresh, texts, rule), "similarities")
         compared = now if compared is None else cut_lineage(compared.union(now), "similarities")
-        apart = cut_lineage(_apart(placed, _labels(compared, rule)), "apart")
+        near = compared.where(F.col("similarity") >= rule.least).select("a", "b")
+        links = near if links is None else cut_lineage(links.union(near).distinct(), "links")
+        apart, joined = cut_lineage(_apart(placed, components(links)), "apart"), None
         while not apart.isEmpty():
-            extra = cut_lineage(similarities(_pairs(_fringe(placed, apart, compared, rule), compared), texts, rule), "similarities")
+            extra = cut_lineage(_fringe_links(placed, apart, joined, compared, texts, rule), "fringe")
             if extra.isEmpty():
                 break
-            compared = cut_lineage(compared.union(extra), "similarities")
-            if extra.where(F.col("similarity") >= rule.least).isEmpty():
-                break
-            apart = cut_lineage(_apart(placed, _labels(compared, rule)), "apart")
+            links = cut_lineage(links.union(extra), "links")
+            left = cut_lineage(_apart(placed, components(links)), "apart")
+            joined = apart.select("key").distinct().join(left.select("key").distinct(), "key", "left_anti")
+            apart = left
         counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
         few = apart.join(counts.where(F.col("n").between(2, rule.together)), "band", "left_semi").select("band", "key")
-        within = cut_lineage(linked_together(few, texts, rule), "within")
-        found = within if found is None else found.union(within)
+        links = links.union(cut_lineage(linked_together(few, texts, rule), "within"))
         members = apart.join(counts.where(F.col("n") > rule.together), "band", "left_semi").select("band", "key", "score")
         members = cut_lineage(members, "members")
         if members.isEmpty():
             break
-    links = compared.where(F.col("similarity") >= rule.least).select("a", "b")
-    return links if found is None else links.union(found)
+    return links
 
 
 def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
@@ -224,28 +224,16 @@ def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> Data
     rows = once.select("bucket", F.explode("keys").alias("key")).join(texts, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
-        for batch in batches:
-            for bucket, key, text in zip(*[batch.column(c).to_pylist() for c in ("bucket", "key", "text")], strict=True):
-                if bucket not in held and held:
-                    yield _spanning_links(held, rule)
-                    held = {}
-                held.setdefault(bucket, []).append((key, text))
-        if held:
-            yield _spanning_links(held, rule)
+        for bucket in _groups(batches, "bucket"):
+            near = shared_similarities(pa.array(bucket["text"], pa.string()), rule.shingle) >= rule.least
+            links = spanning_tree(near)
+            columns = [pa.array([bucket["key"][link[end]] for link in links], pa.binary()) for end in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     dealt = rows.select("bucket", "key", "text").repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket", "key")
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _spanning_links(held: dict[str, list], rule: NearDup) -> pa.RecordBatch:
-    (rows,) = held.values()
-    keys = [key for key, _ in rows]
-    links = spanning_tree(shared_similarities(pa.array([text for _, text in rows], pa.string()), rule.shingle) >= rule.least)
-    columns = [pa.array([keys[i] for i, _ in links], pa.binary()), pa.array([keys[j] for _, j in links], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
-
-
 def shared_similarities(column: pa.Array, size: int) -> np.ndarray:
     """Exact similarity of each two of a few texts: products of blocks of the table of shared shingles."""
     text, hashes, _ = weighted_shingles(column, size)
@@ -293,10 +281,6 @@ def _pairs(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:
     return distinct if compared is None else distinct.join(compared, ["a", "b"], "left_anti")
 
 
-def _labels(compared: DataFrame, rule: NearDup) -> DataFrame:
-    return components(compared.where(F.col("similarity") >= rule.least))
-
-
 def _apart(placed: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets in another component than the pivot: ``band, key, score, pivot``."""
     of_key = labels.select("key", F.col("component").alias("own"))
@@ -307,14 +291,64 @@ def _apart(placed: DataFrame, labels: DataFrame) -> DataFrame:
     ).select("band", "key", "score", "pivot")
 
 
-def _fringe(placed: DataFrame, apart: DataFrame, compared: DataFrame, rule: NearDup) -> DataFrame:
-    """Pairs of a text apart from its pivot and a text of the pivot's component in the bucket that may be linked."""
+def _fringe_links(
+    placed: DataFrame, apart: DataFrame, joined: DataFrame | None, compared: DataFrame, texts: DataFrame, rule: NearDup
+) -> DataFrame:
+    """A link ``a, b`` for each text apart from its pivot that is linked to a text of the pivot's component.
+
+    Left out are texts farther from the pivot than the component's farthest text and a link together reach.  The
+    others are compared with the texts of the component, in a later turn with those that ``joined`` it, in blocks
+    of at most about ``rule.together`` texts: a task works out a block as a product of matrices and returns one
+    link for a text.
+    """
     known = compared.select("a", "b", "similarity").union(compared.select("b", "a", "similarity")).toDF("key", "pivot", "similarity")
-    outer = apart.join(known, ["key", "pivot"]).select("band", "key", "similarity")
-    inside = placed.join(apart.select("band", "key"), ["band", "key"], "left_anti").where(F.col("key") != F.col("pivot"))
-    inner = inside.join(known, ["key", "pivot"]).select("band", F.col("key").alias("other"), F.col("similarity").alias("others"))
-    close = F.abs(F.col("similarity") - F.col("others")) <= 1 - rule.least + 1e-9
-    return outer.join(inner, "band").where(close).select("key", "other").distinct()
+    outer = apart.select("key", "pivot").distinct()
+    inner = placed.select("key", "pivot").distinct().join(outer, ["key", "pivot"], "left_anti").where(F.col("key") != F.col("pivot"))
+    inner = inner.join(known, ["key", "pivot"])
+    if joined is not None:
+        inner = inner.join(joined, "key", "left_semi")
+    sizes = inner.groupBy("pivot").agg(F.count(F.lit(1)).alias("inside"), F.min("similarity").alias("farthest"))
+    outer = outer.join(known, ["key", "pivot"]).join(sizes, "pivot")
+    outer = outer.where(F.col("similarity") >= F.col("farthest") - (1 - rule.least) - 1e-9).select("key", "pivot")
+    half = rule.together / 2
+    blocks = outer.groupBy("pivot").agg(F.count(F.lit(1)).alias("outside")).join(sizes, "pivot")
+    blocks = cut_lineage(blocks.select("pivot", F.ceil(F.col("outside") / half).alias("rows"), F.ceil(F.col("inside") / half).alias("columns")), "blocks")
+
+    def dealt(side: DataFrame, own: str, other: str, is_outer: bool):
+        part = F.pmod(F.xxhash64("key"), F.col(own))
+        each = side.select("key", "pivot").join(blocks, "pivot").withColumn(own, part)
+        each = each.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        return each.select("pivot", "rows", "columns", "key", F.lit(is_outer).alias("outer"))
+
+    rows = dealt(outer, "rows", "columns", True).union(dealt(inner, "columns", "rows", False)).join(texts, "key")
+    rows = rows.select(F.concat_ws(":", F.hex("pivot"), "rows", "columns").alias("block"), "key", "outer", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _groups(batches, "block"):
+            keys, outside, column = block["key"], np.array(block["outer"]), pa.array(block["text"], pa.string())
+            near = shared_similarities(column, rule.shingle)[outside][:, ~outside]
+            best = near.argmax(1) if near.size else np.zeros(0, int)
+            a, b = np.flatnonzero(outside), np.flatnonzero(~outside)
+            found = [(keys[a[i]], keys[b[j]]) for i, j in enumerate(best.tolist()) if near[i, j] >= rule.least]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    spread = rows.repartition(partitions(placed), "block").sortWithinPartitions("block", "key", "outer")
+    return spread.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[dict[str, list]]:
+    """Rows of each value of a sorted column, as lists by column."""
+    held: dict[str, list] = {}
+    for batch in batches:
+        names = batch.schema.names
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if held and held[by][-1] != row[names.index(by)]:
+                yield held
+                held = {}
+            for name, value in zip(names, row):
+                held.setdefault(name, []).append(value)
+    if held:
+        yield held
 
 
 def near_duplicate_classes(
