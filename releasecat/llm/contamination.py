@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -15,8 +15,6 @@ from .text import Words, keep, shingles, slices, utf8, words
 SEED_WORDS = 5
 # Share of an item's words, in alignment score, from which on a document is taken to hold the item.
 LEAST_SCORE = 0.5
-# Items that may share a seed that still counts as rare; an item with none so rare keeps its rarest seeds.
-RARE_ITEMS = 4
 MATCH, MISMATCH, GAP = 2, -1, 1
 # Bits of the filter of seeds that the document scan uses: fixed, whatever the size of the benchmark.
 _FILTER_BITS = 25
@@ -37,7 +35,7 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """Rare word n-grams of the items: ``seed, item_id``; items of fewer words have no seed."""
+    """All word n-grams of the items, however many share them: ``seed, item_id``; items of fewer words have no seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,12 +47,20 @@ def item_seeds(items: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), batch.column("item_id").take(pa.array(of[at]))], ["seed", "item_id"])
 
     kind = items.schema["item_id"].dataType.simpleString()
-    seeds = items.mapInArrow(run, f"seed long, item_id {kind}").distinct()
-    shared = seeds.join(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("items")), "seed")
-    least = F.min("items").over(Window.partitionBy("item_id"))
-    return shared.where(F.col("items") <= RARE_ITEMS).unionByName(
-        shared.withColumn("least", least).where((F.col("least") > RARE_ITEMS) & (F.col("items") == F.col("least"))).drop("least")
-    ).select("seed", "item_id")
+    return items.mapInArrow(run, f"seed long, item_id {kind}").distinct()
+
+
+def seed_groups(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Seeds of the same items as one group: ``seed, group`` and the groups' items, ``group, item_id``.
+
+    Seeds have the same items if their number, sum and exclusive or of hashes agree.  A group is named by its least seed.
+    """
+    of_item = F.xxhash64("item_id")
+    held = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("items"), F.sum(of_item.cast("decimal(20,0)")).alias("total"), F.bit_xor(of_item).alias("mixed"))
+    same = ["items", "total", "mixed"]
+    grouped = held.join(held.groupBy(*same).agg(F.min("seed").alias("group")), same).select("seed", "group")
+    members = seeds.join(grouped.where(F.col("seed") == F.col("group")), "seed").select("group", "item_id")
+    return grouped, members
 
 
 def seed_filter(seeds: DataFrame, bits: int = _FILTER_BITS) -> np.ndarray:
@@ -145,6 +151,9 @@ def align_pairs(pairs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
             kept, scores, firsts, lasts = [], [], [], []
             for number, (passage, item, begin) in enumerate(zip(*columns)):
                 passage, item = passage.values.to_numpy(), item.values.to_numpy()
+                # No alignment scores more than the item's words that stand in the passage at all.
+                if MATCH * np.isin(item, passage).sum() < least * MATCH * len(item):
+                    continue
                 best, end = align(item, passage)
                 if best < least * MATCH * len(item):
                     continue
@@ -179,8 +188,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, least: float = LEA
     margin = items.agg(F.max(F.size("item_words"))).first()[0] or 0
     held = cut_lineage(passages(rows, seed_filter(seeds), margin), "passages")
     key = ["doc_id", "text_key", "begin"]
-    by_seed = held.select(*key, F.explode(F.array_distinct("seeds")).alias("seed")).join(seeds, "seed")
-    pairs = by_seed.select(*key, "item_id").distinct().alias("p")
+    grouped, members = (cut_lineage(t, name) for t, name in zip(seed_groups(seeds), ("seed-groups", "group-items")))
+    by_group = held.select(*key, F.explode(F.array_distinct("seeds")).alias("seed")).join(grouped, "seed")
+    pairs = by_group.select(*key, "group").distinct().join(members, "group").select(*key, "item_id").distinct().alias("p")
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"h.{c}")) for c in key]
     with_words = pairs.join(held.select(*key, "passage").dropDuplicates(key).alias("h"), same).select(
         "p.doc_id", "p.begin", "p.item_id", "passage"

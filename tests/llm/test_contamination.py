@@ -67,3 +67,15 @@ def test_edited_copies_and_odd_rows(spark):
     assert (found[1].first_word, found[1].last_word) == (3001, 3039) and found[1].score < 1 == found[7].score
     assert sorted(r.doc_id for r in drop_contaminated(docs, items).collect()) == [2, 3, 4, 5, 8]
     assert find_contamination(docs.limit(0), items).count() == find_contamination(docs, items.limit(0)).count() == 0
+
+
+def test_a_passage_that_many_items_share(spark):
+    """Items with one passage and a question each: a document that holds the passage alone holds them all."""
+    passage = [f"p{i}" for i in range(60)]
+    items = [(n, " ".join(passage + [f"q{n}x{i}" for i in range(8)])) for n in range(7)]
+    filler = [f"f{i}" for i in range(300)]
+    rows = [(1, " ".join(filler + passage + filler)), (2, " ".join(filler))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = find_contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, n) for n in range(7)]
+    assert all(abs(r.score - 60 / 68) < 1e-9 and (r.first_word, r.last_word) == (300, 359) for r in found)
