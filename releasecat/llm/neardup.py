@@ -201,7 +201,7 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
                 break
             links = cut_lineage(links.union(extra), "links")
             left = cut_lineage(_apart(placed, components(links)), "apart")
-            joined = apart.select("key").distinct().join(left.select("key").distinct(), "key", "left_anti")
+            joined = apart.select("key", "pivot").distinct().join(left.select("key", "pivot").distinct(), ["key", "pivot"], "left_anti")
             apart = left
         counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
         few = apart.join(counts.where(F.col("n").between(2, rule.together)), "band", "left_semi").select("band", "key")
@@ -297,8 +297,8 @@ def _fringe_links(
     """A link ``a, b`` for each text apart from its pivot that is linked to a text of the pivot's component.
 
     Left out are texts farther from the pivot than the component's farthest text and a link together reach.  The
-    others are compared with the texts of the component, in a later turn with those that ``joined`` it, in blocks
-    of at most about ``rule.together`` texts: a task works out a block as a product of matrices and returns one
+    others are compared with the texts of the component, in a later turn with those that ``joined`` it (pairs of a
+    text and a pivot: a text may join one pivot and stay apart from another), in blocks of at most about ``rule.together`` texts: a task works out a block as a product of matrices and returns one
     link for a text.
     """
     known = compared.select("a", "b", "similarity").union(compared.select("b", "a", "similarity")).toDF("key", "pivot", "similarity")
@@ -306,7 +306,7 @@ def _fringe_links(
     inner = placed.select("key", "pivot").distinct().join(outer, ["key", "pivot"], "left_anti").where(F.col("key") != F.col("pivot"))
     inner = inner.join(known, ["key", "pivot"])
     if joined is not None:
-        inner = inner.join(joined, "key", "left_semi")
+        inner = inner.join(joined, ["key", "pivot"], "left_semi")
     sizes = inner.groupBy("pivot").agg(F.count(F.lit(1)).alias("inside"), F.min("similarity").alias("farthest"))
     outer = outer.join(known, ["key", "pivot"]).join(sizes, "pivot")
     outer = outer.where(F.col("similarity") >= F.col("farthest") - (1 - rule.least) - 1e-9).select("key", "pivot")

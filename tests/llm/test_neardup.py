@@ -88,6 +88,19 @@ def test_one_bucket_is_connected_without_its_pairs(spark):
         assert len(expected) == links.select("component").distinct().count() + len(rows) - links.count()
 
 
+def test_a_member_apart_in_another_bucket_still_links(spark):
+    """Text 2 joins pivot 0 in the second turn but stays apart from pivot 10; text 3 is linked to text 2 alone."""
+    words = [f"v{i}" for i in range(300)]
+    rows = [(n, " ".join(words[8 * n : 8 * n + 120])) for n in range(4)]
+    rows += [(n, " ".join(f"u{n}x{i}" for i in range(120))) for n in range(10, 16)]
+    buckets = [(0, 1, 2, 3), (2, 10), (0, 11), (0, 12), (10, 13), (10, 14), (10, 15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", text_key().alias("key"))
+    of = spark.createDataFrame([(n, b) for b, members in enumerate(buckets) for n in members], "doc_id long, band long")
+    links = components(find_links(docs.join(of, "doc_id").select("key", "band"), docs, NearDup()))
+    found = {r.doc_id: r.component for r in docs.join(links, "key").collect()}
+    assert set(found) == {0, 1, 2, 3} and len(set(found.values())) == 1
+
+
 def test_small_buckets_are_compared_exactly():
     random.seed(3)
     texts = ["", "a", "a b c d e f"] + [" ".join(f"w{random.randint(0, 9) if random.random() < 0.1 else i}" for i in range(60)) for _ in range(30)]
