@@ -18,7 +18,7 @@ class NearDup(NamedTuple):
     """Words of a shingle, least Jaccard similarity of two texts, the bands of a signature and their rows, and up to
     how many texts of a bucket that are apart from its pivot one task compares with each other.
 
-    A pair with a similarity of 0.8 shares no band with a chance of 1 in 20,000.
+    A pair with a similarity of 0.8 shares no band with a chance of 1 in 20,000, however often its shingles repeat.
     """
 
     shingle: int = 5
@@ -110,8 +110,10 @@ def band_table(docs: DataFrame, rule: NearDup) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                text, hashes, weights = weighted_shingles(part.column("text"), rule.shingle)
-                keys = band_keys(signatures(text, hashes, weights, len(part), rule.size), rule.bands, rule.rows)
+                text, hashes, _ = weighted_shingles(part.column("text"), rule.shingle)
+                # Links are judged by sets: with equal weights the probability Jaccard similarity is that of the sets.
+                even = np.ones(len(hashes))
+                keys = band_keys(signatures(text, hashes, even, len(part), rule.size), rule.bands, rule.rows)
                 some = np.bincount(text, minlength=len(part)) > 0
                 bounds = np.concatenate([[0], np.cumsum(some * rule.bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys[some].ravel().view(np.int64)))

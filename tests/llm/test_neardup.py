@@ -10,6 +10,7 @@ import pyarrow as pa
 
 from releasecat.llm.neardup import (
     NearDup,
+    band_table,
     components,
     find_links,
     keep_one_of_each,
@@ -139,3 +140,13 @@ def test_signatures_estimate_probability_jaccard():
     size = 20000
     s = signatures(text, hashes, weights, 2, size)
     assert abs((s[0] == s[1]).mean() - exact) < 4 * np.sqrt(exact * (1 - exact) / size)
+
+
+def test_repeated_shingles_do_not_hide_a_pair(spark):
+    """Pairs with a set similarity of 0.83 whose own shingles repeat 50 times share a band."""
+    rows = []
+    for n in range(20):
+        shared = [f"s{n}x{i}" for i in range(244)]
+        rows += [(2 * n + side, " ".join(shared + [f"o{n}y{side}z{i}" for i in range(20)] * 50)) for side in (0, 1)]
+    found = {r.doc_id: set(r.bands) for r in band_table(spark.createDataFrame(rows, "doc_id long, text string"), NearDup()).collect()}
+    assert all(found[2 * n] & found[2 * n + 1] for n in range(20))
