@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import keep, shingles, utf8, words
+from .text import keep, partitions, shingles, utf8, words
 
 # Characters that are drawn like a Latin letter, and digits and signs that are typed in place of one.
 LOOKALIKES = str.maketrans("аеоркхсуіјѕԁһмтвнαεοικνρτυχ", "aeopkxcyijsdhmtbhaeoiknptux")
@@ -24,6 +25,9 @@ SEED = ("idiot", "moron", "scum", "stupid", "worthless")
 # Phrases in which a word of the lexicon is meant otherwise.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy", "stupid mistake of mine", "sore loser bracket")
 
+# Similarity from which on two labelled texts count as one.
+COPY_SHARE = 0.8
+
 _TABLE = bytearray(b" " * 256)
 for _code in range(256):
     if chr(_code).isascii() and chr(_code).isalpha():
@@ -141,28 +145,27 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
 def learn_lexicon(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Lexicon:
     """Lexicon and weights from the labelled documents that are not held out.
 
-    Patterns of the toxic rows are counted in tasks, then those frequent enough in the clean rows.  Of near copies,
-    found by the smallest hash of five words, one counts.  Among patterns likelier in toxic rows those are taken that
+    Of near copies with one label one row counts, on either side.  Patterns of the toxic rows are counted in tasks,
+    then those frequent enough in the clean rows.  Among patterns likelier in toxic rows those are taken that
     are in the most rows not yet covered, weighted by how much likelier they are.  Without rows of both kinds the
     seed words are returned.
     """
-    rows = training_rows(docs, labels, fit)
+    rows = cut_lineage(without_copies(training_rows(docs, labels, fit)), "toxicity-rows")
     sizes = {r.toxic: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Lexicon(tuple(f" {w} " for w in SEED), (4.0,) * len(SEED), -3.0)
     least = max(fit.least_rows, math.ceil(fit.least_share * sizes[True]))
 
     def in_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for batch in batches:
-            keys = copy_keys(batch.column("text"))
-            for key, text in zip(keys.tolist(), batch.column("text").to_pylist(), strict=True):
-                found = list(word_patterns(fold(text)))
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([key] * len(found), pa.int64())], ["pattern", "copy"])
+            for text in batch.column("text").to_pylist():
+                counts.update(word_patterns(fold(text)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["pattern", "n"])
 
-    toxic = rows.where("toxic").mapInArrow(in_toxic, "pattern string, copy long")
+    toxic = rows.where("toxic").mapInArrow(in_toxic, "pattern string, n long")
     frequent = {
-        r.pattern: r["n"]
-        for r in toxic.groupBy("pattern").agg(F.count_distinct("copy").alias("n")).where(F.col("n") >= least).collect()
+        r.pattern: r.total for r in toxic.groupBy("pattern").agg(F.sum("n").alias("total")).where(F.col("total") >= least).collect()
     }
     wanted = frozenset(frequent)
 
@@ -190,15 +193,64 @@ def weight(toxic: int, clean: int, toxic_rows: int, clean_rows: int) -> float:
 
 
 def copy_keys(texts: pa.Array) -> np.ndarray:
-    """For each text the smallest hash of five words in it, which near copies mostly share."""
+    """For each text the smallest hash of five words in it, which near copies mostly share; of a text with fewer words
+    the hash of its folded words."""
     found = words(*utf8(texts))
     values, at = shingles(found, 5)
     least = np.zeros(len(texts), np.uint64)
     least[:] = np.iinfo(np.uint64).max
     np.minimum.at(least, found.text[at], values)
+    for number in np.flatnonzero(np.diff(found.first) < 5).tolist():
+        folded = " ".join(fold(texts[number].as_py() or "").split())
+        least[number] = int.from_bytes(hashlib.blake2b(folded.encode(), digest_size=8).digest(), "little")
     return least.view(np.int64)
 
 
+def word_runs(text: str) -> frozenset[tuple[str, ...]]:
+    """Every five words of a folded text; all its words if there are fewer."""
+    parts = fold(text).split()
+    return frozenset(tuple(parts[n : n + 5]) for n in range(max(1, len(parts) - 4)))
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """One row of each label and near copies: ``toxic, text``.
+
+    Copies are looked for among texts with one copy key; a text is a copy of an earlier one if their runs of five
+    words have a Jaccard similarity of at least ``COPY_SHARE``.
+    """
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("copy", pa.array(copy_keys(batch.column("text")), pa.int64()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, first, kept = None, None, []
+        for batch in batches:
+            stay = []
+            for toxic, text, copy in zip(*[batch.column(c).to_pylist() for c in ("toxic", "text", "copy")], strict=True):
+                if (toxic, copy) != group:
+                    group, first, kept = (toxic, copy), text, []
+                    stay.append(True)
+                    continue
+                own, kept = word_runs(text), kept or [word_runs(first)]
+                known = text == first or any(_alike(own, other) for other in kept)
+                stay.append(not known)
+                if not known:
+                    kept.append(own)
+            yield batch.select(["toxic", "text"]).filter(pa.array(stay, pa.bool_()))
+
+    keyed = rows.mapInArrow(key, "toxic boolean, text string, copy long")
+    dealt = keyed.repartition(partitions(rows), "toxic", "copy").sortWithinPartitions("toxic", "copy", "text")
+    return dealt.mapInArrow(run, "toxic boolean, text string")
+
+
+def _alike(a: frozenset, b: frozenset) -> bool:
+    if min(len(a), len(b)) < COPY_SHARE * max(len(a), len(b)):
+        return False
+    shared = len(a & b)
+    return shared >= COPY_SHARE * (len(a) + len(b) - shared)
+
+
 def _settled(patterns: list[str], toxic: dict[str, int], clean: dict[str, int]) -> list[str]:
     """One pattern of each chain of starts: the longest that still finds what a shorter one does, and none that
     begins with one at least as exact."""

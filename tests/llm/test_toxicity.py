@@ -3,7 +3,7 @@
 import random
 
 from releasecat.llm.text import prepare
-from releasecat.llm.toxicity import Matcher, find_toxic, fold, reject_toxic, weight, word_patterns
+from releasecat.llm.toxicity import Matcher, find_toxic, fold, learn_lexicon, reject_toxic, weight, without_copies, word_patterns
 
 
 def test_folding():
@@ -60,3 +60,18 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 102
     assert find_toxic(docs.limit(0), marks).count() == 0
     assert find_toxic(docs, marks.limit(0)).where("predicted = 1").count() == 0
+
+
+def test_short_comments_and_shared_passages_count(spark):
+    prepare(spark)
+    random.seed(5)
+    word = lambda: "".join(random.choice("lmnop") for _ in range(6))
+    rows = [(2 * n, f"{word()} grumblefoo", 1) for n in range(300)] + [(2 * n + 1, f"{word()} {word()}", 0) for n in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    lexicon = learn_lexicon(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert any(p.startswith(" grum") for p in lexicon.patterns)
+    passage, own = " ".join(word() for _ in range(20)), [" ".join(word() for _ in range(30)) for _ in range(6)]
+    texts = [f"{passage} {o}" for o in own]
+    labelled = [(True, t) for t in texts + [texts[0], texts[1] + " end"]] + [(False, t) for t in [texts[0], texts[0], ""]]
+    kept = without_copies(spark.createDataFrame(labelled, "toxic boolean, text string")).collect()
+    assert sum(r.toxic for r in kept) == 6 and sum(not r.toxic for r in kept) == 2
