@@ -140,7 +140,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 def align_pairs(pairs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Pairs of a passage and an item that align: ``doc_id, item_id, score, first_word, last_word``.
+    """Pairs of a passage and an item that align: ``doc_id, text_key, item_id, score, first_word, last_word``.
 
     The score is that of the alignment divided by that of the whole item; words are counted from 0.
     """
@@ -164,25 +164,29 @@ def align_pairs(pairs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
                 lasts.append(begin.as_py() + end - 1)
             take = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(take), batch.column("item_id").take(take), pa.array(scores, pa.float64()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
-                ["doc_id", "item_id", "score", "first_word", "last_word"],
+                [batch.column("doc_id").take(take), batch.column("text_key").take(take), batch.column("item_id").take(take), pa.array(scores, pa.float64()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
+                ["doc_id", "text_key", "item_id", "score", "first_word", "last_word"],
             )
 
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in ("doc_id", "item_id")}
     return pairs.mapInArrow(
-        run, f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, score double, first_word long, last_word long"
+        run, f"doc_id {kinds['doc_id']}, text_key long, item_id {kinds['item_id']}, score double, first_word long, last_word long"
     )
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Test items that whole documents hold, also edited: ``doc_id, item_id, score, first_word, last_word``.
+def text_number(text: str = "text"):
+    """What tells texts of one id, or of none, apart."""
+    return F.xxhash64(F.col(text))
+
 
-    One row for each document and item, with the best alignment.  Documents are scanned once against a filter of the
+def held_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """Test items in each text: ``doc_id, text_key, item_id, score, first_word, last_word``, with the best alignment.
+
+    Documents are scanned once against a filter of the
     seeds; only stretches around hits are shuffled, to be joined with the items that have those seeds.  Null and
-    empty texts hold nothing; items of fewer than ``SEED_WORDS`` words are not looked for; rows with one id count as
-    one document; empty tables give no rows.
+    empty texts hold nothing; items of fewer than ``SEED_WORDS`` words are not looked for; empty tables give no rows.
     """
-    rows = keep(docs, doc_id="doc_id", text="text").withColumn("text_key", F.xxhash64("text"))
+    rows = keep(docs, doc_id="doc_id", text="text").withColumn("text_key", text_number())
     items = cut_lineage(item_words(keep(benchmark, item_id="item_id", text="text")), "benchmark-items")
     seeds = cut_lineage(item_seeds(items), "benchmark-seeds")
     margin = items.agg(F.max(F.size("item_words"))).first()[0] or 0
@@ -193,18 +197,32 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, least: float = LEA
     pairs = by_group.select(*key, "group").distinct().join(members, "group").select(*key, "item_id").distinct().alias("p")
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"h.{c}")) for c in key]
     with_words = pairs.join(held.select(*key, "passage").dropDuplicates(key).alias("h"), same).select(
-        "p.doc_id", "p.begin", "p.item_id", "passage"
+        "p.doc_id", "p.text_key", "p.begin", "p.item_id", "passage"
     )
     found = align_pairs(with_words.join(items, "item_id"), least)
-    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", -F.col("first_word"), "first_word", "last_word")).alias("b"))
+    best = found.groupBy("doc_id", "text_key", "item_id").agg(_best())
+    return best.select("doc_id", "text_key", "item_id", "b.score", "b.first_word", "b.last_word")
+
+
+def _best():
+    return F.max(F.struct("score", -F.col("first_word"), "first_word", "last_word")).alias("b")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """Test items that whole documents hold, also edited: ``doc_id, item_id, score, first_word, last_word``.
+
+    As ``held_items``, but rows with one id, or without one, count as one document.
+    """
+    best = held_items(docs, benchmark, least).groupBy("doc_id", "item_id").agg(_best())
     return best.select("doc_id", "item_id", "b.score", "b.first_word", "b.last_word")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents, with all their columns, that hold no test item.  Rows without an id are judged together."""
-    name = "__contaminated"
-    found = find_contamination(docs, benchmark, least).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found[name]), "left_anti")
+    """The documents, with all their columns, that hold no test item.  Each row is judged by its own text."""
+    number, key = "__contaminated_id", "__contaminated_text"
+    found = held_items(docs, benchmark, least).select(F.col("doc_id").alias(number), F.col("text_key").alias(key)).distinct()
+    same = docs["doc_id"].eqNullSafe(found[number]) & (text_number() == found[key])
+    return docs.join(found, same, "left_anti")
 
 
 def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:

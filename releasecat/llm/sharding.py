@@ -27,15 +27,29 @@ def with_slots(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """One row for each document: ``doc_id, size, text_crc32, virtual_slot``.
 
     The size is the UTF-8 bytes of the text plus 1; a null text has none.  Id and text decide the slot, so copies
-    under ids of their own, or many texts under one id or none, spread over all slots.
+    under ids of their own, or many texts under one id or none, spread over all slots.  Rows that repeat both and are
+    together larger than a mean slot are dealt out over all slots by their number; sizes and numbers are stored first,
+    so that every later step sees the same ones.
     """
     rows = keep(docs, doc_id=id_column, text=text_column)
     text = F.coalesce("text", F.lit(""))
-    return rows.select(
+    sized = rows.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", F.crc32(text.cast("binary"))), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    sized = cut_lineage(sized, "sizes")
+    fair = (sized.agg(F.sum("size")).first()[0] or 0) / slots
+    repeats = sized.groupBy("doc_id", "text_crc32").agg(F.sum("size").alias("held"), F.count(F.lit(1)).alias("times"))
+    # Groups larger than a mean slot are fewer than the slots, so this broadcast has at most ``slots`` rows.
+    heavy = repeats.where((F.col("times") > 1) & (F.col("held") > fair)).select(
+        F.col("doc_id").alias("heavy_id"), F.col("text_crc32").alias("heavy_text"), F.lit(True).alias("heavy")
+    )
+    same = sized["doc_id"].eqNullSafe(heavy["heavy_id"]) & (sized["text_crc32"] == heavy["heavy_text"])
+    spread = F.when(F.col("heavy"), F.xxhash64("doc_id", "text_crc32", "number")).otherwise(F.xxhash64("doc_id", "text_crc32"))
+    return sized.join(F.broadcast(heavy), same, "left").select(
+        "doc_id", "size", "text_crc32", F.pmod(spread, F.lit(slots)).cast("int").alias("virtual_slot")
     )
 
 

@@ -24,7 +24,7 @@ _COMBINED, _SORTED_BYTES = 200_000, 1 << 17
 MOST_CONTEXTS = 100_000
 _MARK, _SORT, _SPREAD = 0, 1, 2
 # A run on its way to the task of its gram.
-_RUN = np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tie", "<i4"), ("start", "<i4"), ("lead", "<i4"), ("count", "<i4")])
+_RUN = np.dtype([("gram", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("start", "<i4"), ("lead", "<i4"), ("count", "<i4")])
 
 
 class Stretches(NamedTuple):
@@ -154,9 +154,9 @@ def suffix_order(symbols: list[int]) -> list[int]:
 
 
 def place_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc, tie, text``: a number and a hash of the text that put rows in order; no id comes before all ids."""
+    """``doc, tie, text``: a number and 64 bits of the text's SHA-256 that put rows in order; no id comes before all ids."""
     rows = keep(docs, doc=F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-(1 << 63))), text=F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
-    return rows.select("doc", F.hash("text").alias("tie"), "text")
+    return rows.select("doc", F.xxhash64(F.sha2("text", 256)).alias("tie"), "text")
 
 
 def _runs(part: pa.RecordBatch, length: int) -> np.ndarray:
@@ -189,8 +189,8 @@ def _spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, stop: np.ndarray
     return {"doc": doc[new], "tie": tie[new], "start": start[new], "stop": stop[last]}
 
 
-_STEP_SCHEMA = "kind int, doc long, tie int, start int, stop int, gram long, lead int"
-_STEP_ARROW = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("gram", pa.int64()), ("lead", pa.int32())])
+_STEP_SCHEMA = "kind int, doc long, tie long, start int, stop int, gram long, lead int"
+_STEP_ARROW = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("gram", pa.int64()), ("lead", pa.int32())])
 
 
 def _step_rows(kind: int | np.ndarray, doc, tie, start, stop, gram=None, lead=None) -> pa.RecordBatch:
@@ -324,12 +324,12 @@ def run_contexts(steps: DataFrame, placed: DataFrame) -> DataFrame:
             for text, doc, tie, runs in zip(*[batch.column(c).to_pylist() for c in ("text", "doc", "tie", "runs")]):
                 data = text.encode()
                 rows += [(r["kind"], r["gram"], doc, tie, r["start"], r["lead"], data[r["start"] : r["stop"]]) for r in runs]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             columns = zip(*rows) if rows else [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "gram", "doc", "tie", "start", "lead", "bytes"])
 
     joined = placed.join(wanted, ["doc", "tie"]).select("text", "doc", "tie", "runs")
-    return joined.mapInArrow(cut, "kind int, gram long, doc long, tie int, start int, lead int, bytes binary").distinct()
+    return joined.mapInArrow(cut, "kind int, gram long, doc long, tie long, start int, lead int, bytes binary").distinct()
 
 
 class Contexts(NamedTuple):
@@ -437,7 +437,7 @@ def sorted_marks(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     one = contexts.where(F.col("kind") == _SORT).drop("kind")
     dealt = one.repartition(partitions(contexts), "gram").sortWithinPartitions("gram")
-    return dealt.mapInArrow(run, "doc long, tie int, start int, stop int")
+    return dealt.mapInArrow(run, "doc long, tie long, start int, stop int")
 
 
 def _sorted_batch(batches: list[pa.RecordBatch], length: int) -> pa.RecordBatch:
@@ -446,7 +446,7 @@ def _sorted_batch(batches: list[pa.RecordBatch], length: int) -> pa.RecordBatch:
     gram = np.cumsum(np.append(0, number["gram"][1:] != number["gram"][:-1]))
     offsets, data = utf8(table.column("bytes"))
     found = repeated_windows(Contexts(gram, number["doc"], number["tie"], number["start"].astype(np.int64), number["lead"].astype(np.int64), offsets, data), length)
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     return pa.RecordBatch.from_arrays([pa.array(found[n], k) for n, k in zip(("doc", "tie", "start", "stop"), kinds)], ["doc", "tie", "start", "stop"])
 
 

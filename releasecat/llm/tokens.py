@@ -6,7 +6,6 @@ not met yet go to the tokenizer.  Texts with characters beyond Latin-1 go to it
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +18,8 @@ _LETTER, _NUMBER, _SPACE, _SYMBOL = 0, 1, 2, 3
 _SLOT_BITS = 21
 # Words a worker keeps; it starts anew beyond them, so that its memory stays bounded.
 MOST_WORDS = 1 << 20
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
+# White space as the tokenizer knows it: U+001C to U+001F are symbols.
+_SENTENCE = regex.compile(r"(?<=[.!?])\p{White_Space}+|\p{White_Space}*\n\p{White_Space}*")
 
 
 def _class(c: str) -> int:

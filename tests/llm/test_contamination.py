@@ -79,3 +79,15 @@ def test_a_passage_that_many_items_share(spark):
     found = find_contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(1, n) for n in range(7)]
     assert all(abs(r.score - 60 / 68) < 1e-9 and (r.first_word, r.last_word) == (300, 359) for r in found)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    item = "which of the seven rivers of the old kingdom runs through both of the capitals in winter"
+    clean = "nothing of the kind stands in this text about boats and the people who build them by hand"
+    rows = [(None, item), (None, clean), (None, None), (7, item), (7, clean), (8, clean), (9, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = sorted((tuple(r) for r in drop_contaminated(docs, benchmark).collect()), key=str)
+    assert kept == sorted([(None, clean), (None, None), (7, clean), (8, clean)], key=str)
+    found = find_contamination(docs, benchmark).collect()
+    assert sorted((r.doc_id for r in found), key=str) == [7, 9, None]

@@ -31,6 +31,10 @@ def test_tokens_equal_the_tokenizer(plain):
     texts += ["".join(chr(c) for c in range(256)), " ".join(chr(c) for c in range(256))]
     letters = [chr(c) for c in range(256)] + list("'stmdrevl'''  .\n\x1c\x85\xa0 ")
     texts += ["".join(random.choice(letters) for _ in range(random.randint(0, 60))) for _ in range(3000)]
+    # Control characters and all kinds of white space among characters beyond Latin-1 and special marks.
+    mixed = list("日本あя.!?<|>ab1 \n\t\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2003\u2028\u2029\u3000\u200b\ufeff")
+    texts += ["日\x1c\nb", "日 a!\x1fb", "<| a.\x1cb"]
+    texts += ["日" + "".join(random.choice(mixed) for _ in range(random.randint(0, 40))) for _ in range(3000)]
     words = WordTokenizer(PATH, 2)
     for _ in range(2):
         tokens = words.encode(texts)

@@ -31,6 +31,17 @@ def test_documents(spark, sf_dir):
     }
 
 
+def test_many_rows_alike_in_id_and_text(spark):
+    rows = [(None, "the same text")] * 6000 + [(7, "x")] * 2000 + [(100 + i, f"text {i}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = shard_documents(docs).collect()
+    check(rows, found)
+    loads = Counter()
+    for r in found:
+        loads[r.shard] += r.size
+    assert len(loads) == 16 and max(loads.values()) <= 1.1 * sum(loads.values()) / 16
+
+
 def test_hand_made(spark):
     rows = [(1, "a"), (1, "a"), (None, None), (None, "é" * 5000), (2, ""), (3, "x")]
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, slot int, shard int")

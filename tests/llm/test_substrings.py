@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from releasecat.llm.substrings import place_documents, remove_repeats, repeated_spans, run_contexts, matched_runs, suffix_order
 
 
@@ -77,3 +79,13 @@ def test_hand_made(spark):
     got = [(r.doc_id, [tuple(s) for s in r.spans]) for r in remove_repeats(one).collect()]
     assert sorted(got, key=str) == sorted([(1, [(0, 250)]), (1, [(0, 250)]), (None, [])], key=str)
     assert repeated_spans(place_documents(docs)).columns == ["doc", "tie", "spans"]
+
+
+def test_texts_of_one_id_whose_short_hashes_are_equal(spark):
+    texts = spark.range(300_000).selectExpr("concat('text number ', id, ' ', md5(string(id)), ' that nothing else holds') AS text")
+    pair = texts.groupBy(F.hash("text")).agg(F.min("text"), F.max("text"), F.count(F.lit(1)).alias("n")).where("n = 2").first()
+    a, b = pair[1], pair[2]
+    rows = [(1, a), (5, a), (5, b), (None, a[:60]), (None, b[:60])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, bytes(r.kept).decode()) for r in remove_repeats(docs, 61).collect()}
+    assert found == {(1, a), (5, ""), (5, b), (None, a[:60]), (None, b[:60])}
