@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     # Split a hot join key even where that costs one more shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Chains nest as deep as they like: a walk ends where a name repeats.
+    "spark.sql.cteRecursionLevelLimit": "-1",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -63,7 +65,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current is not None:
         return current
-    if not context.master.startswith("local"):
+    # The executors of local-cluster are processes of their own.
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="releasecat-"))
     return context.getCheckpointDir()

@@ -79,6 +79,19 @@ def test_many_ways_to_one_collection_stay_cheap(spark):
     assert order_of(flatten_collections(collections_of(spark, *rows), ["c0"])) == [f"c{n}" for n in range(8)]
 
 
+def test_more_ways_than_a_recursive_query_returns(spark):
+    assert spark.conf.get("spark.sql.cteRecursionLevelLimit") == "-1"
+    rows = [(f"c{n}", 3, [f"c{n + 1}", "side"] * 3) for n in range(6)] + [("c6", 1, []), ("side", 3, ["end"]), ("end", 1, [])]
+    limit = "spark.sql.cteRecursionRowLimit"
+    spark.conf.set(limit, "100")
+    try:
+        assert order_of(flatten_collections(collections_of(spark, *rows), ["c0"])) == [f"c{n}" for n in range(7)] + ["side", "end"]
+        with pytest.raises(CollectionCycleError, match="c0 -> c1 -> c2 -> c3 -> c4 -> c5 -> c0"):
+            flatten_collections(collections_of(spark, *rows[:5], ("c5", 3, ["c0", "c0", "c0"]), *rows[7:]), ["c0"])
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_cycles_and_missing_collections_are_errors(spark):
     table = collections_of(spark, ("a", 3, ["b"]), ("b", 3, ["c"]), ("c", 3, ["b"]), ("d", 3, ["gone"]))
     with pytest.raises(CollectionCycleError, match="a -> b -> c -> b"):
