@@ -15,6 +15,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with its scheme; local files have three slashes."""
+    file_system, hadoop_path = _resolve(spark, path)
+    uri = file_system.makeQualified(hadoop_path).toString()
+    return "file:///" + uri[5:].lstrip("/") if uri.startswith("file:") else uri
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     file_system, source_path = _resolve(spark, source)
     if exists(spark, target):
@@ -51,3 +58,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    file_system, hadoop_path = _resolve(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def length_and_time(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes of a file, or of all files in a folder, and when it was changed last."""
+    file_system, hadoop_path = _resolve(spark, path)
+    length = file_system.getContentSummary(hadoop_path).getLength()
+    return length, file_system.getFileStatus(hadoop_path).getModificationTime()

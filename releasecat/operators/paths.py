@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import is_absolute, join_root, lookup, physical_file, strip_prefix
+from ..functions.prefixes import FIT, PrefixIndex
 from ..session import cut_lineage
 from .selection import union_by_name
 
@@ -80,13 +81,21 @@ def _with_root(datastore: DataFrame, roots: Mapping[str, str] | DataFrame, name:
     return datastore.join(table.drop("__roots"), datastore[name] == table["__name"], "left").drop("__name")
 
 
-_FIT = "struct<position:int,datastore_name:string,length:int>"
+# Up to how many prefixes are literals of the plan, and how many prefixes and characters of them a task may hold.
+LITERAL_PREFIXES = 64
+INDEX_PREFIXES = 1_000_000
+INDEX_CHARACTERS = 64_000_000
+_FIT = FIT
 
 
 def _with_mapping(datastore: DataFrame, mapping: Mapping[str, str] | DataFrame, path: str) -> DataFrame:
     if isinstance(mapping, DataFrame):
-        return _join_mapping(datastore, mapping, path)
-    # One literal map for each length of prefix: no row moves, however long the mapping is.
+        return _table_mapping(datastore, mapping, path)
+    if len(mapping) > LITERAL_PREFIXES:
+        # The caller holds the mapping already; it goes to each executor once.
+        entries = [(position, prefix, name) for position, (prefix, name) in enumerate(mapping.items())]
+        return datastore.withColumn("__fit", PrefixIndex(entries).column(F.col(path)))
+    # One literal map for each length of prefix: no row moves.
     by_length: dict[int, dict[str, dict]] = {}
     for position, (prefix, name) in enumerate(mapping.items()):
         fit = {"position": position, "datastore_name": name, "length": len(prefix)}
@@ -98,6 +107,21 @@ def _with_mapping(datastore: DataFrame, mapping: Mapping[str, str] | DataFrame,
     return datastore.withColumn("__fit", _earliest(fits))
 
 
+def _table_mapping(datastore: DataFrame, mapping: DataFrame, path: str) -> DataFrame:
+    """A mapping table is measured once it is stored: what a task can hold is searched there, so that records stay
+    where they are; a larger one is joined."""
+    grouped = mapping.groupBy("prefix").agg(F.min(F.struct("position", "datastore_name")).alias("target"))
+    prefixes = cut_lineage(grouped.select("prefix", "target.position", "target.datastore_name"), "mapping")
+    size = prefixes.agg(
+        F.count(F.lit(1)).alias("prefixes"),
+        F.coalesce(F.sum(F.length("prefix") + F.length("datastore_name")), F.lit(0)).alias("characters"),
+    ).first()
+    if size["prefixes"] > INDEX_PREFIXES or size["characters"] > INDEX_CHARACTERS:
+        return _join_mapping(datastore, prefixes, path)
+    entries = prefixes.select(F.col("position").cast("long"), "prefix", "datastore_name").collect()
+    return datastore.withColumn("__fit", PrefixIndex(entries).column(F.col(path)))
+
+
 def _earliest(fits: list[Column]) -> Column:
     """The fit that comes first in the mapping; NULL without any."""
     fits = [*fits, F.lit(None).cast(_FIT)]
@@ -108,17 +132,10 @@ def _join_mapping(datastore: DataFrame, mapping: DataFrame, path: str) -> DataFr
     # A "starts with" join compares every pair.  Prefixes of one length are an
     # equality on that many leading characters instead: one left join for each
     # length in use, of which there are no more than characters in the longest.
-    grouped = mapping.groupBy("prefix").agg(F.min(F.struct("position", "datastore_name")).alias("target"))
-    # Stored once, so that the join of every length knows its size.
-    prefixes = cut_lineage(
-        grouped.select(
-            F.col("prefix").alias("__prefix"),
-            F.length("prefix").alias("__length"),
-            F.struct(F.col("target.position").cast("int"), "target.datastore_name", F.length("prefix").alias("length"))
-            .cast(_FIT)
-            .alias("__found"),
-        ),
-        "mapping",
+    prefixes = mapping.select(
+        F.col("prefix").alias("__prefix"),
+        F.length("prefix").alias("__length"),
+        F.struct(F.col("position").cast("long"), "datastore_name", F.length("prefix").alias("length")).cast(_FIT).alias("__found"),
     )
     lengths = [row[0] for row in prefixes.select("__length").distinct().sort("__length").collect()]
     matched, fits = datastore, []

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.formatting import decimal_size
 from ..functions.paths import physical_file
@@ -55,17 +56,24 @@ def listed_size(datastore: DataFrame, listing: DataFrame, *groups: str) -> DataF
     )
 
 
+def unlisted_files(datastore: DataFrame, listing: DataFrame, *groups: str) -> DataFrame:
+    """Files that have neither a recorded nor a listed size: ``file`` with its groups."""
+    return fill_sizes(files_without_size(datastore, *groups), listing).where(F.col("size").isNull()).drop("size")
+
+
 def release_summary(
     datasets: DataFrame,
     datastore: DataFrame,
     listing: DataFrame | None = None,
     types: DataFrame | None = None,
 ) -> DataFrame:
-    """Datasets, files and bytes of each dataset type, by name.
+    """Datasets, files, bytes and files of unknown size of each dataset type, by name.
 
-    ``types`` (``name``) adds types without datasets and leaves out all others.
+    ``files_without_size`` counts the files that neither a record nor the listing gives a size; ``bytes`` is without
+    them.  ``types`` (``name``) adds types without datasets and leaves out all others.
     Each part is reduced to one row for a type before the parts are added up.
     """
+    unknown = F.count_if(F.col("size").isNull()).alias("files_without_size")
     parts = [
         _part(datasets.groupBy("dataset_type").agg(F.count(F.lit(1)).alias("datasets")), "datasets"),
         # Known sizes go through the same grouping by file that counts the files.
@@ -73,13 +81,16 @@ def release_summary(
             datastore.groupBy("dataset_type", physical_file("path").alias("file"))
             .agg(F.sum("file_size").alias("size"))
             .groupBy("dataset_type")
-            .agg(F.count(F.lit(1)).alias("files"), F.sum(F.col("size").cast(_BYTES)).alias("bytes")),
+            .agg(F.count(F.lit(1)).alias("files"), F.sum(F.col("size").cast(_BYTES)).alias("bytes"), unknown),
             "files",
             "bytes",
+            *(["files_without_size"] if listing is None else []),
         ),
     ]
     if listing is not None:
-        parts.append(_part(listed_size(datastore, listing, "dataset_type"), "bytes"))
+        listed = fill_sizes(files_without_size(datastore, "dataset_type"), listing)
+        sized = listed.groupBy("dataset_type").agg(F.sum(F.col("size").cast(_BYTES)).alias("bytes"), unknown)
+        parts.append(_part(sized, "bytes", "files_without_size"))
     if types is not None:
         parts.append(_part(types.select(F.col("name").alias("dataset_type"), F.lit(1).alias("wanted")), "wanted"))
     table = reduce(DataFrame.unionByName, parts)
@@ -87,15 +98,17 @@ def release_summary(
         F.sum("datasets").alias("datasets"),
         F.sum("files").alias("files"),
         F.sum("bytes").cast(_BYTES).alias("bytes"),
+        F.sum("files_without_size").alias("files_without_size"),
         F.sum("wanted").alias("wanted"),
     )
     if types is not None:
         totals = totals.where("wanted > 0")
-    return totals.drop("wanted").withColumn("size", decimal_size("bytes")).orderBy("dataset_type")
+    columns = ("dataset_type", "datasets", "files", "bytes", "files_without_size")
+    return totals.select(*columns, decimal_size("bytes").alias("size")).orderBy("dataset_type")
 
 
 def _part(df: DataFrame, *columns: str) -> DataFrame:
-    kinds = {"datasets": "bigint", "files": "bigint", "bytes": _BYTES, "wanted": "bigint"}
+    kinds = {"datasets": "bigint", "files": "bigint", "bytes": _BYTES, "files_without_size": "bigint", "wanted": "bigint"}
     return df.select(
         "dataset_type",
         *[
@@ -111,6 +124,26 @@ def count_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("name")
 
 
+def footer_count_report(spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, StructType | str] | None = None) -> DataFrame:
+    """Rows of each Parquet table, by name, from the row counts in the files' footers.
+
+    Only Spark's newer Parquet source hands the count down to the footers, so the tables are opened with it here.
+    Known schemas save opening a file of each table before the count.
+    """
+    sources, pushed = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+    spark.conf.set(pushed, "true")
+    before = spark.conf.get(sources)
+    spark.conf.set(sources, "")
+    try:
+        tables = {}
+        for name, path in paths.items():
+            reader = spark.read if not schemas or name not in schemas else spark.read.schema(schemas[name])
+            tables[name] = reader.parquet(path)
+        return count_report(tables)
+    finally:
+        spark.conf.set(sources, before)
+
+
 def type_count_report(types: DataFrame, datasets: DataFrame, datastore: DataFrame, associations: DataFrame) -> DataFrame:
     """Datasets, file records and associations of each dataset type, by name."""
     tables = {"datasets": datasets, "datastore_records": datastore, "associations": associations}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs
@@ -43,35 +44,74 @@ def reference_report(release: Release, dimension: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _key(df: DataFrame, columns: Iterable[str]) -> Column:
+    """Key columns of any types as one value that joins with equality; NULL if one of them is."""
+    values = [df[c].cast("string") for c in columns]
+    return F.when(reduce(Column.__and__, [v.isNotNull() for v in values]), F.array(*values))
+
+
+def _missing_keys(named: DataFrame, known: Iterable[DataFrame]) -> DataFrame:
+    """Rows of ``named`` whose ``element`` and ``key`` no table of ``known`` holds: one anti-join for all elements."""
+    held = reduce(DataFrame.unionByName, known)
+    return keep_missing(named, held, {"element": "element", "key": "key"}, unique_keys=True)
+
+
 def dataset_orphans(release: Release) -> DataFrame:
     """Data IDs of datasets without a record of the dimension they name: ``dataset_type, dimension, orphans``.
 
-    One anti-join for each stored dimension, over the different data IDs of all types that have its keys.
+    The datasets are read once: each row gives a key for every stored dimension it names, different keys of a type are
+    kept once, and one anti-join looks for all of them among the keys of all dimensions.
     """
     datasets = release.read_all_datasets()
-    found = []
-    for dimension in release.dimension_files:
-        own = release.spec.dataset_keys(dimension)
-        if not own or not set(own) <= set(datasets.columns):
-            continue
-        named = datasets.select("dataset_type", *own).dropna(subset=[*own]).distinct()
-        missing = keep_missing(named, release.read_dimension(dimension), own, unique_keys=True)
-        found.append(missing.select("dataset_type", F.lit(dimension).alias("dimension")))
-    if not found:
+    keys = {name: release.spec.dataset_keys(name) for name in release.dimension_files}
+    keys = {name: own for name, own in keys.items() if own and set(own) <= set(datasets.columns)}
+    if not keys:
         return release.spark.createDataFrame([], "dataset_type string, dimension string, orphans long")
-    return reduce(DataFrame.unionByName, found).groupBy("dataset_type", "dimension").agg(F.count(F.lit(1)).alias("orphans"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("element"), _key(datasets, own).alias("key")) for n, own in keys.items()])
+    named = datasets.select("dataset_type", F.inline(pairs)).where(F.col("key").isNotNull()).distinct()
+    tables = {name: release.read_dimension(name) for name in keys}
+    known = [df.select(F.lit(n).alias("element"), _key(df, keys[n].values()).alias("key")) for n, df in tables.items()]
+    missing = _missing_keys(named, known)
+    return missing.groupBy("dataset_type", F.col("element").alias("dimension")).agg(F.count(F.lit(1)).alias("orphans"))
+
+
+def record_orphans(release: Release) -> DataFrame:
+    """Records that refer to a missing record, of all elements in one pass: ``dimension, parent, orphans``.
+
+    Each record gives a key for every table it refers to; equal keys are counted before they are looked for.
+    """
+    known, wanted = {}, []
+    for name in release.dimension_files:
+        child = release.read_dimension(name)
+        for parent, columns in release.spec.references(name):
+            if parent not in release.dimension_files:
+                continue
+            element = f"{parent} {sorted(columns.values())}"
+            order = sorted(columns, key=columns.get)
+            table = release.read_dimension(parent)
+            known[element] = table.select(F.lit(element).alias("element"), _key(table, sorted(columns.values())).alias("key"))
+            wanted.append(
+                child.select(
+                    F.lit(name).alias("dimension"), F.lit(parent).alias("parent"), F.lit(element).alias("element"), _key(child, order).alias("key")
+                )
+            )
+    if not wanted:
+        return release.spark.createDataFrame([], "dimension string, parent string, orphans long")
+    rows = reduce(DataFrame.unionByName, wanted).where(F.col("key").isNotNull())
+    counted = rows.groupBy("dimension", "parent", "element", "key").agg(F.count(F.lit(1)).alias("n"))
+    # Keys that elements refer to need not identify a record there, so equal ones are made one.
+    missing = _missing_keys(counted, [table.distinct() for table in known.values()])
+    return missing.groupBy("dimension", "parent").agg(F.sum("n").alias("orphans"))
 
 
 def stray_rows(release: Release) -> DataFrame:
-    """File records and association entries without a dataset: ``kind, dataset_type, orphans``."""
-    ids = release.read_all_datasets().select("dataset_type", "dataset_id")
+    """File records and association entries without a dataset: ``kind, dataset_type, orphans``; one anti-join for both."""
     keys = {"dataset_type": "dataset_type", "dataset_id": "dataset_id"}
+    ids = release.read_all_datasets().select(*keys)
     kinds = {"datastore": release.read_all_datastore(), "association": release.read_all_associations()}
-    missing = [
-        keep_missing(rows.select(*keys), ids, keys, unique_keys=True).select(F.lit(kind).alias("kind"), "dataset_type")
-        for kind, rows in kinds.items()
-    ]
-    return reduce(DataFrame.unionByName, missing).groupBy("kind", "dataset_type").agg(F.count(F.lit(1)).alias("orphans"))
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("kind"), *keys) for kind, df in kinds.items()])
+    missing = keep_missing(rows, ids, keys, unique_keys=True)
+    return missing.groupBy("kind", "dataset_type").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 def null_report(release: Release) -> DataFrame:
@@ -115,13 +155,56 @@ def check_release(release: Release, references: bool = True) -> None:
         problems = schema_differences(raw, as_nullable(release.spec.record_schema(name)))
         if problems:
             raise ReleaseCheckError(f"Records of {name} do not fit: {problems}")
-        if references:
-            require_none(reference_report(release, name).where("orphans > 0"), f"Records of {name} without a parent")
     if references:
+        require_none(record_orphans(release), "Records without a parent")
         require_none(dataset_orphans(release), "Datasets without a dimension record")
         require_none(stray_rows(release), "Rows that belong to no dataset")
 
 
+class Steps:
+    """Steps of a load into a folder, so that a load that was cut short can be called again.
+
+    A step is noted before and after its table is written, with the fingerprint of what is loaded.  A finished step is
+    skipped, the table of one that was only begun is removed and written again.  Anything else in the way, a table
+    that no step of this load has begun or the notes of another load, is an error.
+    """
+
+    def __init__(self, spark: SparkSession, target: str, fingerprint: str):
+        self.spark, self.target, self.fingerprint = spark, target, fingerprint
+
+    def note(self, name: str, state: str) -> str:
+        return f"{self.target}/_steps/{name.replace('/', '.')}.{state}"
+
+    def _noted(self, name: str, state: str) -> bool:
+        path = self.note(name, state)
+        if not fs.exists(self.spark, path):
+            return False
+        if fs.read_text(self.spark, path) != self.fingerprint:
+            raise FileExistsError(f"{self.target} holds {name} of another load")
+        return True
+
+    def run(self, name: str, job: Callable[[str], None]) -> str:
+        """Path of the step's table, after ``job`` has written it or an earlier call has."""
+        path = f"{self.target}/{name}"
+        begun = self._noted(name, "begun")
+        if not self._noted(name, "done"):
+            if fs.exists(self.spark, path):
+                if not begun:
+                    raise FileExistsError(path)
+                fs.delete(self.spark, path)
+            fs.write_text(self.spark, self.note(name, "begun"), self.fingerprint)
+            job(path)
+            fs.write_text(self.spark, self.note(name, "done"), self.fingerprint)
+        return path
+
+
+def load_fingerprint(release: Release, *choices: object) -> str:
+    """Hash of the manifest, of lengths and times of all files of the dump, and of what was chosen to be loaded."""
+    files = [(path, *fs.length_and_time(release.spark, path)) for path in sorted(release.all_paths())]
+    header = release.manifest.select(F.to_json(F.struct("*"))).first()[0]
+    return hashlib.sha256(repr((header, files, [t["name"] for t in release.types], choices)).encode()).hexdigest()
+
+
 def load_release(
     release: Release,
     target: str,
@@ -137,36 +220,49 @@ def load_release(
     collections and then their links, datasets, and last what refers to
     datasets.  Tables of one step are written at the same time.  They are new,
     so nothing is looked up while they are written.  ``alias`` (existing chain,
-    new name) adds a chain.  The progress table holds the events of each step.
+    new name) adds a chain.  The progress tables hold the events of each step.
+
+    A load that was cut short goes on where it ended when it is called again
+    with the same dump and choices, see ``Steps``; a transform is told by its
+    name.
     """
     spark = release.spark
     chosen = release.select(globs)
+    # Swaps that a rewrite left open are finished first: they change what is fingerprinted.
+    require_none(release.outside_files(), "Files outside the release directory")
+    recover_release(release)
+    transform = getattr(datastore_transform, "__qualname__", repr(datastore_transform)) if datastore_transform else None
+    steps = Steps(spark, target, load_fingerprint(chosen, transform, check, references, alias))
     if check:
-        check_release(chosen, references)
+        steps.run("_checked", lambda _: check_release(chosen, references))
     paths: dict[str, str] = {}
 
     def write(**tables: DataFrame) -> None:
-        jobs = []
-        for key, df in tables.items():
-            name = key.replace("__", "/")
-            paths[name] = f"{target}/{name}"
-            jobs.append(partial(_write_loaded, df, paths[name]))
-        run_together(jobs)
-
-    def report(step: str) -> None:
+        named = {key.replace("__", "/"): df for key, df in tables.items()}
+        paths.update({name: f"{target}/{name}" for name in named})
+        run_together([partial(steps.run, name, partial(_write_loaded, df)) for name, df in named.items()])
+
+    def report(step: str, kind: str | None = None) -> None:
+        """Events of a step by dataset type, or of a table that has none under the name ``kind``."""
         written = spark.read.parquet(paths[step])
-        counts = written.groupBy("dataset_type").agg(F.count(F.lit(1)).alias("n_rows"))
-        paths[f"progress/{step}"] = f"{target}/progress/{step}"
-        load_events(counts).coalesce(1).write.parquet(paths[f"progress/{step}"])
+        counts = written.groupBy("dataset_type" if kind is None else F.lit(kind).alias("dataset_type"))
+        counts = counts.agg(F.count(F.lit(1)).alias("n_rows"))
+        if kind is not None:
+            none = spark.createDataFrame([(kind, 0)], "dataset_type string, n_rows long")
+            counts = counts.union(none).groupBy("dataset_type").agg(F.sum("n_rows").alias("n_rows"))
+        events = load_events(counts).coalesce(1)
+        paths[f"progress/{step}"] = steps.run(f"progress/{step}", lambda path: events.write.parquet(path))
 
     write(dataset_types=chosen.type_table.drop("position"))
     for stage in release.spec.load_order(list(release.dimension_files)):
         write(**{f"dimensions__{name}": release.read_dimension(name) for name in stage})
+        run_together([partial(report, f"dimensions/{name}", f"dimension {name}") for name in stage])
     collections = release.read_collections()
     if alias is not None:
         collections = add_alias_chain(collections, *alias)
     write(collections=collection_nodes(collections))
     write(collection_chain=chain_edges(collections))
+    report("collections", "collections")
     write(datasets=chosen.read_all_datasets())
     report("datasets")
 
@@ -186,7 +282,8 @@ def load_release(
         spark.read.parquet(paths["datastore"]).where("datastore_name IS NULL OR path IS NULL").select("dataset_type", "dataset_id"),
         "File records that the transform left without a datastore or a path",
     )
-    report("datastore")
+    for step in ("datastore", "tags", "calibrations"):
+        report(step)
     return paths
 
 

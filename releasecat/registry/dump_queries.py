@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import binary_to_hex
+from ..operators.joins import keep_missing
 from ..operators.paths import map_to_datastores
 from ..operators.selection import union_by_name
 from ..operators.summary import count_report
 from ..plans.export import export_release
-from ..plans.load import dataset_orphans, load_release, reference_report, stray_rows
+from ..plans.load import dataset_orphans, load_release, record_orphans, reference_report, stray_rows
 from ..plans.summary import dataset_counts, dimension_counts, summarize
 from ..plans.transfer import transfer_plan
 from ..plans.transform import change_storage_class, prune_release, remove_value_from_release
 from ..session import staging_path
+from ..sinks.rewrite import rewrite_tables
 from ..sources.release import Release, manifest_types
 from . import adapters
-from .base import query
+from .base import query, table
 
 TYPES = ["order_?", "raw", "sky_map"]
 
@@ -334,23 +336,69 @@ def loaded_records(spark, sf_dir):
     )
 
 
+def damaged(spark, sf_dir) -> Release:
+    """A release without the visits of one market segment, the exposures of one priority, one sky map, and the flux
+    datasets of one run, whose records and associations are left behind."""
+    release = write_release(spark, sf_dir)
+    building = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    changes = {
+        "visit": lambda df: keep_missing(df, building, {"id": "c_custkey"}),
+        "exposure": lambda df: df.where("obs_id NOT LIKE '1%'"),
+        "skymap": lambda df: df.where("name != 'ASIA'"),
+    }
+    rewrites = {release.dimension_path(n): (change, release.spec.record_schema(n)) for n, change in changes.items()}
+    kind = release.type_named("order_f")
+    datasets = release.spec.dataset_schema(kind["dimensions"])
+    rewrites[release.path_of(kind["dataset_export_file"])] = (lambda df: df.where("run != 'runs/1999'"), datasets)
+    rewrite_tables(spark, rewrites)
+    return release
+
+
 @query(
     "dataset_orphans",
-    """
-    WITH customers AS (SELECT c_custkey FROM customer), orders_of AS (SELECT o_custkey FROM orders)
-    SELECT 'visit' AS dimension, count(*) AS orphans FROM orders_of WHERE o_custkey NOT IN (SELECT * FROM customers)
-    HAVING count(*) > 0
+    f"""
+    WITH {RELEASE_SQL},
+    kept AS (SELECT * FROM released WHERE NOT (dataset_type = 'order_f' AND run = 'runs/1999'))
+    SELECT dataset_type, 'visit' AS dimension, count(DISTINCT visit) AS orphans
+    FROM kept WHERE visit NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') GROUP BY 1
+    UNION ALL SELECT dataset_type, 'exposure', count(*)
+    FROM kept WHERE exposure IN (SELECT o_orderkey FROM orders WHERE o_orderpriority LIKE '1%') GROUP BY 1
+    UNION ALL SELECT dataset_type, 'skymap', count(*) FROM kept WHERE skymap = 'ASIA' GROUP BY 1
     """,
 )
 def dataset_orphans_query(spark, sf_dir):
-    """Datasets of the release whose visit, exposure or sky map has no record; none in these tables."""
-    return dataset_orphans(exported(spark, sf_dir)).select("dimension", "orphans")
+    """Data IDs of a damaged release whose visit, exposure or sky map has no record."""
+    return dataset_orphans(damaged(spark, sf_dir))
+
+
+@query(
+    "record_orphans",
+    """
+    WITH visits AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'),
+    found AS (
+      SELECT 'visit_definition' AS dimension, 'visit' AS parent FROM orders WHERE o_custkey NOT IN (SELECT * FROM visits)
+      UNION ALL SELECT 'visit_definition', 'exposure' FROM orders WHERE o_orderpriority LIKE '1%'
+      UNION ALL SELECT unnest(['visit_system_membership', 'visit_detector_region']), 'visit'
+        FROM customer WHERE c_mktsegment = 'BUILDING'
+      UNION ALL SELECT 'tract', 'skymap' FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')
+    SELECT dimension, parent, count(*) AS orphans FROM found GROUP BY 1, 2
+    """,
+)
+def record_orphans_query(spark, sf_dir):
+    """Records of a damaged release that refer to a missing record, of all elements in one pass."""
+    orphaned = record_orphans(damaged(spark, sf_dir))
+    return orphaned.withColumn("orphans", F.col("orphans").cast("long"))
 
 
 @query(
     "stray_rows",
-    "SELECT 'datastore' AS kind, 'x' AS dataset_type, count(*) AS orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) HAVING count(*) > 0",
+    f"""
+    WITH {RELEASE_SQL},
+    gone AS (SELECT * FROM found WHERE dataset_type = 'order_f' AND run = 'runs/1999')
+    SELECT 'datastore' AS kind, dataset_type, count(*) AS orphans FROM gone JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 2
+    UNION ALL SELECT 'association', dataset_type, count(*) FROM gone WHERE tag = 'tags/1' GROUP BY 2
+    """,
 )
 def stray_rows_query(spark, sf_dir):
-    """File records and associations of the release without a dataset; none in these tables."""
-    return stray_rows(exported(spark, sf_dir))
+    """File records and associations of a damaged release without a dataset."""
+    return stray_rows(damaged(spark, sf_dir))

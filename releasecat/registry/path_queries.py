@@ -175,6 +175,33 @@ def map_datastores_by_table(spark, sf_dir):
     return map_to_datastores(uris, mapping).select("page_id", "datastore_name", "path")
 
 
+@query(
+    "map_datastores_many",
+    """
+    WITH paths AS (
+      SELECT o_orderkey, 'f' || md5(CAST(o_orderkey AS VARCHAR)) || md5(CAST(o_custkey AS VARCHAR)) AS path FROM orders),
+    mapping AS (
+      SELECT substr(path, 1, 5 + CAST(o_orderkey % 40 AS INTEGER)) AS prefix, min(o_orderkey) AS position FROM paths GROUP BY 1),
+    fits AS (
+      SELECT o_orderkey, path, prefix, position, row_number() OVER (PARTITION BY o_orderkey ORDER BY position) AS place
+      FROM paths CROSS JOIN (SELECT unnest(range(5, 45)) AS cut)
+      JOIN mapping ON prefix = substr(path, 1, CAST(cut AS INTEGER)) AND length(prefix) = cut)
+    SELECT o_orderkey, 'n' || position AS datastore_name, substr(path, length(prefix) + 1) AS path FROM fits WHERE place = 1
+    """,
+)
+def map_datastores_many(spark, sf_dir):
+    """A prefix for each order, of 40 lengths: all are searched at once, and records stay where they are."""
+    orders = table(spark, sf_dir, "orders")
+    path = F.concat(F.lit("f"), F.md5(F.col("o_orderkey").cast("string").cast("binary")), F.md5(F.col("o_custkey").cast("string").cast("binary")))
+    paths = orders.select("o_orderkey", path.alias("path"))
+    mapping = paths.select(
+        F.substring("path", F.lit(1), 5 + F.pmod("o_orderkey", F.lit(40)).cast("int")).alias("prefix"),
+        F.col("o_orderkey").alias("position"),
+        F.concat(F.lit("n"), "o_orderkey").alias("datastore_name"),
+    )
+    return map_to_datastores(paths, mapping).select("o_orderkey", "datastore_name", "path")
+
+
 @query(
     "unmapped_paths",
     "SELECT page_id, url FROM pages WHERE NOT starts_with(url, 'https://') AND NOT starts_with(url, 'http://www.')",

@@ -10,10 +10,10 @@ from ..operators.progress import fold_progress, overall_progress
 from ..operators.summary import (
     collection_units,
     count_files,
-    count_report,
     count_rows,
     distinct_keys,
     files_without_size,
+    footer_count_report,
     known_size,
     listed_size,
     release_summary,
@@ -24,8 +24,9 @@ from ..operators.joins import fill_sizes
 from ..operators.transfer import running_transfer_totals, transfer_totals
 from ..streaming.progress import read_events, write_progress
 from ..session import staging_path
+from ..sources.listing import file_sizes, list_files
 from . import adapters
-from .base import query, table
+from .base import SCHEMAS, query, table, table_path
 
 _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -51,6 +52,13 @@ def part_listing(spark, sf_dir):
     return part.select(places.alias("file"), (F.col("p_size").cast("long") * 1_000_000).alias("size"))
 
 
+def listed_parts(spark, sf_dir):
+    """The same without promotional parts."""
+    part = table(spark, sf_dir, "part").where("p_type != 'PROMO'").select("p_partkey")
+    partkey = F.regexp_extract("file", "parts/([0-9]+)", 1).cast("long")
+    return part_listing(spark, sf_dir).join(part, partkey == part["p_partkey"], "left_semi")
+
+
 RECORDS_SQL = """
 records AS (
   SELECT 'order_' || lower(o_orderstatus) AS dataset_type,
@@ -85,7 +93,60 @@ def release_summary_query(spark, sf_dir):
     summary = release_summary(
         adapters.order_datasets(spark, sf_dir), typed_records(spark, sf_dir), part_listing(spark, sf_dir)
     )
-    return summary.withColumn("bytes", F.col("bytes").cast("long"))
+    return summary.withColumn("bytes", F.col("bytes").cast("long")).drop("files_without_size")
+
+
+@query(
+    "summary_of_files",
+    """
+    WITH records AS (
+      SELECT 'order_' || lower(o_orderstatus) AS dataset_type,
+             CASE WHEN l_linestatus = 'O' THEN 'file:///archive/' ELSE '' END || 'parts/' || l_partkey || '.zip' AS file,
+             CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS BIGINT) * 1000 END AS file_size,
+             CASE WHEN p_type <> 'PROMO' THEN p_size * CAST(1000000 AS BIGINT) END AS listed
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+    known AS (SELECT dataset_type, sum(file_size) AS bytes, count(DISTINCT file) AS files FROM records GROUP BY 1),
+    unknown AS (
+      SELECT dataset_type, sum(listed) AS bytes, count(*) FILTER (listed IS NULL) AS files_without_size
+      FROM (SELECT DISTINCT dataset_type, file, listed FROM records WHERE file_size IS NULL) GROUP BY 1)
+    SELECT dataset_type, files, CAST(coalesce(known.bytes, 0) + coalesce(unknown.bytes, 0) AS BIGINT) AS bytes,
+           coalesce(files_without_size, 0) AS files_without_size
+    FROM known LEFT JOIN unknown USING (dataset_type)
+    """,
+)
+def summary_of_files(spark, sf_dir):
+    """Bytes where a size is known, and how many files have none: promotional parts are not listed."""
+    records = typed_records(spark, sf_dir)
+    summary = release_summary(adapters.order_datasets(spark, sf_dir), records, listed_parts(spark, sf_dir))
+    return summary.select("dataset_type", "files", F.col("bytes").cast("long").alias("bytes"), "files_without_size")
+
+
+@query(
+    "listed_files",
+    "SELECT p_size, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS bytes FROM part GROUP BY p_size",
+)
+def listed_files(spark, sf_dir):
+    """Sizes of files that hold the names of the parts, one folder for each size of part, as tasks list them."""
+    folder = staging_path(spark, "part-names")
+    table(spark, sf_dir, "part").select("p_size", "p_name").write.partitionBy("p_size").text(folder)
+    size = F.regexp_extract("file", "p_size=([0-9]+)/", 1).cast("int")
+    return list_files(spark, folder, "*.txt").groupBy(size.alias("p_size")).agg(F.sum("size").alias("bytes"))
+
+
+@query(
+    "asked_sizes",
+    "SELECT p_size, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS bytes, CAST(1 AS BIGINT) AS absent FROM part GROUP BY p_size",
+)
+def asked_sizes(spark, sf_dir):
+    """The same sizes asked for file by file, with one name in each folder that is no file."""
+    folder = staging_path(spark, "part-names")
+    table(spark, sf_dir, "part").select("p_size", "p_name").write.partitionBy("p_size").text(folder)
+    found = list_files(spark, folder).select("file")
+    none = found.select(F.concat(F.regexp_replace("file", "[^/]*$", ""), F.lit("none.txt")).alias("file")).distinct()
+    size = F.regexp_extract("file", "p_size=([0-9]+)/", 1).cast("int").alias("p_size")
+    return file_sizes(found.union(none)).groupBy(size).agg(
+        F.sum("size").alias("bytes"), F.count_if(F.col("size").isNull()).alias("absent")
+    )
 
 
 @query("row_count", "SELECT count(*) AS n FROM lineitem")
@@ -121,10 +182,7 @@ def listed_size_query(spark, sf_dir):
 )
 def fill_sizes_query(spark, sf_dir):
     """Sizes of files without one; promotional parts are not in the listing."""
-    part = table(spark, sf_dir, "part").where("p_type != 'PROMO'").select("p_partkey")
-    listed = part_listing(spark, sf_dir)
-    partkey = F.regexp_extract("file", "parts/([0-9]+)", 1).cast("long")
-    listing = listed.join(part, partkey == part["p_partkey"], "left_semi")
+    listing = listed_parts(spark, sf_dir)
     return fill_sizes(files_without_size(adapters.datastore(spark, sf_dir)), listing)
 
 
@@ -138,7 +196,7 @@ def distinct_keys_query(spark, sf_dir):
     " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {name}" for name in _TABLES),
 )
 def count_report_query(spark, sf_dir):
-    return count_report({name: table(spark, sf_dir, name) for name in _TABLES})
+    return footer_count_report(spark, {name: table_path(sf_dir, name) for name in _TABLES}, SCHEMAS)
 
 
 @query(

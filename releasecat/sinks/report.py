@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SUMMARY_TITLES = {
-    "dataset_type": "Dataset Type",
-    "datasets": "Dataset Count",
-    "files": "File Count",
-    "size": "File Size",
-    "bytes": "File Size (bytes)",
+    "dataset_type": "Type",
+    "datasets": "Datasets",
+    "files": "Files",
+    "size": "Size",
+    "bytes": "Bytes",
+    "files_without_size": "Files of unknown size",
 }
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fs
 from ..operators.selection import resolve_names, union_by_name
 from ..operators.validation import paths_outside
 from ..schemas import COLLECTIONS, DATASTORE, MANIFEST, STANDARD_SPEC, DimensionSpec, as_nullable
@@ -145,17 +146,45 @@ class Release:
 
     def read_all_datasets(self, types: Sequence[str] | None = None) -> DataFrame:
         """All datasets as one table with ``dataset_type``; absent dimensions are NULL."""
-        return self._all(self.read_datasets, types, self.spec.dataset_schema(()))
+        return self._all("dataset", types, self.spec.dataset_schema)
 
     def read_all_datastore(self, types: Sequence[str] | None = None) -> DataFrame:
-        return self._all(self.read_datastore, types, DATASTORE)
+        return self._all("datastore", types, lambda _: DATASTORE)
 
     def read_all_associations(self, types: Sequence[str] | None = None) -> DataFrame:
-        return self._all(self.read_associations, types, self.spec.association_schema(()))
+        return self._all("association", types, self.spec.association_schema)
 
-    def _all(self, read, types: Sequence[str] | None, schema: T.StructType) -> DataFrame:
+    def _all(self, kind: str, types: Sequence[str] | None, schema_of: Callable[[Sequence[str]], T.StructType]) -> DataFrame:
+        """Tables of one kind of all types: one scan for each schema, with the type told by the file a row is in."""
         names = [row["name"] for row in self.types] if types is None else types
         if not names:
-            empty = T.StructType([*as_nullable(schema).fields, T.StructField("dataset_type", T.StringType())])
+            empty = T.StructType([*as_nullable(schema_of(())).fields, T.StructField("dataset_type", T.StringType())])
             return self.spark.createDataFrame([], empty)
-        return union_by_name([read(name).withColumn("dataset_type", F.lit(name)) for name in names])
+        rows = {row["name"]: row for row in self.types}
+        groups: dict[str, tuple[T.StructType, dict[str, list[str]]]] = {}
+        for name in dict.fromkeys(names):
+            schema = as_nullable(schema_of(self.type_named(name)["dimensions"]))
+            _, files = groups.setdefault(schema.json(), (schema, {}))
+            files.setdefault(rows[name][f"{kind}_export_file"], []).append(name)
+        return union_by_name([self._typed_scan(schema, files) for schema, files in groups.values()])
+
+    def _typed_scan(self, schema: T.StructType, files: Mapping[str, Sequence[str]]) -> DataFrame:
+        paths = {file: self.path_of(file) for file in files}
+        scan = self.spark.read.schema(schema).parquet(*paths.values())
+        if len(files) == 1 and len(next(iter(files.values()))) == 1:
+            return scan.withColumn("dataset_type", F.lit(next(iter(files.values()))[0]))
+        # As large as the manifest, which the driver holds.  A table is a file or a folder of part files.
+        owner = self.spark.createDataFrame(
+            [(fs.qualified(self.spark, paths[file]), name) for file, names in files.items() for name in names],
+            "__table string, dataset_type string",
+        )
+        encoded = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+        location = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+        folder = F.regexp_replace("__file", "/[^/]*$", "")
+        known = scan.select("*", location.alias("__file"))
+        whole = owner.select(F.col("__table").alias("__whole"), F.col("dataset_type").alias("__own"))
+        parts = owner.select(F.col("__table").alias("__parts"), F.col("dataset_type").alias("__owners"))
+        typed = known.join(F.broadcast(whole), F.col("__file") == F.col("__whole"), "left").join(
+            F.broadcast(parts), folder == F.col("__parts"), "left"
+        )
+        return typed.select(*schema.names, F.coalesce("__own", "__owners").alias("dataset_type"))
