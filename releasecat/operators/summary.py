@@ -120,10 +120,14 @@ def _part(df: DataFrame, *columns: str) -> DataFrame:
 
 def count_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each table, by name."""
-    counts = [count_rows(df, "n_rows").select(F.lit(name).alias("name"), "n_rows") for name, df in tables.items()]
+    counts = [_table_rows(name, df) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, counts).orderBy("name")
 
 
+def _table_rows(name: str, df: DataFrame) -> DataFrame:
+    return count_rows(df, "n_rows").select(F.lit(name).alias("name"), "n_rows")
+
+
 def footer_count_report(spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, StructType | str] | None = None) -> DataFrame:
     """Rows of each Parquet table, by name, from the row counts in the files' footers.
 
@@ -139,7 +143,10 @@ def footer_count_report(spark: SparkSession, paths: Mapping[str, str], schemas:
         for name, path in paths.items():
             reader = spark.read if not schemas or name not in schemas else spark.read.schema(schemas[name])
             tables[name] = reader.parquet(path)
-        return count_report(tables)
+        # Added up from footers, a table without rows has no count at all; a row of its own gives it one.
+        zeros = spark.createDataFrame([(name, 0) for name in tables], "name string, n_rows long")
+        counts = reduce(DataFrame.unionByName, [_table_rows(name, df) for name, df in tables.items()]).unionByName(zeros)
+        return counts.groupBy("name").agg(F.sum("n_rows").alias("n_rows")).orderBy("name")
     finally:
         spark.conf.set(sources, before)
 

@@ -180,7 +180,7 @@ class Steps:
         if not fs.exists(self.spark, path):
             return False
         if fs.read_text(self.spark, path) != self.fingerprint:
-            raise FileExistsError(f"{self.target} holds {name} of another load")
+            raise FileExistsError(f"{self.target} exists and holds {name} of another load")
         return True
 
     def run(self, name: str, job: Callable[[str], None]) -> str:

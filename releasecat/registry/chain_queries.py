@@ -19,6 +19,7 @@ from ..operators.collections import (
 from ..operators.ordering import row_index
 from ..operators.search import associations, extra_runs, find_first, runs_found, search, search_all
 from ..plans.export import select_datasets
+from ..session import cut_lineage
 from . import adapters
 from .base import query, table
 
@@ -250,7 +251,8 @@ def _selected(spark, sf_dir):
     catalog = adapters.catalog(spark, sf_dir)
     types = catalog.dataset_types.where("name LIKE 'order%'").collect()
     ranked = adapters.ranked_collections(spark, sf_dir)
-    return catalog, ranked, select_datasets(catalog, types, ranked)
+    # Stored, as by an export: runs, provenance and associations all start from what was found.
+    return catalog, ranked, cut_lineage(select_datasets(catalog, types, ranked), "found")
 
 
 @query(

@@ -22,7 +22,7 @@ from ..operators.summary import (
 )
 from ..operators.joins import fill_sizes
 from ..operators.transfer import running_transfer_totals, transfer_totals
-from ..streaming.progress import read_events, write_progress
+from ..streaming.progress import read_events, read_progress, write_progress
 from ..session import staging_path
 from ..sources.listing import file_sizes, list_files
 from . import adapters
@@ -344,11 +344,11 @@ def progress_overall(spark, sf_dir):
 
 @query("progress_stream", f"WITH {PROGRESS_SQL} SELECT * FROM progress")
 def progress_stream(spark, sf_dir):
-    """The same fold as a stream over event files."""
+    """The same fold as a stream over event files, a file at a time, so that most types change in several triggers."""
     source, target = staging_path(spark, "events"), staging_path(spark, "folded")
-    progress_events(spark, sf_dir).write.parquet(source)
-    write_progress(read_events(spark, source), target).awaitTermination()
-    return spark.read.parquet(target)
+    progress_events(spark, sf_dir).repartition(3).write.parquet(source)
+    write_progress(read_events(spark, source, 1), target).awaitTermination()
+    return read_progress(spark, target)
 
 
 @query(

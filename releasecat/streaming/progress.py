@@ -19,22 +19,30 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 
 def write_progress(events: DataFrame, target: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Keep a Parquet table of the folded progress up to date with the events there are now.
+    """Keep a Parquet table of the folded progress up to date with the events there are now; see ``read_progress``.
 
-    The state has one row for each dataset type, so it needs no watermark.  The
-    whole fold is written again at each trigger; a trigger that runs again
-    after a failure writes the same rows.
+    The state has one row for each dataset type, so it needs no watermark.  A trigger gives the types whose events it
+    brought; the table has a partition for each type, and only those of these types are replaced.  A trigger that runs
+    again after a failure replaces the same partitions by the same rows.
     """
     location = checkpoint or staging_path(events.sparkSession, "progress")
 
     def store(batch: DataFrame, _batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(target)
+        writer = batch.repartition("dataset_type").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("dataset_type").parquet(target)
 
     return (
         fold_progress(events)
-        .writeStream.outputMode("complete")
+        .writeStream.outputMode("update")
         .option("checkpointLocation", location)
         .trigger(availableNow=True)
         .foreachBatch(store)
         .start()
     )
+
+
+def read_progress(spark: SparkSession, target: str) -> DataFrame:
+    """The folded progress as it is now: ``dataset_type, total, imported, status``."""
+    # A schema of its own keeps names of types that look like numbers or dates as they are.
+    table = spark.read.schema("total long, imported long, status string, dataset_type string").parquet(target)
+    return table.select("dataset_type", "total", "imported", "status")

@@ -26,7 +26,7 @@ from releasecat.operators.transfer import (
 from releasecat.operators.validation import duplicate_ids, missing_types
 from releasecat.schemas import PROGRESS_EVENTS, STANDARD_SPEC
 from releasecat.session import staging_path
-from releasecat.streaming.progress import read_events, write_progress
+from releasecat.streaming.progress import read_events, read_progress, write_progress
 
 
 def rows_of(df, *columns):
@@ -136,11 +136,18 @@ def test_progress_of_batch_and_stream_agree(spark):
     source, target, place = (staging_path(spark, n) for n in ("events", "folded", "place"))
     events.limit(5).coalesce(1).write.parquet(source)
     write_progress(read_events(spark, source, 1), target, place).awaitTermination()
-    assert rows_of(spark.read.parquet(target))[0] == ("a", 10, 10, "complete")
+    assert rows_of(read_progress(spark, target))[0] == ("a", 10, 10, "complete")
+    before = set(spark.read.parquet(f"{target}/dataset_type=a").inputFiles())
     # More events arrive; the stream goes on where it stopped.
     spark.createDataFrame(EVENTS[5:], PROGRESS_EVENTS).repartition(2).write.mode("append").parquet(source)
     write_progress(read_events(spark, source, 1), target, place).awaitTermination()
-    assert rows_of(spark.read.parquet(target)) == expected
+    assert rows_of(read_progress(spark, target)) == expected
+    # What has not changed is not written again.
+    assert set(spark.read.parquet(f"{target}/dataset_type=a").inputFiles()) == before
+    more = [("started", "007", 4, None), ("progress", "007", None, 1), ("progress", "b", None, 1)]
+    spark.createDataFrame(more, PROGRESS_EVENTS).coalesce(1).write.mode("append").parquet(source)
+    write_progress(read_events(spark, source, 1), target, place).awaitTermination()
+    assert rows_of(read_progress(spark, target)) == [("007", 4, 1, "working"), expected[0], ("b", 3, 3, "working"), expected[2]]
 
 
 def test_find_first_gives_one_row_for_each_key_with_null_keys(spark):

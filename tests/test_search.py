@@ -24,7 +24,7 @@ from releasecat.operators.progress import fold_progress
 from releasecat.operators.selection import UnmatchedPatternError
 from releasecat.operators.validation import ReleaseCheckError, null_violations, schema_differences
 from releasecat.plans.export import export_release
-from releasecat.plans.load import check_release, dataset_orphans, load_release, stray_rows
+from releasecat.plans.load import Steps, check_release, dataset_orphans, load_release, record_orphans, stray_rows
 from releasecat.plans.summary import dataset_counts, dimension_counts, summarize, summary_text, write_summary
 from releasecat.plans.transfer import transfer_plan
 from releasecat.plans.transform import change_storage_class
@@ -286,7 +286,7 @@ def test_reports(sky, release, spark):
     assert (summary["flux"]["files"], summary["flux"]["bytes"]) == (len({f for f, _ in own}), expected)
     assert (summary["void"]["datasets"], summary["void"]["size"]) == (0, "0 bytes")
     text = summary_text(summarize(release, ["void"]))
-    assert "| void | 0 | 0 | 0 bytes | 0 |" in text.splitlines()
+    assert "| void | 0 | 0 | 0 bytes | 0 | 0 |" in text.splitlines()
     path = staging_path(spark, "summary.txt")
     write_summary(summarize(release, ["void"]), path, "The release")
     assert spark.read.text(path).first()["value"] == "The release"
@@ -378,6 +378,64 @@ def test_load(sky, release, spark):
         load_release(release, staging_path(spark, "absent"), check=False, alias=("none", "short"))
 
 
+def test_a_load_goes_on_where_it_was_cut(sky, spark, catalog, monkeypatch):
+    """Every call finishes what was begun and is cut before the note of the next of some new tables."""
+    cuts = ["dataset_types", "dimensions/day_obs", "collections", "datasets", "progress/datasets", "datastore", "tags"]
+    release = export_release(catalog, staging_path(spark, "resumed"), ["mask", "bi*"], [], ["survey"])
+    target, written, run = staging_path(spark, "pieces"), [], Steps.run
+
+    class Cut(Exception):
+        pass
+
+    def cut_once(self, name, job):
+        if name not in cuts or self._noted(name, "begun"):
+            return run(self, name, lambda path: (written.append(name), job(path)))
+
+        def half(path):
+            job(path)
+            written.append(name)
+            raise Cut(name)
+
+        return run(self, name, half)
+
+    monkeypatch.setattr(Steps, "run", cut_once)
+    for calls in range(1, 60):
+        try:
+            paths = load_release(release, target, check=False)
+        except Cut:
+            continue
+        break
+    # Two of them are of one step.
+    assert calls == len(cuts) and set(written) == set(paths)
+    # Cut once and finished once, and never written again.
+    assert all(written.count(name) == 1 + (name in cuts) for name in paths)
+    monkeypatch.setattr(Steps, "run", run)
+    before = len(written)
+    assert load_release(release, target, check=False) == paths and len(written) == before
+    whole = load_release(release, staging_path(spark, "whole"), check=False)
+    for name in paths:
+        a, b = (spark.read.parquet(p[name]) for p in (paths, whole))
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    folded = {r["dataset_type"]: tuple(r) for r in fold_progress(spark.read.parquet(paths["progress/dimensions/day_obs"])).collect()}
+    assert folded == {"dimension day_obs": ("dimension day_obs", 5, 5, "complete")}
+    rewrite_table(spark, release.dimension_path("instrument"), lambda df: df.where("name = 'north'"), release.spec.record_schema("instrument"))
+    with pytest.raises(FileExistsError, match="another load"):
+        load_release(release, target, check=False)
+
+
+def test_references_are_checked_in_one_pass(sky, spark, catalog):
+    release = export_release(catalog, staging_path(spark, "references"), ["flux", "mask"], [], ["survey"])
+    assert record_orphans(release).isEmpty() and dataset_orphans(release).isEmpty()
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    # Datasets of two schemas and one table for each dimension a data ID names.
+    assert scans(dataset_orphans(release)) <= 2 + len(release.dimension_files)
+    rewrite_table(spark, release.dimension_path("instrument"), lambda df: df.where("name = 'south'"), release.spec.record_schema("instrument"))
+    found = {(r["dimension"], r["parent"]): int(r["orphans"]) for r in record_orphans(release).collect()}
+    assert found == {("day_obs", "instrument"): 5}
+    with pytest.raises(ReleaseCheckError, match="parent"):
+        check_release(release)
+
+
 def test_a_load_loses_nothing_silently(release, spark):
     with pytest.raises(ReleaseCheckError, match="without a datastore"):
         load_release(release, staging_path(spark, "half"), check=False, datastore_transform=lambda r: map_to_datastores(r, {"gs://": "cloud"}))
