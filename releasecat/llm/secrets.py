@@ -41,10 +41,15 @@ class Span(NamedTuple):
 
 class Novelty(NamedTuple):
     """When a string in sensitive context is reported: text around it that primes the dictionary, how far after a
-    sensitive word it may begin, the least marginal bytes and the least marginal bytes for each byte."""
+    sensitive word, or after the begin of one of the next ``lines`` that are not blank, it may begin, the least
+    marginal bytes and the least marginal bytes for each byte, and what tells a key from words: at which share of
+    neighbours the kind of character changes, or how many digits there are besides letters."""
 
     around: int = 1024
     reach: int = 48
+    lines: int = 1
+    least_changes: float = 0.36
+    least_digits: int = 3
     least_bytes: int = 14
     least_share: float = 0.6
 
@@ -75,27 +80,53 @@ def marginal_bytes(candidate: str, around: str) -> int:
     return len(packer.compress(candidate.encode())) - len(packer.compress(b""))
 
 
-def novel_spans(text: str, known: list[Span], rule: Novelty = Novelty()) -> list[Span]:
-    """Strings after a sensitive word that are new against what stands around them and overlap no known span.
+def like_a_key(value: str, rule: Novelty) -> bool:
+    """Words of a language are as new to a small dictionary as keys are, but keep to one kind of character for longer.
 
-    A candidate mixes letters and digits: words of a language are as new to a small dictionary as keys are.
+    In random base64 two neighbours of three are of different kinds (small, large, digit, sign), in names made of
+    words, in any style, fewer than one of three.  Strings of small letters and digits mix less: for these, digits
+    count.
     """
+    digits = sum(c.isdigit() for c in value)
+    if rule.least_digits <= digits < len(value):
+        return True
+    kinds = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in value.rstrip("=")]
+    return sum(a != b for a, b in zip(kinds, kinds[1:])) >= rule.least_changes * (len(kinds) - 1) and len(set(kinds) - {3}) > 1
+
+
+def places_after(text: str, start: int, rule: Novelty) -> Iterator[tuple[int, int, int]]:
+    """Where a value of the word that ends at ``start`` may begin: begin, end, and end of the line, line by line."""
+    left = rule.lines
+    while True:
+        stop = text.find("\n", start)
+        stop = len(text) if stop < 0 else stop
+        yield start, start + rule.reach, stop
+        start = stop + 1
+        while start < len(text) and text[start] in " \t\r\n":
+            start += 1
+        if not left or start >= len(text):
+            return
+        left -= 1
+
+
+def novel_spans(text: str, known: list[Span], rule: Novelty = Novelty()) -> list[Span]:
+    """Strings after a sensitive word that are new against what stands around them and overlap no known span."""
     found: dict[int, Span] = {}
+    seen: set[int] = set()
     for word in _SENSITIVE.finditer(text):
-        line_end = text.find("\n", word.end())
-        stop = len(text) if line_end < 0 else line_end
-        for m in _CANDIDATE.finditer(text, word.end(), stop):
-            start, end = m.span()
-            if start > word.end() + rule.reach:
-                break
-            value = m.group()
-            digits = sum(c.isdigit() for c in value)
-            if start in found or digits < 3 or digits == len(value) or any(s.start < end and start < s.end for s in known):
-                continue
-            around = text[max(0, start - rule.around) : start] + "\n" + text[end : end + rule.around]
-            added = marginal_bytes(value, around)
-            if added >= rule.least_bytes and added >= rule.least_share * len(value):
-                found[start] = Span(start, end, "novel")
+        for begin, last, stop in places_after(text, word.end(), rule):
+            for m in _CANDIDATE.finditer(text, begin, stop):
+                start, end = m.span()
+                if start > last:
+                    break
+                value = m.group()
+                if start in seen or not like_a_key(value, rule) or any(s.start < end and start < s.end for s in known):
+                    continue
+                seen.add(start)
+                around = text[max(0, start - rule.around) : start] + "\n" + text[end : end + rule.around]
+                added = marginal_bytes(value, around)
+                if added >= rule.least_bytes and added >= rule.least_share * len(value):
+                    found[start] = Span(start, end, "novel")
     return list(found.values())
 
 

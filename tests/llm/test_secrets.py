@@ -60,3 +60,26 @@ def test_novelty():
     assert find_secrets("the token of ordinaryuncommonwords stands here") == []
     text = f"a token='{'f' * 40}' b"
     assert redact(text, find_secrets(text)) == "a [secret]' b"
+
+
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def test_random_keys_are_found_and_names_are_not():
+    pick = random.Random(7)
+    for size in (16, 20, 24, 32, 40):
+        keys = ["".join(pick.choice(BASE64) for _ in range(size)) for _ in range(400)]
+        for form in ("Authorization: Bearer {}", "credential for the box is {} and more", "private_key:\n  {}\n", "access_key |\n\n\t{}"):
+            hits = sum(any(s.kind == "novel" and form.format(k)[s.start : s.end] == k for s in find_secrets(form.format(k))) for k in keys)
+            assert hits >= 0.95 * len(keys), (size, form, hits)
+    names = (
+        "getUserAccountSettingsFactory org/example/service/internal/handlers client_secret_rotation_interval_seconds "
+        "AUTHORIZATION_HEADER_NAME_DEFAULT authenticationmiddleware token-refresh-interval-minutes XMLHttpRequestBuilder "
+        "Donaudampfschifffahrtsgesellschaft 1234567890123456 ---------------------- /usr/local/share/certificates"
+    ).split()
+    for name in names:
+        for form in ("the token {} is", "secret:\n{}\n", "bearer {}"):
+            assert not [s for s in find_secrets(form.format(name)) if s.kind == "novel"], name
+    # Two lines on, and far from the word, nothing is looked for.
+    key = "sess-Qx8r2LmZ0pYv7KtW3nBd"
+    assert find_secrets(f"token\nnothing here\n{key}") == find_secrets(f"token {'a ' * 40}{key}") == []
