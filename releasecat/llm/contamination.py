@@ -1,23 +1,44 @@
-"""Benchmark decontamination: rare n-gram seeds and local alignment of the words around them."""
+"""Benchmark decontamination: rare n-gram seeds and local alignment of the words around them.
+
+An item is held where a local alignment reaches ``least_points``.  Seeds are pairs of neighbouring words of an item;
+in a text the two may have one word between them.  What an alignment lacks to its full score bounds how many of an
+item's pairs it can break: a changed or missing word costs 3 and breaks two at most, a word cut off at an end costs 2
+and breaks one, and two words put in at one place cost 2 and break one.  So two thirds of what is lacking may be
+broken, and all other pairs of the item stand in the text, within twice its length.  Half of these may be left out of
+the search, and an item leaves out its most frequent ones; the others are enough to lose no alignment.  (With a ``least`` below a
+third of the words an alignment may leave no pair standing; one pair is asked for then.)
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from ..session import cut_lineage
-from .text import Words, keep, shingles, slices, utf8, words
+from .text import Words, keep, runs, shingles, slices, utf8, words
 
-SEED_WORDS = 5
+SEED_WORDS = 2
 # Share of an item's words, in alignment score, from which on a document is taken to hold the item.
 LEAST_SCORE = 0.5
+# Matching words whose score an alignment has at least, or those of the whole item if it has fewer.
+LEAST_WORDS = 5
 MATCH, MISMATCH, GAP = 2, -1, 1
-# Bits of the filter of seeds that the document scan uses: fixed, whatever the size of the benchmark.
-_FILTER_BITS = 25
+# Words of items that are looked for in one scan: what a task holds of the benchmark, whatever its size.
+BLOCK_WORDS = 1 << 20
+# Bits that say which seeds are worth a search, as a power of two.
+_FILTER_BITS = 22
+
+
+def least_points(length: int, least: float = LEAST_SCORE) -> float:
+    """Alignment score from which on a text holds an item of ``length`` words."""
+    return max(least * MATCH * length, MATCH * min(length, LEAST_WORDS))
 
 
 def item_words(items: DataFrame) -> DataFrame:
@@ -34,90 +55,153 @@ def item_words(items: DataFrame) -> DataFrame:
     return listed.where(F.size("item_words") > 0).distinct()
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
-    """All word n-grams of the items, however many share them: ``seed, item_id``; items of fewer words have no seed."""
+def pairs_of(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of pairs of words with at most one word between them, and the index of the first word of each."""
+    near, at = shingles(found, SEED_WORDS)
+    far = [], []
+    if len(found.hash) > SEED_WORDS:
+        # Shingles over every other word: the even ones, then the odd ones.
+        order = np.concatenate([np.arange(0, len(found.hash), 2), np.arange(1, len(found.hash), 2)])
+        apart = Words(found.text[order], found.start, found.end, found.hash[order], found.first)
+        seeds, places = shingles(apart, SEED_WORDS)
+        whole = order[places + 1] == order[places] + 2
+        far = seeds[whole], order[places[whole]]
+    return np.concatenate([near, np.asarray(far[0], np.uint64)]), np.concatenate([at, np.asarray(far[1], np.int64)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("item_words")
-            hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            sizes = np.array([len(x) for x in lists.to_pylist()], np.int64)
-            of = np.repeat(np.arange(len(batch)), sizes)
-            seeds, at = shingles(Words(of, of, of, hashes, of), SEED_WORDS)
-            yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), batch.column("item_id").take(pa.array(of[at]))], ["seed", "item_id"])
-
-    kind = items.schema["item_id"].dataType.simpleString()
-    return items.mapInArrow(run, f"seed long, item_id {kind}").distinct()
 
+class SeedIndex:
+    """Items of one block, and the items that each of their seeds leads to.
 
-def seed_groups(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Seeds of the same items as one group: ``seed, group`` and the groups' items, ``group, item_id``.
-
-    Seeds have the same items if their number, sum and exclusive or of hashes agree.  A group is named by its least seed.
-    """
-    of_item = F.xxhash64("item_id")
-    held = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("items"), F.sum(of_item.cast("decimal(20,0)")).alias("total"), F.bit_xor(of_item).alias("mixed"))
-    same = ["items", "total", "mixed"]
-    grouped = held.join(held.groupBy(*same).agg(F.min("seed").alias("group")), same).select("seed", "group")
-    members = seeds.join(grouped.where(F.col("seed") == F.col("group")), "seed").select("group", "item_id")
-    return grouped, members
-
-
-def seed_filter(seeds: DataFrame, bits: int = _FILTER_BITS) -> np.ndarray:
-    """A bit for each hash value that some seed has; ``2 ** bits`` of them at any size of the benchmark."""
-    slot = F.shiftrightunsigned("seed", 64 - bits)
-    marked = seeds.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - bits}) & 63 as int))")).alias("mask")
-    )
-    rows = marked.toPandas()
-    table = np.zeros(1 << (bits - 6), np.int64)
-    table[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
-    return table.view(np.uint8)
-
-
-def passages(docs: DataFrame, table: np.ndarray, margin: int) -> DataFrame:
-    """Stretches of documents around what may be seeds.
-
-    ``doc_id, text_key, begin, seeds, passage``: the hashes that passed the filter and those of the words from
-    ``begin`` on, ``margin`` words more than the hits on either side.  Hits whose stretches would overlap share one.
+    ``files`` gives the number of texts with each of ``all_seeds``; until it is known every seed is looked up.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def __init__(self, ids: list, texts: list[np.ndarray], least: float = LEAST_SCORE):
+        self.ids, self.texts = ids, texts
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.points = np.array([least_points(n, least) for n in sizes.tolist()])
+        # Pairs of an item that stand in any text that holds it.
+        lacking = np.floor(MATCH * sizes - self.points + 1e-9).astype(np.int64)
+        self.standing = np.maximum(1, sizes - 1 - lacking * 2 // 3)
+        # Words of a text that an alignment covers at most.
+        self.reach = sizes + lacking
+        of = np.repeat(np.arange(len(texts)), sizes)
+        hashes = np.concatenate(texts).view(np.uint64)
+        self.seeds, at = shingles(Words(of, of, of, hashes, of), SEED_WORDS)
+        self.item = of[at]
+        self.all_seeds = np.unique(self.seeds)
+        self.needed = self.standing
+        self._look_up(np.ones(len(self.seeds), bool))
+
+    def leave_out_frequent(self, files: np.ndarray) -> None:
+        """Look for the rarest seeds only: each item leaves out half of those that must stand in a text anyway."""
+        often = files[np.searchsorted(self.all_seeds, self.seeds)]
+        order = np.lexsort((-often, self.item))
+        bounds = runs(self.item[order])
+        rank = np.arange(len(order)) - np.repeat(bounds[:-1], np.diff(bounds))
+        left_out = self.standing // 2
+        kept = np.zeros(len(order), bool)
+        kept[order] = rank >= left_out[self.item[order]]
+        self.needed = self.standing - left_out
+        self._look_up(kept)
+
+    def _look_up(self, kept: np.ndarray) -> None:
+        order = np.lexsort((self.item[kept], self.seeds[kept]))
+        seeds, items = self.seeds[kept][order], self.item[kept][order]
+        other = np.ones(len(seeds), bool)
+        other[1:] = (seeds[1:] != seeds[:-1]) | (items[1:] != items[:-1])
+        self.items = items[other]
+        self.first = runs(seeds[other])
+        self.keys = seeds[other][self.first[:-1]]
+        self.bits = np.zeros(1 << _FILTER_BITS, bool)
+        self.bits[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
+
+    def hits(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of keys that stand in texts, and the words where they do."""
+        seeds, at = pairs_of(found)
+        likely = self.bits[seeds >> np.uint64(64 - _FILTER_BITS)]
+        seeds, at = seeds[likely], at[likely]
+        number = np.minimum(np.searchsorted(self.keys, seeds), len(self.keys) - 1)
+        same = self.keys[number] == seeds
+        return number[same], at[same]
+
+    def stretches(self, found: Words) -> Iterator[tuple[int, int, int, int]]:
+        """Text, item, and first and end word of what may hold the item.
+
+        There are as many seeds as an alignment leaves standing, as near to one another as it leaves them.
+        """
+        number, at = self.hits(found)
+        count = self.first[number + 1] - self.first[number]
+        at = np.repeat(at, count)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[number], count)
+        item = self.items[place]
+        group = found.text[at] * len(self.ids) + item
+        order = np.lexsort((at, group))
+        group, at, item = group[order], at[order], item[order]
+        other = np.ones(len(at), bool)
+        other[1:] = (group[1:] != group[:-1]) | (at[1:] != at[:-1])
+        group, at, item = group[other], at[other], item[other]
+        last = np.arange(len(at)) + self.needed[item] - 1
+        inside = last < len(at)
+        first, last = np.flatnonzero(inside), last[inside]
+        near = (group[first] == group[last]) & (at[last] - at[first] <= self.reach[item[first]])
+        first, last = first[near], last[near]
+        text, item, group = found.text[at[first]], item[first], group[first]
+        begin = np.maximum(found.first[text], at[first] - self.reach[item])
+        end = np.minimum(found.first[text + 1], at[last] + SEED_WORDS + 1 + self.reach[item])
+        bounds = np.ones(len(first), bool)
+        bounds[1:] = (group[1:] != group[:-1]) | (begin[1:] > end[:-1])
+        opens = np.flatnonzero(bounds)
+        closes = np.append(opens[1:], len(first))[: len(opens)] - 1
+        for a, b in zip(opens.tolist(), closes.tolist()):
+            if self.may_hold(found, int(item[a]), int(begin[a]), int(end[b])):
+                yield int(text[a]), int(item[a]), int(begin[a]), int(end[b])
+
+    def may_hold(self, found: Words, item: int, begin: int, end: int) -> bool:
+        """Whether enough words of the item and all its pairs that must stand are there."""
+        held = np.isin(self.texts[item].view(np.uint64), found.hash[begin:end])
+        if MATCH * held.sum() < self.points[item]:
+            return False
+        part = np.zeros(end - begin, np.int64)
+        seeds, _ = pairs_of(Words(part, part, part, found.hash[begin:end], part))
+        a, b = np.searchsorted(self.item, [item, item + 1])
+        return np.isin(self.seeds[a:b], seeds).sum() >= self.standing[item]
+
+
+def item_blocks(items: DataFrame, least: float = LEAST_SCORE, limit: int = BLOCK_WORDS) -> Iterator[SeedIndex]:
+    """All items of two words and more, ``limit`` words at a time or a longer item alone."""
+    ids, texts, held = [], [], 0
+    for row in items.where(F.size("item_words") >= SEED_WORDS).toLocalIterator():
+        if texts and held + len(row.item_words) > limit:
+            yield SeedIndex(ids, texts, least)
+            ids, texts, held = [], [], 0
+        ids.append(row.item_id)
+        texts.append(np.array(row.item_words, np.int64))
+        held += len(row.item_words)
+    if texts:
+        yield SeedIndex(ids, texts, least)
+
+
+def seed_files(docs: DataFrame, index: SeedIndex) -> np.ndarray:
+    """Number of texts with each of a block's seeds, over all texts; tasks send sums."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        shift = np.uint64(64 - int(len(bits) * 8).bit_length() + 1)
+        index = shared.value
+        files = np.zeros(len(index.keys), np.int64)
         for batch in batches:
             for part in slices(batch):
                 found = words(*utf8(part.column("text")))
-                grams, at = shingles(found, SEED_WORDS)
-                slot = grams >> shift
-                hit = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                grams, at = grams[hit], at[hit]
-                if not len(at):
-                    continue
-                text = found.text[at]
-                apart = np.ones(len(at), bool)
-                apart[1:] = (text[1:] != text[:-1]) | (np.diff(at) > 2 * margin + SEED_WORDS)
-                bounds = np.append(np.flatnonzero(apart), len(at))
-                of = text[bounds[:-1]]
-                begin = np.maximum(found.first[of], at[bounds[:-1]] - margin)
-                end = np.minimum(found.first[of + 1], at[bounds[1:] - 1] + SEED_WORDS + margin)
-                take = pa.array(of)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").take(take),
-                        part.column("text_key").take(take),
-                        pa.array(begin - found.first[of], pa.int64()),
-                        _lists(grams.view(np.int64), bounds),
-                        pa.array([found.hash[a:b].view(np.int64) for a, b in zip(begin, end)], pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "text_key", "begin", "seeds", "passage"],
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(
-        run, f"doc_id {kind}, text_key long, begin long, seeds array<long>, passage array<long>"
-    )
+                number, at = index.hits(found)
+                once = np.unique(found.text[at] * len(files) + number)
+                files += np.bincount(once % len(files), minlength=len(files))
+        some = np.flatnonzero(files)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(files[some], pa.int64())], ["number", "files"])
+
+    counted = docs.select("text").mapInArrow(run, "number long, files long").groupBy("number").agg(F.sum("files").alias("files"))
+    rows = counted.toPandas()
+    files = np.zeros(len(index.keys), np.int64)
+    files[rows["number"].to_numpy(np.int64)] = rows["files"].to_numpy(np.int64)
+    return files
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -139,39 +223,48 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def align_pairs(pairs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Pairs of a passage and an item that align: ``doc_id, text_key, item_id, score, first_word, last_word``.
+def aligned(docs: DataFrame, index: SeedIndex, kind: DataType) -> DataFrame:
+    """Texts that hold items of a block: ``doc_id, text_key, item_id, score, first_word, last_word``.
 
-    The score is that of the alignment divided by that of the whole item; words are counted from 0.
+    The score is that of the alignment divided by that of the whole item; words are counted from 0.  Only stretches
+    with enough seeds are aligned, in the task that has the text; equal stretches of a slice are aligned once.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
         for batch in batches:
-            columns = [batch.column(c) for c in ("passage", "item_words", "begin")]
-            kept, scores, firsts, lasts = [], [], [], []
-            for number, (passage, item, begin) in enumerate(zip(*columns)):
-                passage, item = passage.values.to_numpy(), item.values.to_numpy()
-                # No alignment scores more than the item's words that stand in the passage at all.
-                if MATCH * np.isin(item, passage).sum() < least * MATCH * len(item):
-                    continue
-                best, end = align(item, passage)
-                if best < least * MATCH * len(item):
-                    continue
-                _, back = align(item[::-1], passage[:end][::-1])
-                kept.append(number)
-                scores.append(best / (MATCH * len(item)))
-                firsts.append(begin.as_py() + end - back)
-                lasts.append(begin.as_py() + end - 1)
-            take = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(take), batch.column("text_key").take(take), batch.column("item_id").take(take), pa.array(scores, pa.float64()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())],
-                ["doc_id", "text_key", "item_id", "score", "first_word", "last_word"],
-            )
-
-    kinds = {c: pairs.schema[c].dataType.simpleString() for c in ("doc_id", "item_id")}
-    return pairs.mapInArrow(
-        run, f"doc_id {kinds['doc_id']}, text_key long, item_id {kinds['item_id']}, score double, first_word long, last_word long"
-    )
+            for part in slices(batch):
+                found = words(*utf8(part.column("text")))
+                seen, held = {}, []
+                for text, item, begin, end in index.stretches(found):
+                    passage = found.hash[begin:end].view(np.int64)
+                    key = item, passage.tobytes()
+                    if key not in seen:
+                        seen[key] = _alignment(index.texts[item], passage, index.points[item])
+                    if seen[key]:
+                        best, first, last = seen[key]
+                        start = begin - int(found.first[text])
+                        held.append((text, item, best / (MATCH * len(index.texts[item])), start + first, start + last))
+                if held:
+                    of, item, score, first, last = zip(*held)
+                    take = pa.array(of, pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").take(take), part.column("text_key").take(take), pa.array([index.ids[i] for i in item], item_type), pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
+                        ["doc_id", "text_key", "item_id", "score", "first_word", "last_word"],
+                    )
+
+    item_type = to_arrow_type(kind)
+    doc_kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {doc_kind}, text_key long, item_id {kind.simpleString()}, score double, first_word long, last_word long")
+
+
+def _alignment(item: np.ndarray, passage: np.ndarray, points: float) -> tuple[int, int, int] | None:
+    best, end = align(item, passage)
+    if best < points:
+        return None
+    _, back = align(item[::-1], passage[:end][::-1])
+    return best, end - back, end - 1
 
 
 def text_number(text: str = "text"):
@@ -182,25 +275,22 @@ def text_number(text: str = "text"):
 def held_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """Test items in each text: ``doc_id, text_key, item_id, score, first_word, last_word``, with the best alignment.
 
-    Documents are scanned once against a filter of the
-    seeds; only stretches around hits are shuffled, to be joined with the items that have those seeds.  Null and
-    empty texts hold nothing; items of fewer than ``SEED_WORDS`` words are not looked for; empty tables give no rows.
+    Every text with an alignment of ``least_points`` is found.  Documents are scanned twice for each block of
+    ``BLOCK_WORDS`` words of the benchmark: to count seeds, and to align the stretches around rare ones; only what is
+    held is shuffled.  Items of up to ``LEAST_WORDS`` words must stand whole; those of one word are not looked for,
+    as a word alone is no copy.  Null and empty texts hold nothing; empty tables give no rows.
     """
     rows = keep(docs, doc_id="doc_id", text="text").withColumn("text_key", text_number())
     items = cut_lineage(item_words(keep(benchmark, item_id="item_id", text="text")), "benchmark-items")
-    seeds = cut_lineage(item_seeds(items), "benchmark-seeds")
-    margin = items.agg(F.max(F.size("item_words"))).first()[0] or 0
-    held = cut_lineage(passages(rows, seed_filter(seeds), margin), "passages")
-    key = ["doc_id", "text_key", "begin"]
-    grouped, members = (cut_lineage(t, name) for t, name in zip(seed_groups(seeds), ("seed-groups", "group-items")))
-    by_group = held.select(*key, F.explode(F.array_distinct("seeds")).alias("seed")).join(grouped, "seed")
-    pairs = by_group.select(*key, "group").distinct().join(members, "group").select(*key, "item_id").distinct().alias("p")
-    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"h.{c}")) for c in key]
-    with_words = pairs.join(held.select(*key, "passage").dropDuplicates(key).alias("h"), same).select(
-        "p.doc_id", "p.text_key", "p.begin", "p.item_id", "passage"
-    )
-    found = align_pairs(with_words.join(items, "item_id"), least)
-    best = found.groupBy("doc_id", "text_key", "item_id").agg(_best())
+    kind = items.schema["item_id"].dataType
+    blocks = []
+    for index in item_blocks(items, least):
+        index.leave_out_frequent(seed_files(rows, index))
+        blocks.append(aligned(rows, index, kind))
+    if not blocks:
+        none = rows.where(F.lit(False)).select("doc_id", "text_key", F.lit(None).cast(kind).alias("item_id"))
+        blocks.append(none.select("*", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("first_word"), F.lit(0).cast("long").alias("last_word")))
+    best = reduce(DataFrame.union, blocks).groupBy("doc_id", "text_key", "item_id").agg(_best())
     return best.select("doc_id", "text_key", "item_id", "b.score", "b.first_word", "b.last_word")
 
 
