@@ -70,3 +70,49 @@ def test_every_notice_names_its_own_label(spark):
     for r in scan_licenses(docs).collect():
         assert TEMPLATES[r.doc_id][0] in r.labels.split(",")
     assert 0 < LEAST_SHARE <= 1
+
+
+# Notices as files have them.
+HEADERS = (
+    ("gpl-3.0", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+)
+
+
+def test_standard_headers_also_with_words_put_in(spark):
+    keys = {"gpl-3.0": "general public license|version 3", "gpl-2.0": "general public license|version 2", "lgpl-2.1": "lesser general public license|version 2 1"}
+    filler = "some prose of the kind that stands before and after " * 20
+    rows, expected = [], []
+    for label, notice in HEADERS:
+        words = notice.split()
+        needed = [k.split() for t in TEMPLATES if t[0] == label for k in t[2]] + [k.split() for k in keys.get(label, "").split("|") if k]
+        for at in [None, *range(len(words) + 1)]:
+            before, after = (WORD.findall(lower(" ".join(w))) for w in (words[: at or 0], words[at or 0 :]))
+            # Words inside a key phrase break it.
+            if at and any(before[-i:] + after[: len(k) - i] == k for k in needed for i in range(1, len(k))):
+                continue
+            text = notice if at is None else " ".join([*words[:at], "one two three", *words[at:]])
+            rows.append((len(rows), filler + text + "\n" + filler))
+            expected.append(label)
+    docs = spark.createDataFrame(rows + [(-1, filler), (-2, "a license of the public, version 3")], "doc_id long, text string")
+    found = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    check(docs.collect(), found.values())
+    for n, label in enumerate(expected):
+        others = {t[0] for t in TEMPLATES} - {label, "mit"}
+        named = set(found[n].labels.split(","))
+        assert label in named and not named & others and found[n].score >= LEAST_SHARE, (rows[n][1], found[n].labels)
+    assert found[-1].labels == found[-2].labels == "" and found[-1].score == found[-2].score == 0
+
+
+def test_a_text_full_of_license_words(spark):
+    rows = [(1, "license " * 20000 + "version " * 20000), (2, "mit license " * 5000)]
+    found = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    check(rows, found.values())
+    assert found[1].labels == "" and found[2].labels == "mit"
