@@ -60,6 +60,26 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+# Schemes of file systems that rename over a file in one step.  Elsewhere a file appears whole when it is closed.
+_RENAMING = ("file", "hdfs", "viewfs")
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a file in the place of another: readers see the old text or the new one."""
+    file_system, hadoop_path = _resolve(spark, path)
+    if file_system.getScheme() not in _RENAMING:
+        write_text(spark, path, text)
+        return
+    written = f"{path}.__new"
+    write_text(spark, written, text)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    over = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    context = hadoop.FileContext.getFileContext(file_system.getUri(), spark._jsc.hadoopConfiguration())
+    source, target = (file_system.makeQualified(_resolve(spark, p)[1]) for p in (written, path))
+    context.rename(source, target, over)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     file_system, hadoop_path = _resolve(spark, path)
     stream = file_system.open(hadoop_path)

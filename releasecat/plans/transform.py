@@ -21,7 +21,7 @@ from ..operators.selection import drop_value
 from ..schemas import DATASTORE
 from ..session import cut_lineage
 from ..sinks.manifest import patch_storage_class, rewrite_types
-from ..sinks.rewrite import Rewrite, recover_release, rewrite_tables
+from ..sinks.rewrite import Rewrite, recover_release, rewrite_release
 from ..sources.release import Release
 
 _PRUNED = {
@@ -50,15 +50,15 @@ def release_keys(release: Release) -> ReferencedKeys:
 
 
 def prune_release(release: Release) -> None:
-    """Remove visit and exposure records that no dataset of the dump refers to."""
+    """Remove visit and exposure records that no dataset of the dump refers to; all tables change at once."""
     recover_release(release)
     keys = release_keys(release)
     changes: dict[str, tuple[Rewrite, object]] = {}
     for name, rule in _PRUNED.items():
         if name in release.dimension_files:
             rewrite = partial(_apply, rule, keys)
-            changes[release.dimension_path(name)] = (rewrite, release.spec.record_schema(name))
-    rewrite_tables(release.spark, changes)
+            changes[release.dimension_files[name]] = (rewrite, release.spec.record_schema(name))
+    rewrite_release(release, changes)
 
 
 def remove_value_from_release(
@@ -76,7 +76,7 @@ def remove_value_from_release(
     changes: dict[str, tuple[Rewrite, object]] = {}
     for name, column in records.items():
         rewrite = partial(drop_value, column=column, value=value)
-        changes[release.dimension_path(name)] = (rewrite, release.spec.record_schema(name))
+        changes[release.dimension_files[name]] = (rewrite, release.spec.record_schema(name))
     for name in dataset_types:
         row = release.type_named(name)
         kept = drop_value(release.read_datasets(name), dataset_column, value).select("dataset_id")
@@ -86,8 +86,8 @@ def remove_value_from_release(
             ("association_export_file", release.spec.association_schema(row["dimensions"])),
             ("datastore_export_file", DATASTORE),
         ):
-            changes[release.path_of(row[file])] = (matching, schema)
-    rewrite_tables(release.spark, changes)
+            changes[row[file]] = (matching, schema)
+    rewrite_release(release, changes)
 
 
 def _apply(rule, keys: ReferencedKeys, table: DataFrame) -> DataFrame:

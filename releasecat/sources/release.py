@@ -69,6 +69,11 @@ class Release:
     def manifest(self) -> DataFrame:
         return read_manifest(self.spark, self.directory)
 
+    def refresh(self) -> None:
+        """Forget the manifest, so that the next read sees the current one."""
+        for name in ("manifest", "header", "type_table", "types"):
+            self.__dict__.pop(name, None)
+
     @cached_property
     def header(self) -> Row:
         """Collection file, dimension configuration and dimension files."""

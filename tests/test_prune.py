@@ -15,7 +15,7 @@ from releasecat.plans.transform import prune_release, remove_value_from_release
 from releasecat.registry import adapters, dump_queries
 from releasecat.schemas import as_nullable
 from releasecat.session import staging_path
-from releasecat.sinks.rewrite import recover_table, rewrite_table, rewrite_tables
+from releasecat.sinks.rewrite import recover_table, remove_replaced, rewrite_table, rewrite_tables
 from releasecat.sources.release import Release
 
 
@@ -156,35 +156,58 @@ def _contents(release):
     return {n: sorted(map(str, rows_of(df))) for n, df in tables.items()}
 
 
-def test_jobs_cut_short_at_any_rename_are_finished_by_a_second_call(spark, sf_dir, monkeypatch):
+def test_all_tables_of_a_release_change_by_one_switch(spark, sf_dir, monkeypatch):
     written = dump_queries.write_release(spark, sf_dir)
 
-    def change(release):
+    def remove(release):
         remove_value_from_release(release, {"skymap": "name", "tract": "skymap"}, ["sky_map"], "skymap", "ASIA")
-        prune_release(release)
 
     def copied():
         copy = staging_path(spark, "copy")
         shutil.copytree(written.directory.removeprefix("file:"), copy.removeprefix("file:"))
         return Release(spark, copy, written.spec)
 
+    def fresh(release):
+        return _contents(Release(spark, release.directory, release.spec))
+
     whole = copied()
-    change(whole)
+    old, early = _contents(whole), Release(spark, whole.directory, whole.spec)
+    assert early.header and early.types
+    remove(whole)
+    removed = _contents(whole)
+    assert removed != old and fresh(whole) == removed
+    # Who has read the manifest before still has all old tables.
+    assert _contents(early) == old
+    prune_release(whole)
     expected = _contents(whole)
-    renames = fs.rename
-    # Ten renames for the five tables of the removal, as many for those of the pruning.
-    for cut in (0, 1, 5, 9, 11, 19):
-        release, calls = copied(), []
+    assert fresh(whole) == expected and _contents(early) == old
+    remove_replaced(whole)
+    assert fresh(whole) == expected
+    named = {path.removeprefix(f"{whole.directory}/") for path in whole.all_paths()}
+    top = {n for n in fs.list_names(spark, whole.directory) if n.endswith(".parquet")}
+    assert top == {n for n in named if "/" not in n}
+
+    for step in ("write_text", "replace_text"):
+        release = copied()
+        kept = getattr(fs, step)
 
-        def fail(*arguments):
-            calls.append(arguments)
-            if len(calls) == cut + 1:
-                raise OSError("cut short")
-            renames(*arguments)
+        def fail(session, path, text, kept=kept):
+            raise OSError("cut short")
 
         with monkeypatch.context() as patched:
-            patched.setattr(fs, "rename", fail)
+            patched.setattr(fs, step, fail)
             with pytest.raises(OSError, match="cut short"):
-                change(release)
-        change(release)
-        assert _contents(release) == expected
+                remove(release)
+        assert fresh(release) == _contents(release) == old
+        remove(release)
+        assert fresh(release) == removed
+        remove_replaced(release)
+        assert fresh(release) == removed and fs.list_names(spark, f"{release.directory}/versions") == ["000002"]
+
+
+def test_text_is_replaced(spark):
+    path = f"{staging_path(spark, 'text')}/a.json"
+    for text in ("one", "two, longer", "é"):
+        fs.replace_text(spark, path, text)
+        assert fs.read_text(spark, path) == text
+    assert [n for n in fs.list_names(spark, path.rsplit("/", 1)[0]) if not n.startswith(".")] == ["a.json"]
