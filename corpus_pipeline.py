@@ -28,24 +28,50 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored below 0.7.
+
+    Each row is scored by its own text, so repeated rows and ties share a fate; null and empty texts are scored too.
+    Labels of ids that ``docs`` lacks teach nothing.  An empty table stays empty, further columns stay as they are.
+    """
     return reject_toxic(docs, _table(prepare(spark), sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near duplicates, that of the least id; of equal rows one.
+
+    Texts of fewer than five words are near only to the same words, those without words, such as null and empty ones,
+    only to equal texts.  Rows without an id stay only where their class has no
+    id at all, one of each text.  An empty table stays empty, further columns stay as they are.
+    """
     prepare(spark)
     return keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text holds no test item.
+
+    Each row is judged by its own text, whatever its id; null and empty texts stay.  An empty table of documents or of
+    items drops nothing, further columns stay as they are.
+    """
     return drop_contaminated(docs, _table(prepare(spark), sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with a mark in place of each secret and ``n_chars`` of the new text.
+
+    Null texts stay null and have null ``n_chars``; repeated rows stay repeated.  An empty table stays empty, further
+    columns stay as they are.
+    """
     prepare(spark)
     return redact_secrets(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences instead of documents; further columns are left out.
+
+    A null or empty text is a document of the end token alone; each repeated row is packed.  An empty table gives no
+    pieces.
+    """
     prepare(spark)
     return pack_documents(docs, vocabulary_path())
 
