@@ -36,9 +36,5 @@ def association_file(dataset_type: Column | str) -> Column:
     return F.concat(_col(dataset_type), F.lit(".association.parquet"))
 
 
-def dimension_file(dimension: Column | str) -> Column:
-    return F.concat(_col(dimension), F.lit(".dimension.parquet"))
-
-
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value

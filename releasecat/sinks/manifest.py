@@ -6,11 +6,10 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from .. import fs
 from ..operators.selection import patch_where
-from ..sources.release import MANIFEST_FILE, Release, manifest_types
+from ..sources.release import MANIFEST_FILE, Release
 
 
 def type_entry(row: Row) -> dict:
@@ -44,7 +43,7 @@ def write_manifest(
         "dimension_record_files": dict(dimension_files),
         "datasets": list(entries),
     }
-    fs.write_text(spark, f"{directory}/{MANIFEST_FILE}", json.dumps(content, indent=2))
+    fs.replace_text(spark, f"{directory}/{MANIFEST_FILE}", json.dumps(content, indent=2))
 
 
 def patch_storage_class(types: DataFrame, names: Sequence[str], storage_class: str) -> DataFrame:
@@ -65,9 +64,3 @@ def rewrite_types(release: Release, types: DataFrame) -> None:
         release.header["dimension_record_files"],
         entries,
     )
-
-
-def manifest_entries(manifest: DataFrame) -> DataFrame:
-    """Dataset type entries as JSON text, one row each."""
-    types = manifest_types(manifest)
-    return types.select("name", F.to_json(F.struct(*types.columns)).alias("entry"))
