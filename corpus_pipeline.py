@@ -39,8 +39,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates, that of the least id; of equal rows one.
 
-    Texts of fewer than five words are near only to the same words, those without words, such as null and empty ones,
-    only to equal texts.  Rows without an id stay only where their class has no
+    Texts of fewer than five words are near only to the same words, those without words only to
+    equal texts; null counts as empty.  Rows without an id stay only where their class has no
     id at all, one of each text.  An empty table stays empty, further columns stay as they are.
     """
     prepare(spark)
