@@ -10,6 +10,7 @@ from .plans.summary import dataset_counts, dimension_counts, summarize
 from .plans.transfer import transfer_plan
 from .plans.transform import change_storage_class, prune_release, remove_value_from_release
 from .session import build_session, configure
+from .sinks.rewrite import remove_replaced
 from .sources.catalog import Catalog, read_catalog
 from .sources.listing import list_files
 from .sources.release import Release, read_manifest
@@ -29,6 +30,7 @@ __all__ = [
     "prune_release",
     "read_catalog",
     "read_manifest",
+    "remove_replaced",
     "remove_value_from_release",
     "summarize",
     "transfer_plan",
