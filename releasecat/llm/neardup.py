@@ -1,4 +1,9 @@
-"""Near-duplicate classes by ProbMinHash signatures, banding and verification."""
+"""Near-duplicate classes by ProbMinHash signatures, banding and verification.
+
+A shingle that stands ``times`` times in a text weighs ``1 + ln(times)``.  Two texts are linked if the probability
+Jaccard similarity of their weighted shingles is high enough, or the Jaccard similarity of their sets of shingles, to
+which weights of repeated lines do nothing.
+"""
 
 from __future__ import annotations
 
@@ -15,10 +20,10 @@ from .text import keep, mix, partitions, shingles, slices, utf8, words
 
 
 class NearDup(NamedTuple):
-    """Words of a shingle, least Jaccard similarity of two texts, the bands of a signature and their rows, and up to
-    how many texts of a bucket that are apart from its pivot one task compares with each other.
+    """Words of a shingle, least similarity of two texts, the bands of a signature and their rows, and up to how many
+    texts of a bucket that are apart from its pivot one task compares with each other.
 
-    A pair with a similarity of 0.8 shares no band with a chance of 1 in 20,000, however often its shingles repeat.
+    A pair with a similarity of 0.8, weighted or of sets, shares no band with a chance of 1 in 20,000.
     """
 
     shingle: int = 5
@@ -105,18 +110,26 @@ def text_key(text: str = "text"):
 
 
 def band_table(docs: DataFrame, rule: NearDup) -> DataFrame:
-    """``doc_id, key, bands``: of each row the key of its text and its band hashes, none for a text without words."""
+    """``doc_id, key, bands``: of each row the key of its text and its band hashes, none for a text without words.
+
+    The bands are those of the weighted signature.  A text whose weights differ has those of the signature with equal
+    weights as well, which is that of its set; for all other texts the two signatures are the same.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                text, hashes, _ = weighted_shingles(part.column("text"), rule.shingle)
-                # Links are judged by sets: with equal weights the probability Jaccard similarity is that of the sets.
-                even = np.ones(len(hashes))
-                keys = band_keys(signatures(text, hashes, even, len(part), rule.size), rule.bands, rule.rows)
+                text, hashes, weights = weighted_shingles(part.column("text"), rule.shingle)
                 some = np.bincount(text, minlength=len(part)) > 0
-                bounds = np.concatenate([[0], np.cumsum(some * rule.bands)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys[some].ravel().view(np.int64)))
+                uneven = uneven_texts(text, weights, len(part))
+                also = uneven[text]
+                both = np.cumsum(uneven) - 1
+                sets = signatures(both[text[also]], hashes[also], np.ones(also.sum()), int(uneven.sum()), rule.size)
+                weighted = signatures(text, hashes, weights, len(part), rule.size)[some]
+                owner = np.concatenate([np.flatnonzero(some), np.flatnonzero(uneven)])
+                keys = band_keys(np.concatenate([weighted, sets]), rule.bands, rule.rows)[np.argsort(owner, kind="stable")]
+                bounds = np.concatenate([[0], np.cumsum((some + 1 * uneven) * rule.bands)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), lists], ["doc_id", "key", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -124,30 +137,64 @@ def band_table(docs: DataFrame, rule: NearDup) -> DataFrame:
     return keyed.mapInArrow(run, f"doc_id {kind}, key binary, bands array<long>")
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Similarity of two sorted sets."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared / (len(a) + len(b) - shared)
+def uneven_texts(text: np.ndarray, weights: np.ndarray, texts: int) -> np.ndarray:
+    """Which texts have shingles of different weight."""
+    least, most = np.full(texts, np.inf), np.zeros(texts)
+    np.minimum.at(least, text, weights)
+    np.maximum.at(most, text, weights)
+    return most > least
+
+
+class Shingles(NamedTuple):
+    """Sorted hashes of a text's shingles, their weights, and whether the weights differ."""
+
+    hashes: np.ndarray
+    weights: np.ndarray
+    uneven: bool
+
+
+def each_text(column: pa.Array, size: int) -> list[Shingles]:
+    text, hashes, weights = weighted_shingles(column, size)
+    cuts = np.searchsorted(text, np.arange(1, len(column)))
+    parts = zip(np.split(hashes, cuts), np.split(weights, cuts), uneven_texts(text, weights, len(column)).tolist())
+    return [Shingles(*part) for part in parts][: len(column)]
+
+
+def jaccard(a: Shingles, b: Shingles) -> tuple[float, float]:
+    """Jaccard similarity of the sets, and probability Jaccard similarity of the weighted shingles.
+
+    The latter is, summed over the shared shingles d, ``1 / sum over all d' of max(a[d'] / a[d], b[d'] / b[d])``.  With
+    the shared shingles in order of ``a / b`` the first term is the greater for all from d on, the second for all
+    before d.  Texts without shingles are alike to each other only.
+    """
+    if not len(a.hashes) or not len(b.hashes):
+        return (float(len(a.hashes) == len(b.hashes)),) * 2
+    _, at_a, at_b = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
+    sets = len(at_a) / (len(a.hashes) + len(b.hashes) - len(at_a))
+    if not (a.uneven or b.uneven):
+        return sets, sets
+    x, y = a.weights[at_a], b.weights[at_b]
+    order = np.argsort(x / y, kind="stable")
+    x, y = x[order], y[order]
+    from_here = a.weights.sum() - (np.cumsum(x) - x)
+    before = b.weights.sum() - y.sum() + np.cumsum(y) - y
+    return sets, float((1 / (from_here / x + before / y)).sum())
 
 
 def similarities(pairs: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
-    """Exact similarity of pairs of text keys: ``a, b, similarity``.  ``texts`` has ``key`` and ``text``."""
+    """Exact similarities of pairs of text keys: ``a, b, similarity, weighted``.  ``texts`` has ``key`` and ``text``."""
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for name in ("text_a", "text_b"):
-                text, hashes, _ = weighted_shingles(batch.column(name), rule.shingle)
-                sets.append(np.split(hashes, np.searchsorted(text, np.arange(1, len(batch)))))
-            found = pa.array([jaccard(a, b) for a, b in zip(*sets)], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], ["a", "b", "similarity"])
+            sides = [each_text(batch.column(name), rule.shingle) for name in ("text_a", "text_b")]
+            found = np.array([jaccard(a, b) for a, b in zip(*sides)]).reshape(-1, 2)
+            columns = [batch.column("a"), batch.column("b"), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity", "weighted"])
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a binary, b binary, similarity double")
+    return joined.mapInArrow(run, "a binary, b binary, similarity double, weighted double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,7 +221,7 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
 
     ``bands`` has ``key, band`` rows.  In each bucket every text is compared with one pivot, the text that is in the
     most and largest buckets.  A text left in another component than its pivot is compared with the pivot's component
-    unless it is too far from the pivot for a link: Jaccard distance is a metric.
+    unless it is too far from the pivot for a link: Jaccard distance is a metric, that of sets and the weighted one.
     What is still apart is compared in one task if it is little, else it gets a pivot of its own, until nothing is
     left.  So a bucket is connected rightly without its pairs being listed.
     """
@@ -194,7 +241,7 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
         fresh = _pairs(placed.select("key", F.col("pivot").alias("other")), compared)
         now = cut_lineage(similarities(fresh, texts, rule), "similarities")
         compared = now if compared is None else cut_lineage(compared.union(now), "similarities")
-        near = compared.where(F.col("similarity") >= rule.least).select("a", "b")
+        near = compared.where(F.greatest("similarity", "weighted") >= rule.least).select("a", "b")
         links = near if links is None else cut_lineage(links.union(near).distinct(), "links")
         apart, joined = cut_lineage(_apart(placed, components(links)), "apart"), None
         while not apart.isEmpty():
@@ -227,8 +274,7 @@ def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket in _groups(batches, "bucket"):
-            near = shared_similarities(pa.array(bucket["text"], pa.string()), rule.shingle) >= rule.least
-            links = spanning_tree(near)
+            links = connect(compare_block(pa.array(bucket["text"], pa.string()), rule.shingle), rule.least)
             columns = [pa.array([bucket["key"][link[end]] for link in links], pa.binary()) for end in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
@@ -236,24 +282,63 @@ def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> Data
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def shared_similarities(column: pa.Array, size: int) -> np.ndarray:
-    """Exact similarity of each two of a few texts: products of blocks of the table of shared shingles."""
-    text, hashes, _ = weighted_shingles(column, size)
-    held = np.bincount(text, minlength=len(column)).astype(np.float64)
+class Block(NamedTuple):
+    """The shingles of a few texts, exact similarity of each two of their sets, and what their weighted similarity is at
+    most: the share of either text's weight that is on shared shingles.  Where no weights differ it is known: 0 here.
+    """
+
+    texts: list[Shingles]
+    similarity: np.ndarray
+    most: np.ndarray
+
+    def left_open(self, least: float) -> np.ndarray:
+        """Pairs that only their weights may link."""
+        return (self.similarity < least) & (self.most >= least - 1e-4)
+
+    def weighted(self, a: int, b: int) -> float:
+        return jaccard(self.texts[a], self.texts[b])[1]
+
+
+def compare_block(column: pa.Array, size: int) -> Block:
+    """Compare a few texts by products of blocks of the table of shared shingles."""
+    texts = each_text(column, size)
+    held = np.array([len(t.hashes) for t in texts], float)
+    text = np.repeat(np.arange(len(texts)), held.astype(int))
+    hashes = np.concatenate([np.zeros(0, np.uint64), *[t.hashes for t in texts]])
+    share = np.concatenate([np.zeros(0), *[t.weights / t.weights.sum() for t in texts]])
+    uneven = np.array([t.uneven for t in texts], bool)
     _, column_of, times = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = times[column_of] > 1
-    text, column_of = text[shared], (np.cumsum(times > 1) - 1)[column_of[shared]]
+    text, share, column_of = text[shared], share[shared], (np.cumsum(times > 1) - 1)[column_of[shared]]
     order = np.argsort(column_of, kind="stable")
-    text, column_of = text[order], column_of[order]
-    both = np.zeros((len(held), len(held)))
+    text, share, column_of = text[order], share[order], column_of[order]
+    both, mass = np.zeros((2, len(held), len(held)))
     for low in range(0, int(column_of.max(initial=-1)) + 1, 4096):
         a, b = np.searchsorted(column_of, [low, low + 4096])
         table = np.zeros((len(held), 4096), np.float32)
         table[text[a:b], column_of[a:b] - low] = 1
         both += table @ table.T
+        if uneven.any():
+            weight = np.zeros((len(held), 4096), np.float32)
+            weight[text[a:b], column_of[a:b] - low] = share[a:b]
+            mass += weight @ table.T
     np.fill_diagonal(both, held)
     either = held[:, None] + held[None, :] - both
-    return np.where(either > 0, both / np.maximum(either, 1), 1.0)
+    similarity = np.where(either > 0, both / np.maximum(either, 1), 1.0)
+    return Block(texts, similarity, np.where(uneven[:, None] | uneven[None, :], np.minimum(mass, mass.T), 0))
+
+
+def connect(block: Block, least: float) -> list[tuple[int, int]]:
+    """Links that connect the components of a block: those by sets first, then those by weights between what is apart."""
+    links = spanning_tree(block.similarity >= least)
+    part = np.arange(len(block.texts))
+    for a, b in links:
+        part[part == part[b]] = part[a]
+    for a, b in np.argwhere(np.triu(block.left_open(least), 1)).tolist():
+        if part[a] != part[b] and block.weighted(a, b) >= least:
+            links.append((a, b))
+            part[part == part[b]] = part[a]
+    return links
 
 
 def spanning_tree(near: np.ndarray) -> list[tuple[int, int]]:
@@ -298,20 +383,24 @@ def _fringe_links(
 ) -> DataFrame:
     """A link ``a, b`` for each text apart from its pivot that is linked to a text of the pivot's component.
 
-    Left out are texts farther from the pivot than the component's farthest text and a link together reach.  The
-    others are compared with the texts of the component, in a later turn with those that ``joined`` it (pairs of a
-    text and a pivot: a text may join one pivot and stay apart from another), in blocks of at most about ``rule.together`` texts: a task works out a block as a product of matrices and returns one
-    link for a text.
+    Left out are texts farther from the pivot, by sets and by weights, than the component's farthest text and a link
+    together reach.  The others are compared with the texts of the component, in a later turn with those that
+    ``joined`` it (pairs of a text and a pivot: a text may join one pivot and stay apart from another), in blocks of at
+    most about ``rule.together`` texts: a task works out a block as a product of matrices and returns one link for a
+    text.
     """
-    known = compared.select("a", "b", "similarity").union(compared.select("b", "a", "similarity")).toDF("key", "pivot", "similarity")
+    known = compared.select("a", "b", "similarity", "weighted").union(compared.select("b", "a", "similarity", "weighted"))
+    known = known.toDF("key", "pivot", "similarity", "weighted")
     outer = apart.select("key", "pivot").distinct()
     inner = placed.select("key", "pivot").distinct().join(outer, ["key", "pivot"], "left_anti").where(F.col("key") != F.col("pivot"))
     inner = inner.join(known, ["key", "pivot"])
     if joined is not None:
         inner = inner.join(joined, ["key", "pivot"], "left_semi")
-    sizes = inner.groupBy("pivot").agg(F.count(F.lit(1)).alias("inside"), F.min("similarity").alias("farthest"))
+    measures = ("similarity", "weighted")
+    sizes = inner.groupBy("pivot").agg(F.count(F.lit(1)).alias("inside"), *[F.min(c).alias(f"farthest_{c}") for c in measures])
     outer = outer.join(known, ["key", "pivot"]).join(sizes, "pivot")
-    outer = outer.where(F.col("similarity") >= F.col("farthest") - (1 - rule.least) - 1e-9).select("key", "pivot")
+    by_sets, by_weights = [F.col(c) >= F.col(f"farthest_{c}") - (1 - rule.least) - 1e-9 for c in measures]
+    outer = outer.where(by_sets | by_weights).select("key", "pivot")
     half = rule.together / 2
     blocks = outer.groupBy("pivot").agg(F.count(F.lit(1)).alias("outside")).join(sizes, "pivot")
     blocks = cut_lineage(blocks.select("pivot", F.ceil(F.col("outside") / half).alias("rows"), F.ceil(F.col("inside") / half).alias("columns")), "blocks")
@@ -327,11 +416,16 @@ def _fringe_links(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _groups(batches, "block"):
-            keys, outside, column = block["key"], np.array(block["outer"]), pa.array(block["text"], pa.string())
-            near = shared_similarities(column, rule.shingle)[outside][:, ~outside]
-            best = near.argmax(1) if near.size else np.zeros(0, int)
-            a, b = np.flatnonzero(outside), np.flatnonzero(~outside)
-            found = [(keys[a[i]], keys[b[j]]) for i, j in enumerate(best.tolist()) if near[i, j] >= rule.least]
+            keys, outside = block["key"], np.array(block["outer"])
+            compare = compare_block(pa.array(block["text"], pa.string()), rule.shingle)
+            inside, found = np.flatnonzero(~outside), []
+            near, unknown = compare.similarity >= rule.least, compare.left_open(rule.least)
+            for one in np.flatnonzero(outside).tolist():
+                links = inside[near[one, inside]].tolist()
+                weighed = (other for other in inside[unknown[one, inside]].tolist() if compare.weighted(one, other) >= rule.least)
+                other = links[0] if links else next(weighed, None)
+                if other is not None:
+                    found.append((keys[one], keys[other]))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     spread = rows.repartition(partitions(placed), "block").sortWithinPartitions("block", "key", "outer")
@@ -358,8 +452,8 @@ def near_duplicate_classes(
 ) -> DataFrame:
     """Class of every document: ``doc_id, class_id, text_key``; the class id is the least id in the class.
 
-    Texts are in one class if a chain of links leads from one to the other; a link is a Jaccard similarity of at least
-    ``rule.least`` between the sets of word shingles, or an equal text.  Copies are collapsed before anything is
+    Texts are in one class if a chain of links leads from one to the other; a link is a similarity of at least
+    ``rule.least`` between their word shingles, weighted or as sets, or an equal text.  Copies are collapsed before anything is
     compared.  Null texts are empty; texts without words are linked to equal texts only; rows with one id keep their
     own classes; a class of rows without an id has a null id; an empty table gives no rows.
     """

@@ -1,8 +1,9 @@
 """Near-duplicate classes against all pairs, and signatures against the similarity they estimate."""
 
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -11,11 +12,14 @@ import pyarrow as pa
 from releasecat.llm.neardup import (
     NearDup,
     band_table,
+    compare_block,
     components,
+    connect,
+    each_text,
     find_links,
+    jaccard,
     keep_one_of_each,
     near_duplicate_classes,
-    shared_similarities,
     signatures,
     spanning_tree,
     text_key,
@@ -25,9 +29,26 @@ from releasecat.llm.neardup import (
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def shingle_set(text):
+def shingle_weights(text):
     words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    times = Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else {}
+    return {s: 1 + math.log(n) for s, n in times.items()}
+
+
+def linked(a, b, least):
+    """Whether the sets, or the weighted shingles by the definition of their similarity, are alike."""
+    shared = a.keys() & b.keys()
+    if len(shared) >= least * len(a.keys() | b.keys()):
+        return True
+    if min(sum(w[s] for s in shared) / sum(w.values()) for w in (a, b)) < least:
+        return False
+    return by_definition(a, b) >= least
+
+
+def by_definition(a, b):
+    every = sorted(a.keys() | b.keys())
+    x, y = (np.array([w.get(s, 0) for s in every]) for w in (a, b))
+    return sum(1 / np.maximum(x / p, y / q).sum() for p, q in zip(x, y) if p and q)
 
 
 def classes(rows, least=0.8):
@@ -39,14 +60,14 @@ def classes(rows, least=0.8):
             i = parent[i]
         return i
 
-    sets, holders, by_text = [shingle_set(t) for _, t in rows], defaultdict(list), {}
+    sets, holders, by_text = [shingle_weights(t) for _, t in rows], defaultdict(list), {}
     for i, s in enumerate(sets):
         parent[root(i)] = root(by_text.setdefault(rows[i][1] or "", i))
         for x in s:
             holders[x].append(i)
     pairs = {p for h in holders.values() for p in combinations(h, 2)}
     for a, b in pairs:
-        if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+        if root(a) != root(b) and linked(sets[a], sets[b], least):
             parent[root(a)] = root(b)
     groups = defaultdict(list)
     for i in range(len(rows)):
@@ -105,8 +126,8 @@ def test_a_member_apart_in_another_bucket_still_links(spark):
 def test_small_buckets_are_compared_exactly():
     random.seed(3)
     texts = ["", "a", "a b c d e f"] + [" ".join(f"w{random.randint(0, 9) if random.random() < 0.1 else i}" for i in range(60)) for _ in range(30)]
-    found = shared_similarities(pa.array(texts), 5)
-    sets = [shingle_set(t) for t in texts]
+    found = compare_block(pa.array(texts), 5).similarity
+    sets = [shingle_weights(t).keys() for t in texts]
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
             assert abs(found[i, j] - (len(a & b) / len(a | b) if a | b else 1)) < 1e-12
@@ -114,6 +135,42 @@ def test_small_buckets_are_compared_exactly():
     assert len(spanning_tree(near)) == len(texts) - _parts(near)
 
 
+def repeating(rng, n):
+    """Texts of a few families whose lines repeat from one to sixty times."""
+    lines = [[" ".join(f"f{f}l{i}w{k}" for k in range(9)) for i in range(12)] for f in range(3)]
+    return ["\n".join(line for line in lines[f % 3] if rng.random() < 0.9 for _ in range(rng.choice([1, 1, 2, 20, 60]))) + f" end {f}" for f in range(n)]
+
+
+def test_weighted_similarity_equals_its_definition():
+    texts = ["", "a", *repeating(random.Random(8), 20)]
+    own, held = [shingle_weights(t) for t in texts], each_text(pa.array(texts), 5)
+    block = compare_block(pa.array(texts), 5)
+    for i, a in enumerate(own):
+        for j, b in enumerate(own):
+            sets, weighted = jaccard(held[i], held[j])
+            exact = by_definition(a, b) if a and b else float(i == j)
+            assert abs(weighted - exact) < 1e-12 and abs(sets - block.similarity[i, j]) < 1e-12
+            assert i == j or not (held[i].uneven or held[j].uneven) or weighted <= block.most[i, j] + 1e-5
+    for least in (0.5, 0.6, 0.7, 0.8):
+        near = np.array([[i == j or bool(a and b) and linked(a, b, least) for j, b in enumerate(own)] for i, a in enumerate(own)])
+        links = connect(block, least)
+        assert all(near[a, b] for a, b in links) and len(links) == len(texts) - _parts(near)
+
+
+def test_links_by_weight_alone(spark):
+    """Texts that share what they repeat and differ in much that stands once."""
+    rng = random.Random(9)
+    shared = [" ".join(f"line{i}w{k}" for k in range(12)) for i in range(8)]
+    rows = [(n, "\n".join(shared * 40) + "".join(f" own{n}x{i}" for i in range(30))) for n in range(9)]
+    a, b = shingle_weights(rows[0][1]), shingle_weights(rows[1][1])
+    assert len(a.keys() & b.keys()) < 0.7 * len(a.keys() | b.keys()) and by_definition(a, b) >= 0.8
+    rows += [(100 + n, text) for n, text in enumerate(repeating(rng, 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = classes(rows)
+    assert {c for i, c in expected if i < 100} == {0}
+    assert sorted((r.doc_id, r.class_id) for r in near_duplicate_classes(docs).collect()) == expected
+
+
 def _parts(near):
     seen, parts = set(), 0
     for i in range(len(near)):
