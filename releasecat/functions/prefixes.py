@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -57,3 +57,42 @@ class PrefixIndex:
             return pa.array(rows, _ARROW)
 
         return F.arrow_udf(run, FIT)(text)
+
+
+def _rank(fit: tuple) -> tuple:
+    """Order of fits; what has no value comes first, as in Spark."""
+    return tuple((value is not None, value) if value is not None else (False,) for value in fit)
+
+
+def sweep_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fit of each text among the prefixes before it, of rows that are in order.
+
+    Rows of kind 0 are prefixes, those of kind 1 texts; equal prefixes come first.  Only the prefixes that begin the
+    row at hand are kept, each with the first in order of all around it.
+    """
+    around: list[tuple[str, tuple, tuple]] = []
+    for batch in batches:
+        kinds = batch.column("__kind").to_pylist()
+        texts, positions = batch.column("__text").to_pylist(), batch.column("position").to_pylist()
+        names, fits = batch.column("datastore_name").to_pylist(), []
+        for kind, text, position, name in zip(kinds, texts, positions, names):
+            if text is None:
+                if kind:
+                    fits.append(None)
+                continue
+            while around and not text.startswith(around[-1][0]):
+                around.pop()
+            if kind:
+                fits.append(around[-1][2] if around else None)
+            else:
+                fit = (position, name, len(text))
+                rank = _rank(fit)
+                if around and around[-1][1] < rank:
+                    _, rank, fit = around[-1]
+                around.append((text, rank, fit))
+        kept = batch.filter(pa.array([kind == 1 for kind in kinds], pa.bool_()))
+        rows = [None if fit is None else dict(zip(("position", "datastore_name", "length"), fit)) for fit in fits]
+        yield pa.RecordBatch.from_arrays(
+            [kept.column("__row"), kept.column("__text"), kept.column("__slice"), pa.array(rows, _ARROW)],
+            names=["__row", "__text", "__slice", "__fit"],
+        )

@@ -7,9 +7,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.paths import is_absolute, join_root, lookup, physical_file, strip_prefix
-from ..functions.prefixes import FIT, PrefixIndex
+from ..functions.prefixes import FIT, PrefixIndex, sweep_prefixes
+from ..schemas import as_nullable
 from ..session import cut_lineage
 from .selection import union_by_name
 
@@ -109,15 +111,16 @@ def _with_mapping(datastore: DataFrame, mapping: Mapping[str, str] | DataFrame,
 
 def _table_mapping(datastore: DataFrame, mapping: DataFrame, path: str) -> DataFrame:
     """A mapping table is measured once it is stored: what a task can hold is searched there, so that records stay
-    where they are; a larger one is joined."""
+    where they are; a larger one is swept along with them."""
     grouped = mapping.groupBy("prefix").agg(F.min(F.struct("position", "datastore_name")).alias("target"))
     prefixes = cut_lineage(grouped.select("prefix", "target.position", "target.datastore_name"), "mapping")
     size = prefixes.agg(
         F.count(F.lit(1)).alias("prefixes"),
         F.coalesce(F.sum(F.length("prefix") + F.length("datastore_name")), F.lit(0)).alias("characters"),
+        F.coalesce(F.max(F.length("prefix")), F.lit(0)).alias("longest"),
     ).first()
     if size["prefixes"] > INDEX_PREFIXES or size["characters"] > INDEX_CHARACTERS:
-        return _join_mapping(datastore, prefixes, path)
+        return _sweep_mapping(datastore, prefixes, size["longest"], path)
     entries = prefixes.select(F.col("position").cast("long"), "prefix", "datastore_name").collect()
     return datastore.withColumn("__fit", PrefixIndex(entries).column(F.col(path)))
 
@@ -128,20 +131,50 @@ def _earliest(fits: list[Column]) -> Column:
     return F.least(*fits) if len(fits) > 1 else fits[0]
 
 
-def _join_mapping(datastore: DataFrame, mapping: DataFrame, path: str) -> DataFrame:
-    # A "starts with" join compares every pair.  Prefixes of one length are an
-    # equality on that many leading characters instead: one left join for each
-    # length in use, of which there are no more than characters in the longest.
+_SWEPT = "__text string, __slice int, __fit " + FIT
+
+
+def _sweep_mapping(datastore: DataFrame, mapping: DataFrame, longest: int, path: str) -> DataFrame:
+    """Records and prefixes are brought into one order and dealt in ranges of it; a sweep over a range knows the
+    prefixes that its place lies in.
+
+    A prefix of an earlier range that begins any text of a range begins its first text too, because all texts between
+    have the same beginning.  So the beginnings of one text for each range are looked for in the mapping, and what is
+    found is compared with the texts of that range.  Every record moves once, however many lengths there are.
+    """
+    order = ["__text", "__kind", "__spread"]
+    record = datastore.select(F.struct("*").alias("__row"), F.col(path).alias("__text"))
+    records = record.select(
+        "__row",
+        "__text",
+        F.lit(1).alias("__kind"),
+        # Equal texts are cut into ranges too.
+        F.monotonically_increasing_id().alias("__spread"),
+        F.lit(None).cast("bigint").alias("position"),
+        F.lit(None).cast("string").alias("datastore_name"),
+    )
     prefixes = mapping.select(
-        F.col("prefix").alias("__prefix"),
-        F.length("prefix").alias("__length"),
-        F.struct(F.col("position").cast("long"), "datastore_name", F.length("prefix").alias("length")).cast(_FIT).alias("__found"),
+        F.lit(None).cast(record.schema["__row"].dataType).alias("__row"),
+        F.col("prefix").alias("__text"),
+        F.lit(0).alias("__kind"),
+        F.lit(0).cast("bigint").alias("__spread"),
+        F.col("position").cast("bigint").alias("position"),
+        "datastore_name",
+    )
+    ranges = records.unionByName(prefixes).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = ranges.select("__row", "__text", "__kind", F.spark_partition_id().alias("__slice"), "position", "datastore_name")
+    rows = T.StructType([T.StructField("__row", record.schema["__row"].dataType), *T._parse_datatype_string(_SWEPT).fields])
+    swept = cut_lineage(placed.mapInArrow(sweep_prefixes, as_nullable(rows)), "fits")
+
+    first = swept.groupBy("__slice").agg(F.min("__text").alias("__first"))
+    cuts = F.sequence(F.lit(0), F.least(F.length("__first"), F.lit(longest)))
+    begins = first.select("__slice", "__first", F.explode(cuts).alias("__cut")).select(
+        "__slice", F.substring("__first", F.lit(1), F.col("__cut")).alias("prefix")
     )
-    lengths = [row[0] for row in prefixes.select("__length").distinct().sort("__length").collect()]
-    matched, fits = datastore, []
-    for length in lengths:
-        table = prefixes.where(F.col("__length") == length).select("__prefix", F.col("__found").alias(f"__fit_{length}"))
-        start = F.substring(matched[path], 1, length)
-        matched = matched.join(table, start == table["__prefix"], "left").drop("__prefix")
-        fits.append(F.col(f"__fit_{length}"))
-    return matched.withColumn("__fit", _earliest(fits)).drop(*[f"__fit_{length}" for length in lengths])
+    outer = F.struct("prefix", F.struct(F.col("position").cast("bigint"), "datastore_name", F.length("prefix").alias("length")).cast(FIT).alias("fit"))
+    # As many rows as there are ranges, each with the prefixes that are nested around one text.
+    around = mapping.join(begins, "prefix").groupBy("__slice").agg(F.collect_list(outer).alias("__around"))
+    holds = F.filter("__around", lambda one: F.startswith(F.col("__text"), one["prefix"]))
+    earliest = F.array_min(F.transform(holds, lambda one: one["fit"]))
+    joined = swept.join(F.broadcast(around), "__slice", "left")
+    return joined.select("__row.*", F.least("__fit", earliest).alias("__fit"))

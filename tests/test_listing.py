@@ -96,3 +96,26 @@ def test_many_prefixes_leave_records_in_place(spark, monkeypatch, limit):
     assert "Exchange" not in results[0]._jdf.queryExecution().executedPlan().toString()
     if limit:
         assert "Exchange" not in results[1]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_move_once_however_many_lengths_prefixes_have(spark, monkeypatch):
+    monkeypatch.setattr(path_operators, "INDEX_PREFIXES", 0)
+    pick = random.Random(3)
+    words = ["".join(pick.choice("ab\U0001F600é") for _ in range(pick.randint(0, 40))) for _ in range(600)]
+    nested = ["a" * n for n in range(0, 60, 3)]
+    entries = [(p, prefix, f"n{p}") for p, prefix in enumerate(pick.sample(sorted({*words[:300], *nested}), 300))]
+    texts = [*words, *[w + "/f" for w in words], *["a" * n + "z" for n in range(80)], *["aab"] * 500, "", None]
+    records = spark.createDataFrame(list(enumerate(texts)), "n long, path string").repartition(5)
+    table = spark.createDataFrame([(None, None, "none"), *entries], "position int, prefix string, datastore_name string")
+    index = PrefixIndex(entries)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # More ranges than there are texts of some beginnings, so that prefixes reach over several of them.
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        mapped = path_operators._with_mapping(records, table, "path")
+        found = {r["n"]: r["__fit"] and tuple(r["__fit"]) for r in mapped.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found == {n: text if text is None else index.find(text) for n, text in enumerate(texts)}
+    assert "SortMergeJoin" not in mapped._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
