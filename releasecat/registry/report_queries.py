@@ -347,7 +347,7 @@ def progress_stream(spark, sf_dir):
     """The same fold as a stream over event files, a file at a time, so that most types change in several triggers."""
     source, target = staging_path(spark, "events"), staging_path(spark, "folded")
     progress_events(spark, sf_dir).repartition(3).write.parquet(source)
-    write_progress(read_events(spark, source, 1), target).awaitTermination()
+    write_progress(read_events(spark, source, 1), target, by_type=False).awaitTermination()
     return read_progress(spark, target)
 
 

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from releasecat import fs
 from releasecat.operators.joins import (
     fill_sizes,
     keep_matching,
@@ -26,6 +27,7 @@ from releasecat.operators.transfer import (
 from releasecat.operators.validation import duplicate_ids, missing_types
 from releasecat.schemas import PROGRESS_EVENTS, STANDARD_SPEC
 from releasecat.session import staging_path
+from releasecat.streaming import progress as progress_stream
 from releasecat.streaming.progress import read_events, read_progress, write_progress
 
 
@@ -150,6 +152,25 @@ def test_progress_of_batch_and_stream_agree(spark):
     assert rows_of(read_progress(spark, target)) == [("007", 4, 1, "working"), expected[0], ("b", 3, 3, "working"), expected[2]]
 
 
+def test_many_types_share_the_files_of_a_trigger(spark, monkeypatch):
+    monkeypatch.setattr(progress_stream, "CHANGES", 3)
+    source, target, place = (staging_path(spark, n) for n in ("events", "folded", "place"))
+    seen = []
+    for load in range(8):
+        events = [("started", f"t{n}", n, None) for n in range(load * 10)] + [("progress", "007", None, 1), ("progress", None, None, load)]
+        spark.createDataFrame(events, PROGRESS_EVENTS).coalesce(1).write.mode("append").parquet(source)
+        seen += events
+        write_progress(read_events(spark, source, 1), target, place, by_type=False).awaitTermination()
+        expected = rows_of(fold_progress(spark.createDataFrame(seen, PROGRESS_EVENTS)).fillna("-", ["dataset_type"]))
+        assert rows_of(read_progress(spark, target).fillna("-", ["dataset_type"])) == expected
+        # A folder for each trigger since the last three were joined, and none for each type.
+        assert len([n for n in fs.list_names(spark, target) if n.startswith("version=")]) <= 4
+    # Joining that was cut short before the earlier versions went is repeated without harm.
+    progress_stream._join_versions(spark, target, 100)
+    progress_stream._join_versions(spark, target, 100)
+    assert rows_of(read_progress(spark, target).fillna("-", ["dataset_type"])) == expected
+
+
 def test_find_first_gives_one_row_for_each_key_with_null_keys(spark):
     df = spark.createDataFrame(
         [("t", 1, None, 2, 5), ("t", 1, None, 1, 9), ("t", 1, None, 1, 8), ("u", 1, None, 3, 1)],
