@@ -4,6 +4,12 @@ No side is marked for broadcast here: Spark broadcasts a side itself when its
 measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
 shuffles, where adaptive execution splits a hot key.  The key side is made
 distinct before it is shuffled, so only the split side can hold a hot key.
+
+That size is not measured where a side is read from files: it is that of the
+files, cut down to the columns in use, and once a broadcast is planned adaptive
+execution keeps it, as the shuffles of the other plan cost more.  Keys next to
+columns without values look a hundred times smaller than they are.  Sides that
+grow with the release are therefore ``shuffled``.
 """
 
 from __future__ import annotations
@@ -29,6 +35,11 @@ def key_set(keys: DataFrame, columns: Sequence[str]) -> DataFrame:
     return keys.select(*columns).dropna().distinct()
 
 
+def shuffled(keys: DataFrame) -> DataFrame:
+    """The key side of a join that must not pass through the driver, however small its files look."""
+    return keys.hint("merge")
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: On, unique_keys: bool = False) -> DataFrame:
     """Rows whose key is present in ``keys``; ``unique_keys`` says that they need no ``distinct``."""
     return _existence(df, keys, as_pairs(on), unique_keys, "left_semi")
@@ -77,7 +88,7 @@ def other_side(definition: DataFrame, keys: DataFrame, on: Sequence[str], wanted
 def orphans(child: DataFrame, parent: DataFrame, on: On) -> DataFrame:
     """Child rows that refer to no parent row; a NULL reference refers to nothing and is no orphan."""
     pairs = as_pairs(on)
-    return keep_missing(child.dropna(subset=list(pairs)), parent, pairs)
+    return keep_missing(child.dropna(subset=list(pairs)), shuffled(parent), pairs)
 
 
 def skip_existing(plan: DataFrame, listing: DataFrame, on: On = "destination") -> DataFrame:

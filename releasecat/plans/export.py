@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import fs
 from ..functions.identifiers import or_unbounded
 from ..operators.collections import flatten_collections
-from ..operators.joins import keep_matching, keep_missing
+from ..operators.joins import keep_matching, keep_missing, shuffled
 from ..operators.paths import make_paths_absolute
 from ..operators.search import associations, extra_runs, find_first, search, search_all
 from ..operators.selection import resolve_names
@@ -71,7 +71,7 @@ def select_release(
     referenced = cut_lineage(resolved.unionByName(added), "referenced")
     if provenance:
         known = select_datasets(catalog, provenance, referenced, all_versions=True)
-        already = keep_missing(known, found, "dataset_id", unique_keys=True)
+        already = keep_missing(known, shuffled(found), "dataset_id", unique_keys=True)
         found = found.unionByName(cut_lineage(already, "provenance", "dataset_type"))
     names = {t["name"] for t in chosen}
     return Selection([*chosen, *[t for t in provenance if t["name"] not in names]], found, referenced)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import fs
 from ..functions.identifiers import or_unbounded
 from ..operators.collections import add_alias_chain, chain_edges, collection_nodes
-from ..operators.joins import keep_missing, orphans
+from ..operators.joins import keep_missing, orphans, shuffled
 from ..operators.progress import load_events
 from ..operators.validation import (
     ReleaseCheckError,
@@ -52,7 +52,7 @@ def _key(df: DataFrame, columns: Iterable[str]) -> Column:
 
 def _missing_keys(named: DataFrame, known: Iterable[DataFrame]) -> DataFrame:
     """Rows of ``named`` whose ``element`` and ``key`` no table of ``known`` holds: one anti-join for all elements."""
-    held = reduce(DataFrame.unionByName, known)
+    held = shuffled(reduce(DataFrame.unionByName, known))
     return keep_missing(named, held, {"element": "element", "key": "key"}, unique_keys=True)
 
 
@@ -110,7 +110,7 @@ def stray_rows(release: Release) -> DataFrame:
     ids = release.read_all_datasets().select(*keys)
     kinds = {"datastore": release.read_all_datastore(), "association": release.read_all_associations()}
     rows = reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("kind"), *keys) for kind, df in kinds.items()])
-    missing = keep_missing(rows, ids, keys, unique_keys=True)
+    missing = keep_missing(rows, shuffled(ids), keys, unique_keys=True)
     return missing.groupBy("kind", "dataset_type").agg(F.count(F.lit(1)).alias("orphans"))
 
 

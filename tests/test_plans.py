@@ -10,6 +10,7 @@ from releasecat.operators.joins import keep_matching, keep_matching_any
 from releasecat.operators.paths import make_paths_absolute, map_to_datastores
 from releasecat.operators.search import find_first
 from releasecat.operators.summary import files_without_size, release_summary
+from releasecat.plans.load import dataset_orphans, record_orphans, reference_report, stray_rows
 from releasecat.registry import adapters, dump_queries
 from releasecat.registry.base import table
 from releasecat.schemas import DATASTORE, as_nullable
@@ -139,3 +140,22 @@ def test_sorted_writes_keep_the_order_across_files(spark, sf_dir):
     assert len(files) > 1
     names = [r["collection"] for f in files for r in spark.read.parquet(f).select("collection").collect()]
     assert names == sorted(names)
+
+
+def test_sides_that_grow_with_a_release_are_not_planned_as_broadcasts(spark, sf_dir):
+    release = dump_queries.exported(spark, sf_dir)
+    reports = {
+        "reference_report": reference_report(release, "visit_definition"),
+        "dataset_orphans": dataset_orphans(release),
+        "record_orphans": record_orphans(release),
+        "stray_rows": stray_rows(release),
+    }
+    for name, report in reports.items():
+        # The plan before it runs: what is broadcast there stays so, whatever size is measured.
+        joins = [line for line in plan_of(report).splitlines() if "LeftAnti" in line]
+        assert joins and not any("BroadcastHashJoin" in line for line in joins), name
+
+
+def test_numbers_lead_the_sort_of_find_first(spark, sf_dir):
+    plan = plan_of(find_first(adapters.datasets(spark, sf_dir).withColumn("search_rank", F.lit(1)), ["dataset_type", "instrument", "visit"]))
+    assert "Sort [visit" in plan
