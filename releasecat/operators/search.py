@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..schemas import RUN
 from .collections import association_collections, search_collections
@@ -41,7 +42,9 @@ def find_first(
     The limit of one row for a key is applied before the shuffle as well, so a
     hot key sends one row from each partition.
     """
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in rank])
+    # Numbers first: rows are sorted by the keys, and the first bytes of a number tell more than those of a name.
+    numbers = [c for c in keys if isinstance(candidates.schema[c].dataType, IntegralType)]
+    window = Window.partitionBy(*numbers, *[c for c in keys if c not in numbers]).orderBy(*[F.col(c).asc_nulls_last() for c in rank])
     return candidates.withColumn("__place", F.row_number().over(window)).where("__place = 1").drop("__place")
 
 

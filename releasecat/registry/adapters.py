@@ -25,7 +25,8 @@ DAY_NSEC = 86_400_000_000_000
 
 def dataset_key(prefix: str, number) -> F.Column:
     """16-byte id: a hex digit for the kind of dataset, then the number."""
-    return F.unhex(F.concat(F.lit(prefix), F.lpad(F.hex(number.cast("long")), 31, "0")))
+    # The digit and the zeros after it are one constant: only the number's 16 digits are made for each row.
+    return F.concat(F.unhex(F.lit(prefix + "0" * 15)), F.unhex(F.lpad(F.hex(number.cast("long")), 16, "0")))
 
 
 def order_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:

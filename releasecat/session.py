@@ -20,6 +20,10 @@ RUNTIME_CONF = {
     # Split a hot join key even where that costs one more shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Shuffled keys and ids are small when compressed: what one task reads is bounded, whatever the number of cores, and
+    # a side that fits in that is hashed instead of sorted.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16MB",
     # Chains nest as deep as they like: a walk ends where a name repeats.
     "spark.sql.cteRecursionLevelLimit": "-1",
     "spark.sql.parquet.compression.codec": "zstd",
