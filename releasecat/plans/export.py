@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, Row
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..functions.identifiers import or_unbounded
-from ..operators.collections import flatten_collections
+from ..operators.collections import association_collections, flatten_collections
 from ..operators.joins import keep_matching, keep_missing, shuffled
 from ..operators.paths import make_paths_absolute
 from ..operators.search import associations, extra_runs, find_first, search, search_all
@@ -19,7 +19,7 @@ from ..operators.selection import resolve_names
 from ..operators.validation import require_none
 from ..schemas import COLLECTIONS, DATASTORE, RUN, as_nullable, by_dimensions
 from ..sinks.manifest import type_entry, write_manifest
-from ..session import cut_lineage, run_together
+from ..session import FEW, cut_lineage, run_together, side_by_side
 from ..sinks.tables import write_by_type, write_collections, write_dimension
 from ..sources.catalog import Catalog
 from ..sources.release import Release
@@ -34,6 +34,7 @@ class Selection:
     types: list[Row]
     datasets: DataFrame
     collections: DataFrame
+    memberships: DataFrame
 
 
 def select_datasets(
@@ -62,8 +63,9 @@ def select_release(
     """Search the collections, then take provenance from every run that was found."""
     chosen = resolve_names(catalog.dataset_types, types).orderBy("name").collect()
     provenance = resolve_names(catalog.dataset_types, provenance_types).orderBy("name").collect()
-    resolved = flatten_collections(catalog.collections, collections)
-    found = cut_lineage(select_datasets(catalog, chosen, resolved), "datasets", "dataset_type")
+    catalog, resolved = store_searched(catalog, [t["name"] for t in [*chosen, *provenance]], collections)
+    with side_by_side(catalog.datasets.sparkSession, len(chosen)):
+        found = cut_lineage(select_datasets(catalog, chosen, resolved), "datasets", "dataset_type")
     runs = extra_runs(found, resolved)
     added = keep_matching(
         catalog.collections.where(F.col("type") == RUN), runs, {"name": "run"}, unique_keys=True
@@ -74,7 +76,28 @@ def select_release(
         already = keep_missing(known, shuffled(found), "dataset_id", unique_keys=True)
         found = found.unionByName(cut_lineage(already, "provenance", "dataset_type"))
     names = {t["name"] for t in chosen}
-    return Selection([*chosen, *[t for t in provenance if t["name"] not in names]], found, referenced)
+    return Selection([*chosen, *[t for t in provenance if t["name"] not in names]], found, referenced, catalog.memberships)
+
+
+def store_searched(catalog: Catalog, types: Sequence[str], collections: Sequence[str]) -> tuple[Catalog, DataFrame]:
+    """The catalog as far as a search for these types reads it, and the resolved collections.
+
+    Every search reads datasets and memberships more than once.  They are stored
+    with the rows that can be found, so that their sources are read once.
+    """
+
+    def resolve() -> tuple[DataFrame, DataFrame, DataFrame]:
+        known = cut_lineage(catalog.collections, "known-collections")
+        resolved = flatten_collections(known, collections)
+        searched = association_collections(resolved)
+        reached = keep_matching(catalog.memberships, searched, {"collection": "name"}, unique_keys=True).select(
+            "dataset_id", "collection", "timespan"
+        )
+        return known, resolved, cut_lineage(reached, "memberships")
+
+    wanted = catalog.datasets.where(F.col("dataset_type").isin(list(types)))
+    (known, resolved, memberships), datasets = run_together([resolve, partial(cut_lineage, wanted, "wanted")])
+    return replace(catalog, collections=known, memberships=memberships, datasets=datasets), resolved
 
 
 def datastore_for(datasets: DataFrame, datastore: DataFrame) -> DataFrame:
@@ -108,13 +131,14 @@ def export_release(
 
     entries = [type_entry(t) for t in selection.types]
     files = {e["dataset_type"]["name"]: e for e in entries}
-    entries_found = cut_lineage(
-        associations(selection.datasets, catalog.memberships, selection.collections).withColumn(
-            "timespan", or_unbounded("timespan")
-        ),
-        "associations",
-        "dataset_type",
-    )
+    with side_by_side(spark, len(files)):
+        entries_found = cut_lineage(
+            associations(selection.datasets, selection.memberships, selection.collections).withColumn(
+                "timespan", or_unbounded("timespan")
+            ),
+            "associations",
+            "dataset_type",
+        )
     for dimensions, names in by_dimensions(selection.types).items():
         jobs.append(
             partial(
@@ -122,6 +146,7 @@ def export_release(
                 selection.datasets,
                 catalog.spec.dataset_schema(dimensions),
                 {n: f"{directory}/{files[n]['dataset_export_file']}" for n in names},
+                spread=False,
             )
         )
         jobs.append(
@@ -139,9 +164,11 @@ def export_release(
         records = make_paths_absolute(records, catalog.roots)
     record_files = {n: f"{directory}/{e['datastore_export_file']}" for n, e in files.items()}
     collection_rows = selection.collections.select(*COLLECTIONS.names)
-    jobs.append(partial(write_by_type, records, DATASTORE, record_files))
+    # A task that joins records of few types writes a file for each of them; they are not shuffled again.
+    jobs.append(partial(write_by_type, records, DATASTORE, record_files, spread=len(record_files) > FEW))
     jobs.append(partial(write_collections, collection_rows, f"{directory}/{COLLECTIONS_FILE}"))
-    run_together(jobs)
+    with side_by_side(spark, len(record_files)):
+        run_together(jobs)
     # A path without a known root came out NULL.  Column statistics let the scan skip what has none.
     written = spark.read.schema(as_nullable(DATASTORE)).parquet(*record_files.values())
     require_none(written.where(F.col("path").isNull()).select("datastore_name"), "Relative paths in a datastore without a root")

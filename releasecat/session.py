@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,9 @@ RUNTIME_CONF = {
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+# How many files a task may write at the same time.
+FEW = 8
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -97,8 +101,23 @@ def cut_lineage(df: DataFrame, label: str = "stored", *partition_by: str) -> Dat
     return df.sparkSession.read.schema(as_nullable(df.schema)).parquet(path)
 
 
-def run_together(jobs: Iterable[Callable[[], object]], limit: int = 8) -> None:
-    """Run independent jobs at the same time, so that small ones do not wait for each other."""
+@contextmanager
+def side_by_side(spark: SparkSession, values: int) -> Iterator[None]:
+    """Inside, a task of a partitioned write has a file open for each of ``values`` values, at most ``FEW``, and does not
+    sort its rows by them first.  No write inside may have more: what is above the limit is sorted and loses its order."""
+    if values > FEW:
+        yield
+        return
+    before = spark.conf.get(WRITERS)
+    # Spark starts to sort when the limit is reached.
+    spark.conf.set(WRITERS, str(values + 1))
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, before)
+
+
+def run_together(jobs: Iterable[Callable[[], object]], limit: int = 8) -> list:
+    """Run independent jobs at the same time, so that small ones do not wait for each other; their results in order."""
     with ThreadPoolExecutor(limit) as pool:
-        for done in [pool.submit(job) for job in jobs]:
-            done.result()
+        return [done.result() for done in [pool.submit(job) for job in jobs]]

@@ -30,7 +30,8 @@ def write_collections(df: DataFrame, path: str) -> None:
 
 
 def write_dimension(df: DataFrame, path: str, spec: DimensionSpec, name: str) -> None:
-    write_table(df, path, spec.record_schema(name))
+    """Write records as the tasks that read them have them: tables of a catalog are read in even splits."""
+    conform(df, spec.record_schema(name)).write.option("compression", "zstd").parquet(path)
 
 
 def write_by_type(
@@ -38,13 +39,16 @@ def write_by_type(
     schema: T.StructType,
     targets: Mapping[str, str],
     order: tuple[str, ...] = (),
+    spread: bool = True,
 ) -> None:
     """Write one table for each dataset type, all types in one job.
 
     ``targets`` maps each type to the path of its table.  The job writes a
     partitioned table in the shared folder; its partitions are then renamed.  A
     type without rows gets an empty table.  Rebalancing cuts a type that is too
-    large for one task and an order is kept inside each file.
+    large for one task and an order is kept inside each file.  Without ``spread``
+    each task writes the rows it has, a file for each of its types: for rows that
+    lie in even partitions already and have few types or are stored by type.
     """
     spark = df.sparkSession
     first_target = next(iter(targets.values()))
@@ -53,7 +57,7 @@ def write_by_type(
     rows = conform(df.where(df["dataset_type"].isin(list(targets))), typed)
     if order:
         rows = rows.repartitionByRange("dataset_type", *order).sortWithinPartitions("dataset_type", *order)
-    else:
+    elif spread:
         rows = rows.hint("rebalance", "dataset_type")
     rows.write.mode("overwrite").partitionBy("dataset_type").option("compression", "zstd").parquet(staged)
     written = {n for n in fs.list_names(spark, staged) if n.startswith("dataset_type=")}

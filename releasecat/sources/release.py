@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -178,18 +180,24 @@ class Release:
         scan = self.spark.read.schema(schema).parquet(*paths.values())
         if len(files) == 1 and len(next(iter(files.values()))) == 1:
             return scan.withColumn("dataset_type", F.lit(next(iter(files.values()))[0]))
-        # As large as the manifest, which the driver holds.  A table is a file or a folder of part files.
+        # One row for each file, as in the scan's own index, which the driver holds: whose table it is is found once for
+        # a file and not from the path of every row.  A table is a file or a folder of part files.
+        tables = {fs.qualified(self.spark, paths[file]): names for file, names in files.items()}
         owner = self.spark.createDataFrame(
-            [(fs.qualified(self.spark, paths[file]), name) for file, names in files.items() for name in names],
-            "__table string, dataset_type string",
+            [(form, name) for uri in scan.inputFiles() for name in _owners(uri, tables) for form in _forms(uri)],
+            "__uri string, dataset_type string",
         )
-        encoded = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
-        location = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-        folder = F.regexp_replace("__file", "/[^/]*$", "")
-        known = scan.select("*", location.alias("__file"))
-        whole = owner.select(F.col("__table").alias("__whole"), F.col("dataset_type").alias("__own"))
-        parts = owner.select(F.col("__table").alias("__parts"), F.col("dataset_type").alias("__owners"))
-        typed = known.join(F.broadcast(whole), F.col("__file") == F.col("__whole"), "left").join(
-            F.broadcast(parts), folder == F.col("__parts"), "left"
-        )
-        return typed.select(*schema.names, F.coalesce("__own", "__owners").alias("dataset_type"))
+        known = scan.select("*", F.col("_metadata.file_path").alias("__file"))
+        typed = known.join(F.broadcast(owner), F.col("__file") == F.col("__uri"), "left")
+        return typed.select(*schema.names, "dataset_type")
+
+
+def _forms(uri: str) -> set[str]:
+    """A local file has one slash in the paths that a scan tells and three in its index."""
+    return {re.sub("^file:/+", start, uri) for start in ("file:/", "file:///")}
+
+
+def _owners(uri: str, tables: Mapping[str, Sequence[str]]) -> Sequence[str]:
+    """Dataset types of the table that a file, given by its encoded URI, is or lies in."""
+    location = unquote(re.sub("^file:/+", "file:///", uri))
+    return tables.get(location) or tables.get(posixpath.dirname(location), ())
