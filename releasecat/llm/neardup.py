@@ -15,10 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, run_together
 from .text import keep, mix, partitions, shingles, slices, utf8, words
 
 
+# A small table is written by few tasks, of up to so many rows each: a file for each shuffle partition, most of them
+# with hardly a row, would hide from Spark that the table is small enough to be broadcast.
+ROWS_A_TASK = 50_000
+FEW_TASKS = 16
+
+
 class NearDup(NamedTuple):
     """Words of a shingle, least similarity of two texts, the bands of a signature and their rows, and up to how many
     texts of a bucket that are apart from its pivot one task compares with each other.
@@ -182,19 +188,25 @@ def jaccard(a: Shingles, b: Shingles) -> tuple[float, float]:
 
 
 def similarities(pairs: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
-    """Exact similarities of pairs of text keys: ``a, b, similarity, weighted``.  ``texts`` has ``key`` and ``text``."""
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    """Exact similarities of pairs of text keys: ``key, pivot, similarity, weighted``.  ``texts`` has ``key`` and ``text``."""
+    left = texts.select("key", F.col("text").alias("text_key"))
+    right = texts.select(F.col("key").alias("pivot"), F.col("text").alias("text_pivot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [each_text(batch.column(name), rule.shingle) for name in ("text_a", "text_b")]
+            sides = [each_text(batch.column(name), rule.shingle) for name in ("text_key", "text_pivot")]
             found = np.array([jaccard(a, b) for a, b in zip(*sides)]).reshape(-1, 2)
-            columns = [batch.column("a"), batch.column("b"), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity", "weighted"])
+            columns = [batch.column("key"), batch.column("pivot"), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "pivot", "similarity", "weighted"])
+
+    # Few texts are pivots of many pairs, so the rows to compare are left as the join by the other text deals them out.
+    joined = pairs.select("key", "pivot").join(right, "pivot").join(left, "key").select("key", "pivot", "text_key", "text_pivot")
+    return joined.mapInArrow(run, "key binary, pivot binary, similarity double, weighted double")
+
 
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a binary, b binary, similarity double, weighted double")
+def stored_small(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """Store a table of at most ``rows`` rows, by few tasks if they are few."""
+    return cut_lineage(df.coalesce(max(FEW_TASKS, -(-rows // ROWS_A_TASK))), label)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -203,21 +215,50 @@ def components(links: DataFrame) -> DataFrame:
     Each step takes the least label among a key's neighbours and then the label of that label; a step is stored, and
     the steps end when no label changes.  Only counts reach the driver.
     """
-    both = cut_lineage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = cut_lineage(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
+    return _components(cut_lineage(links.select("a", "b").distinct(), "links"))
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """``components`` of stored links."""
+    rows = 2 * links.count()
+    both = links.select("a", "b").union(links.select("b", "a"))
+    first = both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
+    labels = stored_small(first, "labels", rows)
     while True:
         seen = both.join(labels.select(F.col("key").alias("b"), "component"), "b").groupBy(F.col("a").alias("key"))
         least = seen.agg(F.min("component").alias("near"))
         stepped = labels.join(least, "key").select("key", F.col("component").alias("old"), F.least("component", "near").alias("new"))
         jump = labels.select(F.col("key").alias("new"), F.col("component").alias("beyond"))
-        moved = cut_lineage(stepped.join(jump, "new").select("key", "old", F.least("new", "beyond").alias("component")), "labels")
+        moved = stepped.join(jump, "new").select("key", "old", F.least("new", "beyond").alias("component"))
+        moved = stored_small(moved, "labels", rows)
         labels = moved.select("key", "component")
         if moved.where(F.col("old") != F.col("component")).isEmpty():
             return labels
 
 
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``labels`` with further stored links; only the components that these join are worked out again."""
+    of_a = labels.select(F.col("key").alias("a"), F.col("component").alias("of_a"))
+    of_b = labels.select(F.col("key").alias("b"), F.col("component").alias("of_b"))
+    ends = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    rows = links.count()
+    ends = stored_small(ends.where(F.col("a") != F.col("b")).distinct(), "links", rows)
+    if ends.isEmpty():
+        return labels
+    moved = _components(ends)
+    beyond = moved.select(F.col("key").alias("component"), F.col("component").alias("beyond"))
+    known = labels.join(beyond, "component", "left").select("key", F.coalesce("beyond", "component").alias("component"))
+    return stored_small(known.union(moved.join(labels, "key", "left_anti")), "labels", labels.count() + 2 * rows)
+
+
 def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
-    """Links ``a, b`` between different texts that connect all texts linked through a shared band.
+    """Links ``a, b`` between different texts that connect all texts linked through a shared band."""
+    return link_texts(bands, docs, rule)[0]
+
+
+def link_texts(bands: DataFrame, docs: DataFrame, rule: NearDup) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` between different texts that connect all texts linked through a shared band, and the ``components``
+    of these links.
 
     ``bands`` has ``key, band`` rows.  In each bucket every text is compared with one pivot, the text that is in the
     most and largest buckets.  A text left in another component than its pivot is compared with the pivot's component
@@ -226,40 +267,44 @@ def find_links(bands: DataFrame, docs: DataFrame, rule: NearDup) -> DataFrame:
     left.  So a bucket is connected rightly without its pairs being listed.
     """
     sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = cut_lineage(bands.join(sizes, "band"), "buckets")
-    score = members.groupBy("key").agg(F.sum("n").alias("score"))
-    members = cut_lineage(members.select("band", "key").join(score, "key"), "members")
-    needed = members.select("key").distinct()
-    texts = docs.select(text_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    texts = cut_lineage(texts, "bucket-texts")
-
-    compared = links = None
+    buckets = cut_lineage(bands.join(sizes, "band"), "buckets")
+    score = stored_small(buckets.groupBy("key").agg(F.sum("n").alias("score")), "scores", buckets.count())
+    every = docs.select(text_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    # The keys grow with the input, so they are hashed where the texts are dealt out, however small their files look.
+    needed = every.join(score.hint("shuffle_hash"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    scored = buckets.select("band", "key").join(score, "key")
+    texts, members = run_together([lambda: cut_lineage(needed, "bucket-texts"), lambda: cut_lineage(scored, "members")])
+
+    compared = links = labels = None
     while True:
         pivots = members.groupBy("band").agg(F.max(F.struct("score", "key")).alias("p")).select("band", F.col("p.key").alias("pivot"))
         placed = cut_lineage(members.join(pivots, "band"), "placed")
-        fresh = _pairs(placed.select("key", F.col("pivot").alias("other")), compared)
+        pairs = placed.where(F.col("key") != F.col("pivot")).select("key", "pivot").distinct()
+        fresh = pairs if compared is None else pairs.join(compared, ["key", "pivot"], "left_anti")
         now = cut_lineage(similarities(fresh, texts, rule), "similarities")
-        compared = now if compared is None else cut_lineage(compared.union(now), "similarities")
-        near = compared.where(F.greatest("similarity", "weighted") >= rule.least).select("a", "b")
-        links = near if links is None else cut_lineage(links.union(near).distinct(), "links")
-        apart, joined = cut_lineage(_apart(placed, components(links)), "apart"), None
-        while not apart.isEmpty():
-            extra = cut_lineage(_fringe_links(placed, apart, joined, compared, texts, rule), "fringe")
-            if extra.isEmpty():
-                break
-            links = cut_lineage(links.union(extra), "links")
-            left = cut_lineage(_apart(placed, components(links)), "apart")
-            joined = apart.select("key", "pivot").distinct().join(left.select("key", "pivot").distinct(), ["key", "pivot"], "left_anti")
-            apart = left
-        counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-        few = apart.join(counts.where(F.col("n").between(2, rule.together)), "band", "left_semi").select("band", "key")
-        links = links.union(cut_lineage(linked_together(few, texts, rule), "within"))
-        members = apart.join(counts.where(F.col("n") > rule.together), "band", "left_semi").select("band", "key", "score")
-        members = cut_lineage(members, "members")
-        if members.isEmpty():
-            break
-    return links
+        near = now.where(F.greatest("similarity", "weighted") >= rule.least).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+        near = stored_small(near, "links", now.count())
+        if compared is None:
+            compared, links, labels, spokes = now, near, _components(near), now
+        else:
+            compared, links, labels = compared.union(now), links.union(near), extended(labels, near)
+            spokes = compared.join(pairs, ["key", "pivot"], "left_semi")
+        spokes = _split(spokes, labels)
+        while (extra := _fringe_links(spokes, texts, rule)) is not None:
+            links, labels = links.union(extra), extended(labels, extra)
+            spokes = _split(spokes, labels)
+        apart = cut_lineage(_apart(placed, labels), "apart")
+        counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+        counts = stored_small(counts, "counts", apart.count())
+        if counts.isEmpty():
+            return links, labels
+        few = apart.join(counts.where(F.col("n") <= rule.together), "band", "left_semi").select("band", "key")
+        within = cut_lineage(linked_together(few, texts, rule), "within")
+        links, labels = links.union(within), extended(labels, within)
+        many = counts.where(F.col("n") > rule.together)
+        if many.isEmpty():
+            return links, labels
+        members = cut_lineage(apart.join(many, "band", "left_semi"), "members")
 
 
 def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
@@ -279,7 +324,7 @@ def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> Data
             yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     dealt = rows.select("bucket", "key", "text").repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket", "key")
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 class Block(NamedTuple):
@@ -359,29 +404,30 @@ def spanning_tree(near: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def _pairs(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:
-    """Each pair once, in order, that has not been compared."""
-    ordered = pairs.where(F.col("key") != F.col("other")).select(
-        F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")
-    )
-    distinct = ordered.distinct()
-    return distinct if compared is None else distinct.join(compared, ["a", "b"], "left_anti")
+def _apart(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets in another component than the pivot: ``band, key, score``."""
+    return _with_component(placed, labels).where(~F.col("together")).select("band", "key", "score")
+
 
+def _split(spokes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, pivot, similarity, weighted`` of compared texts, with ``inside``, whether the text is in the pivot's component,
+    and ``joined``, whether it was not when ``spokes`` were split before."""
+    was = F.col("inside") if "inside" in spokes.columns else F.lit(False)
+    both = _with_component(spokes, labels).withColumn("joined", F.col("together") & ~was)
+    return cut_lineage(both.select("key", "pivot", "similarity", "weighted", F.col("together").alias("inside"), "joined"), "spokes")
 
-def _apart(placed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets in another component than the pivot: ``band, key, score, pivot``."""
+
+def _with_component(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``together``: whether ``key`` and ``pivot`` are in one component."""
     of_key = labels.select("key", F.col("component").alias("own"))
     of_pivot = labels.select(F.col("key").alias("pivot"), F.col("component").alias("pivots"))
-    both = placed.join(of_key, "key", "left").join(of_pivot, "pivot", "left")
-    return both.where(
-        F.coalesce("own", "key") != F.coalesce("pivots", "pivot")
-    ).select("band", "key", "score", "pivot")
+    both = pairs.join(of_key, "key", "left").join(of_pivot, "pivot", "left")
+    return both.withColumn("together", F.coalesce("own", "key") == F.coalesce("pivots", "pivot"))
 
 
-def _fringe_links(
-    placed: DataFrame, apart: DataFrame, joined: DataFrame | None, compared: DataFrame, texts: DataFrame, rule: NearDup
-) -> DataFrame:
-    """A link ``a, b`` for each text apart from its pivot that is linked to a text of the pivot's component.
+def _fringe_links(spokes: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame | None:
+    """A link ``a, b`` for each text apart from its pivot that is linked to a text of the pivot's component; None if there
+    is none.
 
     Left out are texts farther from the pivot, by sets and by weights, than the component's farthest text and a link
     together reach.  The others are compared with the texts of the component, in a later turn with those that
@@ -389,28 +435,25 @@ def _fringe_links(
     most about ``rule.together`` texts: a task works out a block as a product of matrices and returns one link for a
     text.
     """
-    known = compared.select("a", "b", "similarity", "weighted").union(compared.select("b", "a", "similarity", "weighted"))
-    known = known.toDF("key", "pivot", "similarity", "weighted")
-    outer = apart.select("key", "pivot").distinct()
-    inner = placed.select("key", "pivot").distinct().join(outer, ["key", "pivot"], "left_anti").where(F.col("key") != F.col("pivot"))
-    inner = inner.join(known, ["key", "pivot"])
-    if joined is not None:
-        inner = inner.join(joined, ["key", "pivot"], "left_semi")
+    inner, outer = spokes.where("joined"), spokes.where("NOT inside")
     measures = ("similarity", "weighted")
-    sizes = inner.groupBy("pivot").agg(F.count(F.lit(1)).alias("inside"), *[F.min(c).alias(f"farthest_{c}") for c in measures])
-    outer = outer.join(known, ["key", "pivot"]).join(sizes, "pivot")
     by_sets, by_weights = [F.col(c) >= F.col(f"farthest_{c}") - (1 - rule.least) - 1e-9 for c in measures]
-    outer = outer.where(by_sets | by_weights).select("key", "pivot")
+    farthest = [F.min(c).alias(f"farthest_{c}") for c in measures]
+    sizes = inner.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), *farthest)
+    blocks = outer.join(sizes, "pivot").where(by_sets | by_weights).groupBy("pivot", "n", *[f"farthest_{c}" for c in measures])
     half = rule.together / 2
-    blocks = outer.groupBy("pivot").agg(F.count(F.lit(1)).alias("outside")).join(sizes, "pivot")
-    blocks = cut_lineage(blocks.select("pivot", F.ceil(F.col("outside") / half).alias("rows"), F.ceil(F.col("inside") / half).alias("columns")), "blocks")
+    blocks = blocks.agg(F.ceil(F.count(F.lit(1)) / half).alias("rows")).withColumn("columns", F.ceil(F.col("n") / half))
+    blocks = stored_small(blocks.drop("n"), "blocks", spokes.count())
+    if blocks.isEmpty():
+        return None
 
     def dealt(side: DataFrame, own: str, other: str, is_outer: bool):
         part = F.pmod(F.xxhash64("key"), F.col(own))
-        each = side.select("key", "pivot").join(blocks, "pivot").withColumn(own, part)
+        each = side.withColumn(own, part)
         each = each.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
         return each.select("pivot", "rows", "columns", "key", F.lit(is_outer).alias("outer"))
 
+    outer, inner = outer.join(blocks, "pivot").where(by_sets | by_weights), inner.join(blocks, "pivot")
     rows = dealt(outer, "rows", "columns", True).union(dealt(inner, "columns", "rows", False)).join(texts, "key")
     rows = rows.select(F.concat_ws(":", F.hex("pivot"), "rows", "columns").alias("block"), "key", "outer", "text")
 
@@ -428,8 +471,9 @@ def _fringe_links(
                     found.append((keys[one], keys[other]))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    spread = rows.repartition(partitions(placed), "block").sortWithinPartitions("block", "key", "outer")
-    return spread.mapInArrow(run, "a binary, b binary").distinct()
+    spread = rows.repartition(partitions(spokes), "block").sortWithinPartitions("block", "key", "outer")
+    links = cut_lineage(spread.mapInArrow(run, "a binary, b binary"), "fringe")
+    return None if links.isEmpty() else links
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[dict[str, list]]:
@@ -459,9 +503,10 @@ def near_duplicate_classes(
     """
     rows = keep(docs, doc_id=id_column, text=text_column)
     table = cut_lineage(band_table(rows, rule), "bands")
-    firsts = table.groupBy("key").agg(F.min("doc_id").alias("first_id"))
-    bands = table.select("key", F.explode("bands").alias("band")).distinct()
-    labels = components(find_links(bands, rows, rule))
+    # Equal texts have equal bands.
+    firsts = cut_lineage(table.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands")), "firsts")
+    bands = firsts.select("key", F.explode(F.array_distinct("bands")).alias("band"))
+    _, labels = link_texts(bands, rows, rule)
     by_text = cut_lineage(firsts.join(labels, "key", "left").select("key", "first_id", F.coalesce("component", "key").alias("component")), "texts")
     classes = by_text.groupBy("component").agg(F.min("first_id").alias("class_id"))
     of_text = by_text.join(classes, "component").select("key", "class_id")

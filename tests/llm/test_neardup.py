@@ -16,9 +16,11 @@ from releasecat.llm.neardup import (
     components,
     connect,
     each_text,
+    extended,
     find_links,
     jaccard,
     keep_one_of_each,
+    link_texts,
     near_duplicate_classes,
     signatures,
     spanning_tree,
@@ -207,3 +209,34 @@ def test_repeated_shingles_do_not_hide_a_pair(spark):
         rows += [(2 * n + side, " ".join(shared + [f"o{n}y{side}z{i}" for i in range(20)] * 50)) for side in (0, 1)]
     found = {r.doc_id: set(r.bands) for r in band_table(spark.createDataFrame(rows, "doc_id long, text string"), NearDup()).collect()}
     assert all(found[2 * n] & found[2 * n + 1] for n in range(20))
+
+
+def test_few_links_are_few_files_and_later_links_extend_the_labels(spark):
+    """Labels of few keys are stored in few files, not one for each shuffle partition; further links change what they join."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("48", "false")):
+            spark.conf.set(k, v)
+        links = spark.range(200).selectExpr("id AS a", "id + 1 AS b").where("a % 4 < 3")
+        first = components(links)
+        assert len(first.inputFiles()) <= 16
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert {(r.key, r.component) for r in first.collect()} == {(i, i - i % 4) for i in range(200)}
+    more = spark.createDataFrame([(3, 4), (9, 14), (300, 301), (198, 302), (20, 21), (303, 301)], "a long, b long")
+    for extra in (more, spark.createDataFrame([(0, 3), (7, 9)], "a long, b long")):
+        links = links.union(extra)
+        first = extended(first, extra)
+        assert sorted(first.collect()) == sorted(components(links).select("key", "component").collect())
+
+
+def test_labels_are_the_components_of_the_links(spark):
+    """Chains in one bucket, with texts that join their pivot's component in later turns and in later rounds."""
+    words = [f"v{i}" for i in range(300)]
+    rows = [(100 * f + n, " ".join(f"{f}{w}" for w in words[8 * n : 8 * n + 120])) for f in range(2) for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bands = docs.select(text_key().alias("key")).selectExpr("key", "1L AS band")
+    links, labels = link_texts(bands, docs, NearDup(together=4))
+    assert sorted(labels.collect()) == sorted(components(links).collect())
+    assert labels.count() == len(rows) and labels.select("component").distinct().count() == 2
