@@ -263,8 +263,8 @@ def link_texts(bands: DataFrame, docs: DataFrame, rule: NearDup) -> tuple[DataFr
     ``bands`` has ``key, band`` rows.  In each bucket every text is compared with one pivot, the text that is in the
     most and largest buckets.  A text left in another component than its pivot is compared with the pivot's component
     unless it is too far from the pivot for a link: Jaccard distance is a metric, that of sets and the weighted one.
-    What is still apart is compared in one task if it is little, else it gets a pivot of its own, until nothing is
-    left.  So a bucket is connected rightly without its pairs being listed.
+    What is still apart is compared in one task if it is little, else where rare shingles allow a link; no text takes a
+    turn of its own.  So a bucket is connected rightly without its pairs being listed.
     """
     sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     buckets = cut_lineage(bands.join(sizes, "band"), "buckets")
@@ -275,36 +275,77 @@ def link_texts(bands: DataFrame, docs: DataFrame, rule: NearDup) -> tuple[DataFr
     scored = buckets.select("band", "key").join(score, "key")
     texts, members = run_together([lambda: cut_lineage(needed, "bucket-texts"), lambda: cut_lineage(scored, "members")])
 
-    compared = links = labels = None
-    while True:
-        pivots = members.groupBy("band").agg(F.max(F.struct("score", "key")).alias("p")).select("band", F.col("p.key").alias("pivot"))
-        placed = cut_lineage(members.join(pivots, "band"), "placed")
-        pairs = placed.where(F.col("key") != F.col("pivot")).select("key", "pivot").distinct()
-        fresh = pairs if compared is None else pairs.join(compared, ["key", "pivot"], "left_anti")
-        now = cut_lineage(similarities(fresh, texts, rule), "similarities")
-        near = now.where(F.greatest("similarity", "weighted") >= rule.least).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-        near = stored_small(near, "links", now.count())
-        if compared is None:
-            compared, links, labels, spokes = now, near, _components(near), now
-        else:
-            compared, links, labels = compared.union(now), links.union(near), extended(labels, near)
-            spokes = compared.join(pairs, ["key", "pivot"], "left_semi")
+    pivots = members.groupBy("band").agg(F.max(F.struct("score", "key")).alias("p")).select("band", F.col("p.key").alias("pivot"))
+    placed = cut_lineage(members.join(pivots, "band"), "placed")
+    pairs = placed.where(F.col("key") != F.col("pivot")).select("key", "pivot").distinct()
+    spokes = cut_lineage(similarities(pairs, texts, rule), "similarities")
+    near = spokes.where(F.greatest("similarity", "weighted") >= rule.least).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    links = stored_small(near, "links", spokes.count())
+    labels = _components(links)
+    spokes = _split(spokes, labels)
+    while (extra := _fringe_links(spokes, texts, rule)) is not None:
+        links, labels = links.union(extra), extended(labels, extra)
         spokes = _split(spokes, labels)
-        while (extra := _fringe_links(spokes, texts, rule)) is not None:
-            links, labels = links.union(extra), extended(labels, extra)
-            spokes = _split(spokes, labels)
-        apart = cut_lineage(_apart(placed, labels), "apart")
-        counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-        counts = stored_small(counts, "counts", apart.count())
-        if counts.isEmpty():
-            return links, labels
-        few = apart.join(counts.where(F.col("n") <= rule.together), "band", "left_semi").select("band", "key")
-        within = cut_lineage(linked_together(few, texts, rule), "within")
-        links, labels = links.union(within), extended(labels, within)
-        many = counts.where(F.col("n") > rule.together)
-        if many.isEmpty():
-            return links, labels
-        members = cut_lineage(apart.join(many, "band", "left_semi"), "members")
+    apart = cut_lineage(_apart(placed, labels), "apart")
+    counts = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    counts = stored_small(counts, "counts", apart.count())
+    if counts.isEmpty():
+        return links, labels
+    few = apart.join(counts.where(F.col("n") <= rule.together), "band", "left_semi").select(F.col("band").cast("string"), "key")
+    many = counts.where(F.col("n") > rule.together)
+    if not many.isEmpty():
+        few = few.union(_bundles(apart.join(many, "band", "left_semi").select("key").distinct(), texts, rule))
+    within = cut_lineage(linked_together(few, texts, rule), "within")
+    return links.union(within), extended(labels, within)
+
+
+def rare_shared_shingles(keys: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
+    """``shingle, key``: the rarest shingles of each text of ``keys`` that others of them have as well, as many as any two
+    linked texts need to have one in common.
+
+    Linked texts share at least ``rule.least`` of either's shingles, or of either's weight.  With the shingles of all
+    texts in one order, the first one that two linked texts share therefore has at least so much of each text at or
+    behind it.  The rarest come first, so that a text seldom meets another one by what many have.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                text, hashes, weights = weighted_shingles(part.column("text"), rule.shingle)
+                number = 1 / np.bincount(text, minlength=len(part))[text]
+                weight = weights / np.bincount(text, weights, len(part))[text]
+                columns = [pa.array(hashes.view(np.int64)), part.column("key").take(pa.array(text)), pa.array(number), pa.array(weight)]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "key", "number", "weight"])
+
+    every = texts.join(keys, "key", "left_semi").select("key", "text")
+    held = cut_lineage(every.mapInArrow(run, "shingle long, key binary, number double, weight double"), "shingles")
+    times = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > 1)
+    # What a text alone has stands before all this.
+    behind = Window.partitionBy("key").orderBy(F.desc("times"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
+    reach = {c: F.sum(c).over(behind) for c in ("number", "weight")}
+    shared = held.join(times, "shingle").withColumns(reach)
+    return shared.where((F.col("number") >= rule.least - 1e-6) | (F.col("weight") >= rule.least - 1e-4)).select("shingle", "key")
+
+
+def _bundles(keys: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
+    """Buckets ``band, key`` of at most about ``rule.together`` texts, in which any two linked texts of ``keys`` meet.
+
+    Texts that are connected by ``rare_shared_shingles`` are one bundle, the others are linked to nothing.  A larger
+    bundle is dealt out over slots, and any two slots are a bucket.
+    """
+    rare = cut_lineage(rare_shared_shingles(keys, texts, rule), "rare")
+    hubs = rare.groupBy("shingle").agg(F.min("key").alias("a"))
+    met = rare.join(hubs, "shingle").where(F.col("key") != F.col("a")).select("a", F.col("key").alias("b"))
+    bundles = components(met)
+    half = max(1, rule.together // 2)
+    slots = F.when(F.col("n") > rule.together, F.ceil(F.col("n") / half)).otherwise(1)
+    sizes = bundles.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", slots.cast("int").alias("slots"))
+    slot = F.pmod(F.xxhash64("key"), F.col("slots")).cast("int")
+    dealt = bundles.join(sizes, "component").withColumn("slot", slot)
+    others = F.filter(F.sequence(F.lit(0), F.col("slots") - 1), lambda other: (F.col("slots") == 1) | (other != F.col("slot")))
+    tiles = dealt.withColumn("other", F.explode(others))
+    tile = F.concat_ws(":", F.hex("component"), F.least("slot", "other"), F.greatest("slot", "other"))
+    return tiles.select(tile.alias("band"), "key")
 
 
 def linked_together(buckets: DataFrame, texts: DataFrame, rule: NearDup) -> DataFrame:
@@ -405,8 +446,8 @@ def spanning_tree(near: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _apart(placed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets in another component than the pivot: ``band, key, score``."""
-    return _with_component(placed, labels).where(~F.col("together")).select("band", "key", "score")
+    """Members of buckets in another component than the pivot: ``band, key``."""
+    return _with_component(placed, labels).where(~F.col("together")).select("band", "key")
 
 
 def _split(spokes: DataFrame, labels: DataFrame) -> DataFrame:

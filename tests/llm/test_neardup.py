@@ -9,6 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 
+from releasecat.llm import neardup
 from releasecat.llm.neardup import (
     NearDup,
     band_table,
@@ -22,6 +23,7 @@ from releasecat.llm.neardup import (
     keep_one_of_each,
     link_texts,
     near_duplicate_classes,
+    rare_shared_shingles,
     signatures,
     spanning_tree,
     text_key,
@@ -240,3 +242,34 @@ def test_labels_are_the_components_of_the_links(spark):
     links, labels = link_texts(bands, docs, NearDup(together=4))
     assert sorted(labels.collect()) == sorted(components(links).collect())
     assert labels.count() == len(rows) and labels.select("component").distinct().count() == 2
+
+
+def test_a_large_bucket_of_unlike_texts_takes_one_turn(spark, monkeypatch):
+    """Texts that share some lines and a band and are not alike, but for three of them; none takes a turn of its own."""
+    turns, compare = [], neardup.similarities
+    monkeypatch.setattr(neardup, "similarities", lambda *a: turns.append(1) or compare(*a))
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(n, f"{shared} " + " ".join(f"o{n}x{i}" for i in range(60))) for n in range(14)]
+    rows += [(20 + n, rows[5 * n][1] + " end") for n in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", text_key().alias("key"))
+    links, labels = link_texts(docs.selectExpr("key", "1L AS band"), docs, NearDup(together=4))
+    found = docs.join(labels, "key").groupBy("component").agg({"doc_id": "collect_set"}).collect()
+    assert sorted(sorted(r[1]) for r in found) == [[0, 20], [5, 21], [10, 22]] and links.count() >= 3
+    assert len(turns) == 1
+
+
+def test_linked_texts_share_a_rare_shingle(spark):
+    """Any two that are linked, by sets or by weights alone."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(w if rng.random() > 0.012 else f"x{rng.random()}" for w in base) for _ in range(25)] + repeating(rng, 25)
+    lines = [" ".join(f"line{i}w{k}" for k in range(12)) for i in range(8)]
+    texts += ["\n".join(lines * 40) + "".join(f" own{n}x{i}" for i in range(30)) for n in range(5)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").select("text", text_key().alias("key")).dropDuplicates(["key"])
+    of, rows = defaultdict(set), docs.collect()
+    for r in rare_shared_shingles(docs.select("key"), docs, NearDup()).collect():
+        of[bytes(r.key)].add(r.shingle)
+    own = [(bytes(r.key), shingle_weights(r.text)) for r in rows]
+    pairs = [(a, b) for (a, x), (b, y) in combinations(own, 2) if linked(x, y, 0.8)]
+    assert len(pairs) > 50 and all(of[a] & of[b] for a, b in pairs)
+    assert sum(map(len, of.values())) < 0.7 * sum(len(x) for _, x in own)
